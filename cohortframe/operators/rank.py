@@ -138,3 +138,39 @@ def sample_exact(df: DataFrame, n: int, id_col: str = "id", seed: int = 55) -> D
     """Exactly ``min(n, rows)`` rows without replacement, seeded."""
     ranked = seeded_rank(df, id_col, seed, None)
     return ranked.filter(F.col("rn") <= n).drop("rn")
+
+
+def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 1024, out: str = "_b",
+                    by: list[str] | None = None) -> DataFrame:
+    """Order-preserving, roughly equal-count bucket of ``col``: approximate
+    quantile boundaries (one aggregation, a fitted scalar list) and a
+    binary-search bucketizer.  Used to split a prefix sum over many tasks."""
+    from pyspark.ml.feature import Bucketizer
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10000)).first()[0] or []
+    splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
+    tmp = f"{out}__src"
+    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep") \
+        .transform(df.withColumn(tmp, F.col(col).cast("double")))
+    return bucketed.drop(tmp)
+
+
+def distributed_cumsum(df: DataFrame, partition_cols: list[str], bucket_col: str, order_cols: list,
+                       value_cols: list[str], suffix: str = "_cum",
+                       max_offset_rows: int = 2_000_000) -> DataFrame:
+    """Inclusive running sums of ``value_cols`` in ``order_cols`` order per
+    partition (``order_cols`` must be unique inside a partition).  Bucket
+    totals are prefix-summed on a small table and broadcast back; the
+    window that finishes the sum is partitioned by (partition, bucket)."""
+    tot = df.groupBy(*partition_cols, bucket_col).agg(*[F.sum(v).alias(v) for v in value_cols])
+    w = Window.partitionBy(*partition_cols).orderBy(bucket_col) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*partition_cols, bucket_col,
+                     *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
+    if off.count() <= max_offset_rows:
+        off = F.broadcast(off)
+    j = df.join(off, [*partition_cols, bucket_col])
+    w2 = Window.partitionBy(*partition_cols, bucket_col).orderBy(*order_cols) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return j.select(*df.columns, *[(F.col(f"_o_{v}") + F.sum(v).over(w2)).alias(v + suffix)
+                                   for v in value_cols])

@@ -124,3 +124,298 @@ imputed AS ({_impute_apply_select()}),
 feat AS (SELECT label, {_stress_sql()['total_stress_index']} AS tsi FROM imputed)
 SELECT label, CAST(count(*) AS BIGINT) AS n, {r6('avg(tsi)')} AS avg_total_stress FROM feat GROUP BY label
 """
+
+
+# ------------------------------------------------------------------ E
+
+ORACLE["impute_structural_report"] = with_("cohort") + """
+SELECT 'Student' AS cohort, f AS feature, CAST(n AS BIGINT) AS n_structural FROM (
+  SELECT 'work_pressure' AS f, count(*) FILTER (WHERE cohort = 'Student' AND work_pressure IS NULL) AS n FROM cohort
+  UNION ALL SELECT 'job_satisfaction', count(*) FILTER (WHERE cohort = 'Student' AND job_satisfaction IS NULL) FROM cohort
+  UNION ALL SELECT 'profession', count(*) FILTER (WHERE cohort = 'Student' AND profession IS NULL) FROM cohort)
+UNION ALL
+SELECT 'Working Professional', f, CAST(n AS BIGINT) FROM (
+  SELECT 'academic_pressure' AS f, count(*) FILTER (WHERE cohort = 'Working Professional' AND academic_pressure IS NULL) AS n FROM cohort
+  UNION ALL SELECT 'study_satisfaction', count(*) FILTER (WHERE cohort = 'Working Professional' AND study_satisfaction IS NULL) FROM cohort
+  UNION ALL SELECT 'cgpa', count(*) FILTER (WHERE cohort = 'Working Professional' AND cgpa IS NULL) FROM cohort)
+"""
+
+ORACLE["impute_zero_structural"] = with_("cohort") + """
+SELECT id, cohort,
+  CASE WHEN cohort = 'Working Professional' AND academic_pressure IS NULL THEN 0.0 ELSE academic_pressure END AS academic_pressure,
+  CASE WHEN cohort = 'Working Professional' AND study_satisfaction IS NULL THEN 0.0 ELSE study_satisfaction END AS study_satisfaction,
+  round(CASE WHEN cohort = 'Working Professional' AND cgpa IS NULL THEN 0.0 ELSE cgpa END, 6) AS cgpa,
+  CASE WHEN cohort = 'Student' AND work_pressure IS NULL THEN 0.0 ELSE work_pressure END AS work_pressure,
+  CASE WHEN cohort = 'Student' AND job_satisfaction IS NULL THEN 0.0 ELSE job_satisfaction END AS job_satisfaction
+FROM cohort
+"""
+
+_CLIP_BOUNDS = """
+b AS (SELECT
+  greatest(quantile_cont(hours, 0.25) - 3 * (quantile_cont(hours, 0.75) - quantile_cont(hours, 0.25)), 0.0) AS h_lo,
+  least(quantile_cont(hours, 0.75) + 3 * (quantile_cont(hours, 0.75) - quantile_cont(hours, 0.25)), 24.0) AS h_hi,
+  greatest(quantile_cont(cgpa, 0.25) - 3 * (quantile_cont(cgpa, 0.75) - quantile_cont(cgpa, 0.25)), 0.0) AS c_lo,
+  least(quantile_cont(cgpa, 0.75) + 3 * (quantile_cont(cgpa, 0.75) - quantile_cont(cgpa, 0.25)), 10.0) AS c_hi
+  FROM cohort)"""
+
+ORACLE["outlier_clip"] = with_("cohort") + "," + _CLIP_BOUNDS + """
+SELECT id,
+  round(CASE WHEN hours > h_hi THEN h_hi WHEN hours < h_lo THEN h_lo ELSE hours END, 6) AS hours,
+  round(CASE WHEN cgpa > c_hi THEN c_hi WHEN cgpa < c_lo THEN c_lo ELSE cgpa END, 6) AS cgpa
+FROM cohort, b
+"""
+
+ORACLE["outlier_clip_counts"] = with_("cohort") + "," + _CLIP_BOUNDS + """
+SELECT 'cgpa' AS feature, CAST(count(*) FILTER (WHERE cgpa < c_lo OR cgpa > c_hi) AS BIGINT) AS n_clipped FROM cohort, b
+UNION ALL
+SELECT 'hours', CAST(count(*) FILTER (WHERE hours < h_lo OR hours > h_hi) AS BIGINT) FROM cohort, b
+"""
+
+_PROFILE8 = ["age", "academic_pressure", "work_pressure", "cgpa", "study_satisfaction", "job_satisfaction",
+             "hours", "financial_stress"]
+
+ORACLE["fill_for_model"] = with_("cohort") + ",\nm AS (SELECT " + ", ".join(
+    f"median({c}) AS {c}" for c in _PROFILE8) + " FROM cohort)\nSELECT c.id, c.label, " + ", ".join(
+    f"{r6(f'coalesce(c.{c}, m.{c})')} AS {c}" for c in _PROFILE8) + ", " + ", ".join(
+    f"CAST(c.{c} IS NULL AS INTEGER) AS {c}__missing" for c in _PROFILE8) + " FROM cohort c, m"
+
+# ------------------------------------------------------------------ B
+
+_COHORT_TYPES = [("id", "bigint"), ("name", "string"), ("gender", "string"), ("age", "double"),
+                 ("city", "string"), ("cohort", "string"), ("profession", "string"),
+                 ("academic_pressure", "double"), ("work_pressure", "double"), ("cgpa", "double"),
+                 ("study_satisfaction", "double"), ("job_satisfaction", "double"),
+                 ("sleep_duration", "string"), ("dietary_habits", "string"), ("degree", "string"),
+                 ("suicidal", "string"), ("hours", "double"), ("financial_stress", "double"),
+                 ("family_history", "string"), ("label", "int")]
+
+ORACLE["profile_columns"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS dtype, CAST(count({c}) AS BIGINT) AS non_null FROM cohort"
+    for i, (c, t) in enumerate(_COHORT_TYPES))
+
+_NUM_NO_ID_LABEL = ["age", "academic_pressure", "work_pressure", "cgpa", "study_satisfaction",
+                    "job_satisfaction", "hours", "financial_stress"]
+
+ORACLE["profile_describe"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST(count({c}) AS BIGINT) AS count, {r6(f'avg({c})')} AS mean, "
+    f"{r6(f'stddev_samp({c})')} AS std, {r6(f'min({c})')} AS min, {r6(f'quantile_cont({c}, 0.25)')} AS p25, "
+    f"{r6(f'quantile_cont({c}, 0.5)')} AS p50, {r6(f'quantile_cont({c}, 0.75)')} AS p75, {r6(f'max({c})')} AS max FROM cohort"
+    for c in _NUM_NO_ID_LABEL)
+
+ORACLE["profile_class_balance"] = with_("cohort") + """,
+g AS (SELECT label, count(*) AS n FROM cohort GROUP BY label),
+t AS (SELECT sum(n) AS tot, max(n) * 1.0 / min(n) AS ratio FROM g)
+SELECT label, CAST(n AS BIGINT) AS n, round(n * 100.0 / tot, 6) AS pct, round(ratio, 6) AS imbalance_ratio,
+       ratio > 1.5 AS imbalanced
+FROM g, t
+"""
+
+_ALL20 = [c for c, _ in _COHORT_TYPES]
+
+
+def _missing_sql(cols):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS m, count(*) AS n FROM cohort" for c in cols)
+
+
+ORACLE["profile_missing"] = with_("cohort") + f""",
+x AS ({_missing_sql(_ALL20)})
+SELECT feature, CAST(m AS BIGINT) AS missing_count, round(m * 100.0 / n, 6) AS missing_pct FROM x WHERE m > 0
+"""
+
+_CORE = ["gender", "age", "sleep_duration", "dietary_habits", "suicidal", "hours", "financial_stress",
+         "family_history"]
+
+ORACLE["profile_missing_core"] = with_("cohort") + f""",
+x AS ({_missing_sql(_CORE)})
+SELECT feature, CAST(m AS BIGINT) AS missing_count, round(m * 100.0 / n, 6) AS missing_pct FROM x WHERE m > 0
+"""
+
+ORACLE["profile_missing_cohort"] = with_("cohort") + ",\nx AS (" + "\nUNION ALL\n".join(
+    f"SELECT cohort, '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS m, count(*) AS n FROM cohort GROUP BY cohort"
+    for c in _ALL20 if c not in ("id", "cohort")) + """)
+SELECT cohort, feature, CAST(m AS BIGINT) AS n_missing, round(m * 100.0 / n, 6) AS pct_of_cohort,
+  CASE WHEN cohort = 'Student' AND feature IN ('work_pressure', 'job_satisfaction', 'profession') THEN 'structural'
+       WHEN cohort = 'Working Professional' AND feature IN ('academic_pressure', 'study_satisfaction', 'cgpa') THEN 'structural'
+       ELSE 'anomalous' END AS kind
+FROM x WHERE m > 0
+"""
+
+_STR_VC = ["gender", "city", "cohort", "profession", "sleep_duration", "dietary_habits", "degree", "suicidal",
+           "family_history"]
+
+ORACLE["profile_value_counts"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {c} AS value, CAST(count(*) AS BIGINT) AS n FROM cohort WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in _STR_VC)
+
+_NUM_CORR = _NUM_NO_ID_LABEL + ["label"]
+
+
+def _corr(a, b):
+    return (f"CASE WHEN count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) >= 2 "
+            f"AND stddev_pop({a}) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) > 0 "
+            f"AND stddev_pop({b}) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) > 0 "
+            f"THEN corr({a}, {b}) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) END")
+
+
+ORACLE["profile_correlation"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {r6(_corr(a, b))} AS corr FROM cohort"
+    for a in _NUM_CORR for b in _NUM_CORR)
+
+ORACLE["profile_target_corr"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature, {r6(_corr(a, 'label'))} AS corr FROM cohort" for a in _NUM_CORR)
+
+ORACLE["profile_by_target"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT label, '{c}' AS feature, {r6(f'avg({c})')} AS mean, {r6(f'median({c})')} AS median, "
+    f"{r6(f'stddev_samp({c})')} AS std FROM cohort GROUP BY label" for c in _PROFILE8)
+
+ORACLE["profile_histogram"] = with_("cohort") + ",\nx AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, (SELECT min({c}) FROM cohort) AS lo, "
+    f"(SELECT max({c}) FROM cohort) AS hi FROM cohort WHERE {c} IS NOT NULL" for c in _PROFILE8) + """),
+y AS (SELECT feature, lo, CASE WHEN hi > lo THEN (hi - lo) / 30 ELSE 0.0 END AS w,
+        CASE WHEN hi > lo THEN CAST(least(floor((v - lo) / ((hi - lo) / 30)), 29) AS INTEGER) ELSE 0 END AS bin FROM x)
+SELECT feature, bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi,
+       CAST(count(*) AS BIGINT) AS n FROM y GROUP BY feature, bin, lo, w
+"""
+
+ORACLE["profile_box_stats"] = with_("cohort") + ",\nx AS (" + "\nUNION ALL\n".join(
+    f"SELECT label, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM cohort" for c in _PROFILE8) + """),
+q AS (SELECT label, feature, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3
+      FROM x GROUP BY label, feature)
+SELECT x.label, x.feature, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
+  round(min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_lo,
+  round(max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+  CAST(count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers
+FROM x JOIN q ON x.label = q.label AND x.feature = q.feature
+GROUP BY x.label, x.feature, q1, med, q3
+"""
+
+ORACLE["profile_summary"] = with_("cohort") + f""",
+x AS ({_missing_sql(_ALL20)}),
+g AS (SELECT label, count(*) AS n FROM cohort GROUP BY label)
+SELECT 'rows' AS metric, CAST((SELECT count(*) FROM cohort) AS DOUBLE) AS value
+UNION ALL SELECT 'total_features', 18.0
+UNION ALL SELECT 'categorical_features', 8.0
+UNION ALL SELECT 'numerical_features', 8.0
+UNION ALL SELECT 'total_missing', CAST((SELECT sum(m) FROM x) AS DOUBLE)
+UNION ALL SELECT 'columns_with_missing', CAST((SELECT count(*) FROM x WHERE m > 0) AS DOUBLE)
+UNION ALL SELECT 'class_' || CAST(label AS VARCHAR), CAST(n AS DOUBLE) FROM g
+UNION ALL SELECT 'imbalance_ratio', round((SELECT max(n) * 1.0 / min(n) FROM g), 6)
+"""
+
+ORACLE["profile_cohort_rates"] = with_("cohort") + """
+SELECT cohort, CAST(count(*) AS BIGINT) AS n, round(count(*) * 1.0 / (SELECT count(*) FROM cohort), 6) AS share,
+       round(avg(label), 6) AS target_rate
+FROM cohort GROUP BY cohort
+"""
+
+# ------------------------------------------------------------------ C
+
+ORACLE["clean_drop_columns"] = with_("cohort") + "\nSELECT " + ", ".join(
+    r6(c) + f" AS {c}" if t == "double" else c for c, t in _COHORT_TYPES if c not in ("name", "city", "degree")) + " FROM cohort"
+
+ORACLE["clean_sparse_rows"] = with_("cohort") + "\nSELECT id FROM cohort WHERE (" + " + ".join(
+    f"CAST({c} IS NULL AS INTEGER)" for c in _ALL20) + ") / 20.0 < 0.2"
+
+_ANOM = {
+    "student_missing_cgpa": "cohort = 'Student' AND cgpa IS NULL",
+    "professional_missing_profession": "cohort = 'Working Professional' AND profession IS NULL",
+    "missing_financial_stress": "financial_stress IS NULL",
+    "missing_dietary_habits": "dietary_habits IS NULL",
+}
+
+ORACLE["clean_anomalous_rows"] = with_("cohort") + "\nSELECT id FROM cohort WHERE NOT (" + " OR ".join(
+    f"coalesce({v}, FALSE)" for v in _ANOM.values()) + ")"
+
+ORACLE["clean_anomalous_counts"] = with_("cohort") + "\n" + "\nUNION ALL\n".join(
+    [f"SELECT '{k}' AS reason, CAST(count(*) FILTER (WHERE {v}) AS BIGINT) AS n_rows FROM cohort" for k, v in _ANOM.items()]
+    + ["SELECT 'removed_total', CAST(count(*) FILTER (WHERE " + " OR ".join(f"coalesce({v}, FALSE)" for v in _ANOM.values())
+       + ") AS BIGINT) FROM cohort"])
+
+ORACLE["clean_whitelist"] = with_("cohort") + """
+SELECT id,
+  CASE WHEN sleep_duration IN ('Less than 5 hours', '5-6 hours', '6-7 hours', '7-8 hours', 'More than 8 hours')
+       THEN sleep_duration END AS sleep_duration,
+  CASE WHEN dietary_habits IN ('Healthy', 'Moderate', 'Unhealthy') THEN dietary_habits END AS dietary_habits
+FROM cohort
+"""
+
+_BAD_PROF = ["Class", "BSc", "MSc", "BA", "MA", "BBA", "MBA", "B.Com", "M.Com", "BCA", "MCA", "BE", "ME", "BTech",
+             "MTech", "B.Tech", "M.Tech", "LLB", "LLM", "MD", "MBBS", "BDS", "PhD", "City", "Bhopal", "Indore",
+             "Mumbai", "Delhi", "Bangalore", "Chennai", "Gender", "Male", "Female", "M", "F", "Age", "18", "19",
+             "20", "21", "22", "23", "24", "25", "Family", "Father", "Mother", "Brother", "Sister", "Yuvraj",
+             "Navya", "Kavya", "Rohan", "Priya", "Ananya", "Arjun", "Soham", "Aarav", "Vivaan", "Aditya", "Naina",
+             "Ishaan", "Krishna", "Student", "Yes", "No", "None", "Unknown", "NA", "N/A"]
+
+
+def _inlist(vals):
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in vals)
+
+
+ORACLE["clean_blacklist"] = with_("cohort") + f"""
+SELECT id, CASE WHEN profession IN ({_inlist(_BAD_PROF)}) THEN NULL ELSE profession END AS profession FROM cohort
+"""
+
+_SUB_PAT = ["Class", "BSc", "MA", "BBA", "B.Com", "City", "Family", "Yuvraj", "Gender", "Age"]
+
+
+def _rx_any(col):
+    return " OR ".join(f"regexp_matches({col}, '(?i){p}')" for p in _SUB_PAT)
+
+
+ORACLE["clean_substring_blacklist"] = with_("cohort") + f"""
+SELECT id,
+  CASE WHEN coalesce({_rx_any('profession')}, FALSE) THEN NULL ELSE profession END AS profession,
+  CASE WHEN coalesce({_rx_any('degree')}, FALSE) THEN NULL ELSE degree END AS degree
+FROM cohort
+"""
+
+_DEG_OK = ["Class", "BSc", "MSc", "BA", "MA", "B.", "M.", "PhD", "BBA", "MBA", "BCA", "MCA", "BE", "ME", "BTech",
+           "MTech", "B.Tech", "M.Tech", "LLB", "LLM", "MD", "BHM", "MHM"]
+
+ORACLE["clean_pattern_whitelist"] = with_("cohort") + """
+SELECT id, CASE WHEN degree IS NULL OR """ + " OR ".join(f"contains(degree, '{p}')" for p in _DEG_OK) + \
+    """ THEN degree END AS degree FROM cohort"""
+
+ORACLE["prepare_features"] = ORACLE["clean_drop_columns"]
+
+# ------------------------------------------------------------------ D
+
+
+def _rank_sql(src, part, seed=55):
+    over = f"PARTITION BY {part} " if part else ""
+    return (f"row_number() OVER ({over}ORDER BY md5(CAST(id AS VARCHAR) || ':' || '{seed}'), id)")
+
+
+def _quota_sql(src, val_size=0.2):
+    return f"""cnt AS (SELECT label, count(*) AS n_c FROM {src} GROUP BY label),
+tot AS (SELECT sum(n_c) AS n, CAST(ceil({val_size} * sum(n_c)) AS BIGINT) AS n_val FROM cnt),
+fl AS (SELECT label, n_c, n_c * (n - n_val) / n AS cont, floor(n_c * (n - n_val) / n) AS f FROM cnt, tot),
+need AS (SELECT (SELECT n - n_val FROM tot) - sum(f) AS k FROM fl),
+ord AS (SELECT label, n_c, f, row_number() OVER (ORDER BY cont - f DESC, label) AS r FROM fl),
+quota AS (SELECT label, n_c - (f + CASE WHEN r <= (SELECT k FROM need) THEN 1 ELSE 0 END) AS qv FROM ord)"""
+
+
+ORACLE["split_stratified"] = with_("cohort") + f""",
+{_quota_sql('cohort')},
+rk AS (SELECT id, label, {_rank_sql('cohort', 'label')} AS rn FROM cohort)
+SELECT rk.id, rk.label, CASE WHEN rn <= qv THEN 'val' ELSE 'train' END AS split
+FROM rk JOIN quota ON rk.label = quota.label
+"""
+
+ORACLE["split_random"] = with_("cohort") + f""",
+rk AS (SELECT id, {_rank_sql('cohort', None)} AS rn FROM cohort)
+SELECT id, CASE WHEN rn <= (SELECT ceil(0.2 * count(*)) FROM cohort) THEN 'val' ELSE 'train' END AS split FROM rk
+"""
+
+ORACLE["folds_random"] = with_("cohort") + f"""
+SELECT id, CAST(({_rank_sql('cohort', None)} - 1) % 5 AS INTEGER) AS fold FROM cohort
+"""
+
+ORACLE["folds_stratified"] = with_("cohort") + f"""
+SELECT id, label, CAST(({_rank_sql('cohort', 'label')} - 1) % 5 AS INTEGER) AS fold FROM cohort
+"""
+
+ORACLE["sample_exact"] = with_("cohort") + f"""
+SELECT id, label FROM (SELECT id, label, {_rank_sql('cohort', None)} AS rn FROM cohort) WHERE rn <= 2000
+"""

@@ -80,3 +80,559 @@ def q_pipeline_slice(spark, sf_dir):
     out = stress(apply_impute(df, fit_impute(df)))
     return out.groupBy(C.label).agg(F.count(F.lit(1)).alias("n"),
                                      F.avg(TOTAL_STRESS).alias("avg_total_stress"))
+
+
+@query("impute_structural_report")
+def q_impute_structural(spark, sf_dir):
+    """E5: structural NULLs kept, counted per cohort and column."""
+    from cohortframe.operators.impute import structural_report
+    return structural_report(fx.cohort(spark, sf_dir))
+
+
+@query("impute_zero_structural")
+def q_impute_zero(spark, sf_dir):
+    """Other cohort's columns -> 0.0."""
+    from cohortframe.operators.impute import impute_zero_structural
+    df = fx.cohort(spark, sf_dir).select(C.id, C.cohort, *C.student_only, *C.professional_only)
+    return impute_zero_structural(df)
+
+
+@query("outlier_clip")
+def q_outlier_clip(spark, sf_dir):
+    """3 x IQR bounds tightened to the valid range, clip not drop."""
+    from cohortframe.operators.impute import apply_clip, fit_clip
+    df = fx.cohort(spark, sf_dir).select(C.id, C.hours, C.cgpa)
+    return apply_clip(df, fit_clip(df))
+
+
+@query("outlier_clip_counts")
+def q_outlier_clip_counts(spark, sf_dir):
+    """E13 report: rows outside the fitted bounds per column."""
+    from cohortframe.operators.impute import clip_counts, fit_clip
+    df = fx.cohort(spark, sf_dir)
+    return clip_counts(df, fit_clip(df))
+
+
+def _features_frame(spark, sf_dir, version="current"):
+    from cohortframe.operators import features as G
+    df = encoded_cohort(spark, sf_dir)
+    params = G.fit_features(df)
+    if version == "current":
+        return G.all_features(df, params)
+    return G.all_features_v1(df, params)
+
+
+@query("fill_inf_null")
+def q_fill_inf_null(spark, sf_dir):
+    """After the current features, NULL -> training median; columns
+    without a NULL in training get 0.0 at apply time."""
+    from cohortframe.operators.impute import apply_fill, fit_fill
+    df = _features_frame(spark, sf_dir)
+    return apply_fill(df, fit_fill(df, exclude=(C.id, C.label)), exclude=(C.id, C.label))
+
+
+@query("fill_for_model")
+def q_fill_for_model(spark, sf_dir):
+    """E15 + H8: training-median fill of the numeric columns with
+    ``__missing`` indicators (for models that reject NULL)."""
+    from cohortframe.operators.impute import fill_for_model, fit_fill
+    df = fx.cohort(spark, sf_dir).select(C.id, C.label, *C.numeric_profile)
+    return fill_for_model(df, fit_fill(df, exclude=(C.id, C.label)), exclude=(C.id, C.label))
+
+
+# --------------------------------------------------------------- B profiling
+
+@query("profile_columns")
+def q_profile_columns(spark, sf_dir):
+    from cohortframe.operators.profile import column_profile
+    return column_profile(fx.cohort(spark, sf_dir))
+
+
+@query("profile_describe")
+def q_profile_describe(spark, sf_dir):
+    from cohortframe.operators.profile import describe
+    return describe(fx.cohort(spark, sf_dir))
+
+
+@query("profile_class_balance")
+def q_profile_class_balance(spark, sf_dir):
+    from cohortframe.operators.profile import class_balance
+    return class_balance(fx.cohort(spark, sf_dir), C.label)
+
+
+@query("profile_missing")
+def q_profile_missing(spark, sf_dir):
+    from cohortframe.operators.profile import missing
+    return missing(fx.cohort(spark, sf_dir))
+
+
+@query("profile_missing_cohort")
+def q_profile_missing_cohort(spark, sf_dir):
+    from cohortframe.operators.profile import missing_by_cohort
+    return missing_by_cohort(fx.cohort(spark, sf_dir))
+
+
+@query("profile_missing_core")
+def q_profile_missing_core(spark, sf_dir):
+    from cohortframe.operators.profile import missing_core
+    return missing_core(fx.cohort(spark, sf_dir))
+
+
+@query("profile_value_counts")
+def q_profile_value_counts(spark, sf_dir):
+    from cohortframe.operators.profile import value_counts
+    return value_counts(fx.cohort(spark, sf_dir))
+
+
+@query("profile_correlation")
+def q_profile_correlation(spark, sf_dir):
+    from cohortframe.operators.profile import correlation
+    return correlation(fx.cohort(spark, sf_dir))
+
+
+@query("profile_target_corr")
+def q_profile_target_corr(spark, sf_dir):
+    from cohortframe.operators.profile import target_correlation
+    return target_correlation(fx.cohort(spark, sf_dir))
+
+
+@query("profile_by_target")
+def q_profile_by_target(spark, sf_dir):
+    from cohortframe.operators.profile import stats_by_target
+    return stats_by_target(fx.cohort(spark, sf_dir))
+
+
+@query("profile_histogram")
+def q_profile_histogram(spark, sf_dir):
+    from cohortframe.operators.profile import histogram
+    return histogram(fx.cohort(spark, sf_dir))
+
+
+@query("profile_box_stats")
+def q_profile_box_stats(spark, sf_dir):
+    from cohortframe.operators.profile import box_stats
+    return box_stats(fx.cohort(spark, sf_dir))
+
+
+@query("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    from cohortframe.operators.profile import summary
+    return summary(fx.cohort(spark, sf_dir))
+
+
+@query("profile_cohort_rates")
+def q_profile_cohort_rates(spark, sf_dir):
+    from cohortframe.operators.profile import cohort_rates
+    return cohort_rates(fx.cohort(spark, sf_dir))
+
+
+# --------------------------------------------------------------- C cleaning
+
+@query("clean_drop_columns")
+def q_clean_drop_columns(spark, sf_dir):
+    from cohortframe.operators.clean import drop_columns
+    return drop_columns(fx.cohort(spark, sf_dir))
+
+
+@query("clean_sparse_rows")
+def q_clean_sparse_rows(spark, sf_dir):
+    """C2 with threshold 0.2 (the fixture's widest row has 8 of 20 NULLs)."""
+    from cohortframe.operators.clean import drop_sparse_rows
+    return drop_sparse_rows(fx.cohort(spark, sf_dir), 0.2).select(C.id)
+
+
+@query("clean_anomalous_rows")
+def q_clean_anomalous_rows(spark, sf_dir):
+    from cohortframe.operators.clean import drop_anomalous_rows
+    return drop_anomalous_rows(fx.cohort(spark, sf_dir)).select(C.id)
+
+
+@query("clean_anomalous_counts")
+def q_clean_anomalous_counts(spark, sf_dir):
+    from cohortframe.operators.clean import anomalous_counts
+    return anomalous_counts(fx.cohort(spark, sf_dir))
+
+
+@query("clean_whitelist")
+def q_clean_whitelist(spark, sf_dir):
+    from cohortframe.operators.clean import whitelist
+    return whitelist(fx.cohort(spark, sf_dir).select(C.id, C.sleep, C.diet))
+
+
+@query("clean_blacklist")
+def q_clean_blacklist(spark, sf_dir):
+    from cohortframe.operators.clean import blacklist
+    return blacklist(fx.cohort(spark, sf_dir).select(C.id, C.profession))
+
+
+@query("clean_substring_blacklist")
+def q_clean_substring_blacklist(spark, sf_dir):
+    """C6 on profession and, with the same patterns, on degree."""
+    from cohortframe.operators.clean import INVALID_PROFESSION_PATTERNS, substring_blacklist
+    df = fx.cohort(spark, sf_dir).select(C.id, C.profession, C.degree)
+    return substring_blacklist(df, {C.profession: INVALID_PROFESSION_PATTERNS,
+                                    C.degree: INVALID_PROFESSION_PATTERNS})
+
+
+@query("clean_pattern_whitelist")
+def q_clean_pattern_whitelist(spark, sf_dir):
+    from cohortframe.operators.clean import pattern_whitelist
+    return pattern_whitelist(fx.cohort(spark, sf_dir).select(C.id, C.degree))
+
+
+@query("prepare_features")
+def q_prepare_features(spark, sf_dir):
+    """Default drop list, then id + features in training order + label."""
+    from cohortframe.operators.clean import drop_columns, prepare_features
+    return prepare_features(drop_columns(fx.cohort(spark, sf_dir)))
+
+
+# --------------------------------------------------------------- D splitting
+
+@query("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    from cohortframe.operators.rank import split_stratified
+    return split_stratified(fx.cohort(spark, sf_dir).select(C.id, C.label)).select(C.id, C.label, "split")
+
+
+@query("split_random")
+def q_split_random(spark, sf_dir):
+    from cohortframe.operators.rank import split_random
+    return split_random(fx.cohort(spark, sf_dir).select(C.id)).select(C.id, "split")
+
+
+@query("folds_random")
+def q_folds_random(spark, sf_dir):
+    from cohortframe.operators.rank import assign_folds
+    return assign_folds(fx.cohort(spark, sf_dir).select(C.id), k=5).select(C.id, "fold")
+
+
+@query("folds_stratified")
+def q_folds_stratified(spark, sf_dir):
+    from cohortframe.operators.rank import assign_folds
+    return assign_folds(fx.cohort(spark, sf_dir).select(C.id, C.label), k=5, label_col=C.label) \
+        .select(C.id, C.label, "fold")
+
+
+@query("sample_exact")
+def q_sample_exact(spark, sf_dir):
+    """Exactly 2,000 rows (the attribution sample size)."""
+    from cohortframe.operators.rank import sample_exact
+    return sample_exact(fx.cohort(spark, sf_dir).select(C.id, C.label), 2000)
+
+
+# --------------------------------------------------------------- F encoding
+
+@query("encode_ordinal")
+def q_encode_ordinal(spark, sf_dir):
+    from cohortframe.operators.encode import encode_ordinal
+    return encode_ordinal(fx.cohort(spark, sf_dir).select(C.id, C.sleep, C.diet))
+
+
+def _label_input(spark, sf_dir):
+    from cohortframe.operators.clean import drop_columns
+    from cohortframe.operators.encode import encode_ordinal
+    return encode_ordinal(drop_columns(fx.cohort(spark, sf_dir)))
+
+
+@query("encode_label")
+def q_encode_label(spark, sf_dir):
+    """F2 fitted and applied on all rows (default drop list removed first)."""
+    from cohortframe.operators.encode import apply_label, fit_label
+    df = _label_input(spark, sf_dir)
+    return apply_label(df, fit_label(df))
+
+
+@query("encode_label_unseen")
+def q_encode_label_unseen(spark, sf_dir):
+    """F2 fitted on the students' rows only, applied to every row: unseen
+    categories map to 'Unknown' (when it is a class) or to n."""
+    from cohortframe.operators.encode import apply_label, fit_label
+    df = _label_input(spark, sf_dir)
+    return apply_label(df, fit_label(df.filter(F.col(C.cohort) == C.student)))
+
+
+@query("encode_label_dictionary")
+def q_encode_label_dictionary(spark, sf_dir):
+    from cohortframe.operators.encode import fit_label
+    return fit_label(_label_input(spark, sf_dir))
+
+
+@query("encode_target_fit")
+def q_encode_target_fit(spark, sf_dir):
+    from cohortframe.operators.encode import fit_target
+    return fit_target(fx.cohort(spark, sf_dir), C.profession, C.label)
+
+
+@query("encode_target_apply")
+def q_encode_target_apply(spark, sf_dir):
+    """map fitted on the students' rows, applied to every row."""
+    from cohortframe.operators.encode import apply_target, fit_target
+    df = fx.cohort(spark, sf_dir).select(C.id, C.cohort, C.profession, C.label)
+    enc = fit_target(df.filter(F.col(C.cohort) == C.student), C.profession, C.label)
+    return apply_target(df, enc, C.profession, out="profession_te")
+
+
+@query("encode_target_oof")
+def q_encode_target_oof(spark, sf_dir):
+    """out-of-fold encoding over 5 seeded folds, one pass."""
+    from cohortframe.operators.encode import target_oof
+    from cohortframe.operators.rank import assign_folds
+    df = assign_folds(fx.cohort(spark, sf_dir).select(C.id, C.profession, C.label), k=5)
+    return target_oof(df, C.profession, C.label, out="profession_te")
+
+
+# --------------------------------------------------------------- G features
+
+def _feat_query(fn_names, version="current", keep_inputs=False):
+    def run(spark, sf_dir):
+        from cohortframe.operators import features as G
+        df = encoded_cohort(spark, sf_dir)
+        base = set(df.columns)
+        params = G.fit_features(df)
+        for n in fn_names:
+            f = getattr(G, n)
+            df = f(df, params, C) if n.startswith("satisfaction") else f(df, cols=C)
+        new = [c for c in df.columns if c not in base]
+        return df.select(C.id, *new)
+    return run
+
+
+for _name, _fns in {
+    "feat_lifestyle": ["lifestyle"],
+    "feat_satisfaction": ["stress", "satisfaction"],
+    "feat_risk": ["lifestyle", "stress", "risk"],
+    "feat_stress_v1": ["stress_v1"],
+    "feat_lifestyle_v1": ["lifestyle_v1"],
+    "feat_satisfaction_v1": ["stress_v1", "satisfaction_v1"],
+    "feat_risk_v1": ["stress_v1", "lifestyle_v1", "risk_v1"],
+    "feat_interactions": ["stress", "interactions"],
+    "feat_powers": ["stress", "powers"],
+}.items():
+    query(_name)(_feat_query(_fns))
+
+
+@query("feat_all")
+def q_feat_all(spark, sf_dir):
+    """G12 (current) + E14 fill, numeric output columns."""
+    from cohortframe.operators.impute import apply_fill, fit_fill
+    df = _features_frame(spark, sf_dir, "current")
+    df = apply_fill(df, fit_fill(df, exclude=(C.id, C.label)), exclude=(C.id, C.label))
+    from cohortframe.functions.columns import numeric_columns
+    return df.select(numeric_columns(df))
+
+
+@query("feat_all_v1")
+def q_feat_all_v1(spark, sf_dir):
+    """G12 (older set), numeric output columns."""
+    from cohortframe.functions.columns import numeric_columns
+    df = _features_frame(spark, sf_dir, "v1")
+    return df.select(numeric_columns(df))
+
+
+@query("feat_none")
+def q_feat_none(spark, sf_dir):
+    from cohortframe.functions.columns import numeric_columns
+    from cohortframe.operators.features import no_features
+    df = no_features(encoded_cohort(spark, sf_dir))
+    return df.select(numeric_columns(df))
+
+
+# --------------------------------------------------------------- H scaling
+
+@query("scale_standard")
+def q_scale_standard(spark, sf_dir):
+    from cohortframe.operators.scale import apply_scale, fit_scale
+    df = fx.cohort(spark, sf_dir).select(C.id, C.label, *C.numeric_profile)
+    return apply_scale(df, fit_scale(df, method="standard"), "standard")
+
+
+@query("scale_robust")
+def q_scale_robust(spark, sf_dir):
+    from cohortframe.operators.scale import apply_scale, fit_scale
+    df = fx.cohort(spark, sf_dir).select(C.id, C.label, *C.numeric_profile)
+    return apply_scale(df, fit_scale(df, method="robust"), "robust")
+
+
+@query("feat_missing_indicator")
+def q_feat_missing_indicator(spark, sf_dir):
+    from cohortframe.operators.scale import missing_indicators
+    df = fx.cohort(spark, sf_dir).select(C.id, C.label, *C.numeric_profile)
+    return missing_indicators(df)
+
+
+# --------------------------------------------------------------- J evaluation
+
+def _scored(spark, sf_dir):
+    return fx.scored(spark, sf_dir)
+
+
+@query("eval_confusion")
+def q_eval_confusion(spark, sf_dir):
+    from cohortframe.operators.evaluate import confusion_counts, confusion_long, predict_at
+    return confusion_long(confusion_counts(predict_at(_scored(spark, sf_dir), 0.5), ["model"]), ["model"])
+
+
+@query("eval_basic")
+def q_eval_basic(spark, sf_dir):
+    from cohortframe.operators.evaluate import basic_metrics, predict_at
+    return basic_metrics(predict_at(_scored(spark, sf_dir), 0.5), ["model"])
+
+
+@query("eval_auc")
+def q_eval_auc(spark, sf_dir):
+    from cohortframe.operators.evaluate import auc
+    return auc(_scored(spark, sf_dir), ["model"])
+
+
+@query("eval_class_report")
+def q_eval_class_report(spark, sf_dir):
+    from cohortframe.operators.evaluate import class_report, predict_at
+    return class_report(predict_at(_scored(spark, sf_dir), 0.5), ["model"])
+
+
+@query("eval_roc")
+def q_eval_roc(spark, sf_dir):
+    from cohortframe.operators.evaluate import roc_points
+    return roc_points(_scored(spark, sf_dir), ["model"])
+
+
+@query("eval_pr")
+def q_eval_pr(spark, sf_dir):
+    from cohortframe.operators.evaluate import pr_points
+    return pr_points(_scored(spark, sf_dir), ["model"])
+
+
+@query("eval_logloss")
+def q_eval_logloss(spark, sf_dir):
+    from cohortframe.operators.evaluate import log_loss
+    return log_loss(_scored(spark, sf_dir), ["model"])
+
+
+def _members_long(spark, sf_dir):
+    """Three member scores as a long (id, label, model, score) table."""
+    m = fx.members(spark, sf_dir)
+    return m.select("id", "label", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("model"), F.col(f"score_{n}").alias("score")) for n in ("a", "b", "c")])))
+
+
+def _members_sets(spark, sf_dir):
+    """Member scores with a seeded stratified train/validation split."""
+    from cohortframe.operators.rank import split_stratified
+    m = split_stratified(fx.members(spark, sf_dir), "id", "label", 0.2, 55, "dataset")
+    m = m.withColumn("dataset", F.when(F.col("dataset") == "val", "Validation").otherwise("Train"))
+    return m.select("id", "label", "dataset", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("model"), F.col(f"score_{n}").alias("score")) for n in ("a", "b", "c")])))
+
+
+@query("eval_all")
+def q_eval_all(spark, sf_dir):
+    """Every metric for every (model, dataset) in one plan."""
+    from cohortframe.operators.evaluate import evaluate_all
+    return evaluate_all(_members_sets(spark, sf_dir), ["model", "dataset"]).drop("tn", "fp", "fn", "tp")
+
+
+@query("eval_compare")
+def q_eval_compare(spark, sf_dir):
+    from cohortframe.operators.evaluate import compare_models, evaluate_all, metrics_long
+    wide = evaluate_all(_members_sets(spark, sf_dir), ["model", "dataset"])
+    return compare_models(metrics_long(wide))
+
+
+@query("eval_best_model")
+def q_eval_best_model(spark, sf_dir):
+    from cohortframe.operators.evaluate import best_model, evaluate_all
+    return best_model(evaluate_all(_members_sets(spark, sf_dir), ["model", "dataset"]))
+
+
+@query("thr_sweep")
+def q_thr_sweep(spark, sf_dir):
+    from cohortframe.operators.evaluate import threshold_sweep
+    return threshold_sweep(_scored(spark, sf_dir), ["model"])
+
+
+@query("thr_best")
+def q_thr_best(spark, sf_dir):
+    from cohortframe.operators.evaluate import best_threshold, threshold_sweep
+    return best_threshold(threshold_sweep(_scored(spark, sf_dir), ["model"]), ["model"], "f1")
+
+
+@query("thr_eval")
+def q_thr_eval(spark, sf_dir):
+    from cohortframe.operators.evaluate import best_threshold, evaluate_at, threshold_sweep
+    s = _scored(spark, sf_dir)
+    best = best_threshold(threshold_sweep(s, ["model"]), ["model"])
+    return evaluate_at(s, best, ["model"]).drop("tn", "fp", "fn", "tp")
+
+
+@query("thr_compare")
+def q_thr_compare(spark, sf_dir):
+    from cohortframe.operators.evaluate import compare_thresholds
+    return compare_thresholds(_scored(spark, sf_dir)).drop("tn", "fp", "fn", "tp")
+
+
+@query("thr_all_models")
+def q_thr_all_models(spark, sf_dir):
+    """Best F1 threshold of each of the three member models."""
+    from cohortframe.operators.evaluate import best_threshold, threshold_sweep
+    return best_threshold(threshold_sweep(_members_long(spark, sf_dir), ["model"]), ["model"])
+
+
+# --------------------------------------------------------------- I14-I16
+
+@query("ensemble_average")
+def q_ensemble_average(spark, sf_dir):
+    """Mean of the members' probabilities, label at 0.5."""
+    from cohortframe.operators.models import ensemble_mean
+    e = ensemble_mean(fx.members(spark, sf_dir), ["score_a", "score_b", "score_c"])
+    return e.select("id", "label", "ensemble_score", (F.col("ensemble_score") >= 0.5).cast("int").alias("prediction"))
+
+
+@query("ensemble_threshold")
+def q_ensemble_threshold(spark, sf_dir):
+    """Mean of the members' best thresholds."""
+    from cohortframe.operators.evaluate import best_threshold, threshold_sweep
+    from cohortframe.operators.models import ensemble_threshold
+    best = best_threshold(threshold_sweep(_members_long(spark, sf_dir), ["model"]), ["model"])
+    return ensemble_threshold(best)
+
+
+@query("predict_distribution")
+def q_predict_distribution(spark, sf_dir):
+    """I16: count and percent per predicted class at the ensemble threshold."""
+    from cohortframe.operators.models import ensemble_predict, prediction_distribution
+    pred = ensemble_predict(fx.members(spark, sf_dir), ["score_a", "score_b", "score_c"],
+                            _ens_threshold(spark, sf_dir))
+    return prediction_distribution(pred)
+
+
+def _ens_threshold(spark, sf_dir):
+    from cohortframe.operators.evaluate import best_threshold, threshold_sweep
+    from cohortframe.operators.models import ensemble_threshold
+    best = best_threshold(threshold_sweep(_members_long(spark, sf_dir), ["model"]), ["model"])
+    return ensemble_threshold(best).first()["threshold"]
+
+
+@query("predict_submission")
+def q_predict_submission(spark, sf_dir):
+    """(id, label) rows of the ensemble prediction."""
+    from cohortframe.operators.models import ensemble_predict
+    pred = ensemble_predict(fx.members(spark, sf_dir), ["score_a", "score_b", "score_c"],
+                            _ens_threshold(spark, sf_dir))
+    return pred.select("id", F.col("prediction").alias("label"))
+
+
+# --------------------------------------------------------------- L validation
+
+@query("validate_output")
+def q_validate_output(spark, sf_dir):
+    """L1: ensemble submission checked against the order ids."""
+    from cohortframe.operators.models import ensemble_predict
+    from cohortframe.operators.validate import validate_output
+    from cohortframe.sources.tables import read_table
+    pred = ensemble_predict(fx.members(spark, sf_dir), ["score_a", "score_b", "score_c"],
+                            _ens_threshold(spark, sf_dir))
+    sub = pred.select("id", F.col("prediction").alias("label"))
+    sample = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"),
+                                                         F.lit(0).alias("label"))
+    return validate_output(sub, sample)
