@@ -419,3 +419,390 @@ SELECT id, label, CAST(({_rank_sql('cohort', 'label')} - 1) % 5 AS INTEGER) AS f
 ORACLE["sample_exact"] = with_("cohort") + f"""
 SELECT id, label FROM (SELECT id, label, {_rank_sql('cohort', None)} AS rn FROM cohort) WHERE rn <= 2000
 """
+
+
+# ------------------------------------------------------------------ F
+
+_ENC = """enc AS (SELECT * REPLACE (
+  CAST(CASE sleep_duration WHEN 'Less than 5 hours' THEN 1 WHEN '5-6 hours' THEN 2 WHEN '6-7 hours' THEN 4
+       WHEN '7-8 hours' THEN 5 WHEN 'More than 8 hours' THEN 2 END AS DOUBLE) AS sleep_duration,
+  CAST(CASE dietary_habits WHEN 'Healthy' THEN 0 WHEN 'Moderate' THEN 1 WHEN 'Unhealthy' THEN 3 END AS DOUBLE) AS dietary_habits,
+  CAST(CASE coalesce(suicidal, 'nan') WHEN 'No' THEN 0 WHEN 'Yes' THEN 1 ELSE 2 END AS INTEGER) AS suicidal,
+  CAST(CASE coalesce(family_history, 'nan') WHEN 'No' THEN 0 WHEN 'Yes' THEN 1 ELSE 2 END AS INTEGER) AS family_history)
+  FROM cohort)"""
+
+_ORD_ONLY = """SELECT id,
+  CAST(CASE sleep_duration WHEN 'Less than 5 hours' THEN 1 WHEN '5-6 hours' THEN 2 WHEN '6-7 hours' THEN 4
+       WHEN '7-8 hours' THEN 5 WHEN 'More than 8 hours' THEN 2 END AS DOUBLE) AS sleep_duration,
+  CAST(CASE dietary_habits WHEN 'Healthy' THEN 0 WHEN 'Moderate' THEN 1 WHEN 'Unhealthy' THEN 3 END AS DOUBLE) AS dietary_habits
+FROM cohort"""
+
+ORACLE["encode_ordinal"] = with_("cohort") + "\n" + _ORD_ONLY
+
+_LAB_COLS = ["gender", "cohort", "profession", "suicidal", "family_history"]
+_LAB_INPUT = """lab_in AS (SELECT id, gender, age, cohort, profession, academic_pressure, work_pressure, cgpa,
+  study_satisfaction, job_satisfaction,
+  CAST(CASE sleep_duration WHEN 'Less than 5 hours' THEN 1 WHEN '5-6 hours' THEN 2 WHEN '6-7 hours' THEN 4
+       WHEN '7-8 hours' THEN 5 WHEN 'More than 8 hours' THEN 2 END AS DOUBLE) AS sleep_duration,
+  CAST(CASE dietary_habits WHEN 'Healthy' THEN 0 WHEN 'Moderate' THEN 1 WHEN 'Unhealthy' THEN 3 END AS DOUBLE) AS dietary_habits,
+  suicidal, hours, financial_stress, family_history, label FROM cohort)"""
+
+
+def _tok(c, expr=None):
+    return f"coalesce({expr or c}, '{'Unknown' if c == 'profession' else 'nan'}')"
+
+
+def _dict_ctes(src_where: str = "TRUE"):
+    return ",\n".join(
+        f"d_{c} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS idx FROM "
+        f"(SELECT DISTINCT {_tok(c)} AS v FROM lab_in WHERE {src_where}))" for c in _LAB_COLS)
+
+
+def _label_select(unseen: bool):
+    sel = []
+    for c in ["id", "gender", "age", "cohort", "profession", "academic_pressure", "work_pressure", "cgpa",
+              "study_satisfaction", "job_satisfaction", "sleep_duration", "dietary_habits", "suicidal", "hours",
+              "financial_stress", "family_history", "label"]:
+        if c in _LAB_COLS:
+            if unseen:
+                fb = (f"coalesce((SELECT idx FROM d_{c} WHERE v = 'Unknown'), "
+                      f"(SELECT CAST(count(*) AS INTEGER) FROM d_{c}))")
+                sel.append(f"coalesce((SELECT idx FROM d_{c} WHERE v = {_tok(c, 'x.' + c)}), {fb}) AS {c}")
+            else:
+                sel.append(f"(SELECT idx FROM d_{c} WHERE v = {_tok(c, 'x.' + c)}) AS {c}")
+        elif c in ("id", "label"):
+            sel.append(f"x.{c}")
+        else:
+            sel.append(f"{r6('x.' + c)} AS {c}")
+    return "SELECT " + ", ".join(sel) + " FROM lab_in x"
+
+
+ORACLE["encode_label"] = with_("cohort") + ",\n" + _LAB_INPUT + ",\n" + _dict_ctes() + "\n" + _label_select(False)
+ORACLE["encode_label_unseen"] = with_("cohort") + ",\n" + _LAB_INPUT + ",\n" + _dict_ctes(
+    "cohort = 'Student'") + "\n" + _label_select(True)
+ORACLE["encode_label_dictionary"] = with_("cohort") + ",\n" + _LAB_INPUT + ",\n" + _dict_ctes() + "\n" + \
+    "\nUNION ALL\n".join(f"SELECT 'label' AS stage, '{c}' AS feature, 'all' AS cohort, 'index' AS stat, "
+                         f"CAST(idx AS DOUBLE) AS value, v AS value_str FROM d_{c}" for c in _LAB_COLS)
+
+ORACLE["encode_target_fit"] = with_("cohort") + """,
+g AS (SELECT avg(label) AS gm FROM cohort)
+SELECT 'target' AS stage, 'profession' AS feature, 'all' AS cohort, 'mean' AS stat,
+       round((sum(label) + gm * 10) / (count(*) + 10), 6) AS value, profession AS value_str
+FROM cohort, g WHERE profession IS NOT NULL GROUP BY profession, gm
+UNION ALL
+SELECT 'target', 'profession', 'all', 'global', round(gm, 6), NULL FROM g
+"""
+
+ORACLE["encode_target_apply"] = with_("cohort") + """,
+g AS (SELECT avg(label) AS gm FROM cohort WHERE cohort = 'Student'),
+m AS (SELECT profession AS k, (sum(label) + (SELECT gm FROM g) * 10) / (count(*) + 10) AS te
+      FROM cohort WHERE cohort = 'Student' AND profession IS NOT NULL GROUP BY profession)
+SELECT c.id, c.cohort, c.profession, c.label, round(coalesce(m.te, (SELECT gm FROM g)), 6) AS profession_te
+FROM cohort c LEFT JOIN m ON c.profession = m.k
+"""
+
+ORACLE["encode_target_oof"] = with_("cohort") + f""",
+f AS (SELECT id, profession, label, CAST(({_rank_sql('cohort', None)} - 1) % 5 AS INTEGER) AS fold FROM cohort),
+g AS (SELECT avg(label) AS gm FROM f),
+pf AS (SELECT fold, profession, sum(label) AS s, count(*) AS n FROM f WHERE profession IS NOT NULL GROUP BY fold, profession),
+tot AS (SELECT profession, sum(s) AS s, sum(n) AS n FROM pf GROUP BY profession),
+oth AS (SELECT pf.fold, pf.profession, tot.s - pf.s AS os, tot.n - pf.n AS onn FROM pf JOIN tot USING (profession))
+SELECT f.id, f.profession, f.label, f.fold,
+  round(CASE WHEN oth.onn > 0 THEN (oth.os + (SELECT gm FROM g) * 10) / (oth.onn + 10) ELSE (SELECT gm FROM g) END, 6)
+    AS profession_te
+FROM f LEFT JOIN oth ON f.fold = oth.fold AND f.profession = oth.profession
+"""
+
+# ------------------------------------------------------------------ G
+
+_NM_STRESS, _N_STRESS = _nan_mean(["academic_pressure", "work_pressure", "financial_stress"])
+_NM_SAT, _ = _nan_mean(["study_satisfaction", "job_satisfaction"])
+_S = _stress_sql()
+_FEAT_CTES = f""",
+{_ENC},
+g1 AS (SELECT *, {_S['total_stress_index']} AS total_stress_index, {_S['max_stress']} AS max_stress,
+   {_S['stress_variance']} AS stress_variance, {_S['stress_saturated']} AS stress_saturated FROM enc),
+g2 AS (SELECT *, CASE WHEN hours + 1 <> 0 THEN 1.0 / (hours + 1) END AS work_life_balance,
+   CAST(coalesce(hours >= 10, FALSE) AS INTEGER) AS overwork_flag, ln(1 + hours) AS hours_saturated,
+   CAST(coalesce(sleep_duration = 5, FALSE) AS INTEGER) AS sleep_optimal,
+   CAST(coalesce(sleep_duration = 1, FALSE) AS INTEGER) AS sleep_poor,
+   CAST(coalesce(dietary_habits = 3, FALSE) AS INTEGER) AS diet_unhealthy,
+   CAST(coalesce(dietary_habits = 0, FALSE) AS INTEGER) AS diet_healthy FROM g1),
+g3 AS (SELECT *, {_NM_SAT} AS overall_satisfaction,
+   CAST(coalesce({_NM_SAT} < 2.0 AND total_stress_index > 3.0, FALSE) AS INTEGER) AS low_satisfaction_high_stress,
+   CAST(CAST(coalesce(cgpa >= (SELECT median(cgpa) FROM enc), FALSE) AS INTEGER) AS DOUBLE) AS high_achiever FROM g2),
+g4 AS (SELECT *, suicidal + family_history + overwork_flag AS total_risk_factors,
+   suicidal * family_history AS suicidal_family_risk, overwork_flag * total_stress_index AS overwork_high_stress,
+   CAST(coalesce(age <= 30, FALSE) AS INTEGER) AS youth_risk FROM g3),
+v1 AS (SELECT *, (academic_pressure + work_pressure + financial_stress) / 3.0 AS total_stress_index,
+   CASE WHEN academic_pressure IS NULL OR work_pressure IS NULL OR financial_stress IS NULL THEN NULL
+        ELSE greatest(academic_pressure, work_pressure, financial_stress) END AS max_stress,
+   academic_pressure * hours AS academic_intensity, work_pressure * hours AS work_intensity FROM enc),
+v1b AS (SELECT *, ((academic_pressure - total_stress_index) ^ 2 + (work_pressure - total_stress_index) ^ 2
+   + (financial_stress - total_stress_index) ^ 2) / 3.0 AS stress_variance,
+   CASE WHEN hours + 1 <> 0 THEN 1.0 / (hours + 1) END AS work_life_balance,
+   CAST(coalesce(hours >= 10, FALSE) AS INTEGER) AS overwork_flag,
+   (sleep_duration + dietary_habits) / 2.0 AS lifestyle_score,
+   (study_satisfaction + job_satisfaction) / 2.0 AS overall_satisfaction FROM v1),
+v1c AS (SELECT *, CASE WHEN total_stress_index + 1 <> 0 THEN (overall_satisfaction + 1) / (total_stress_index + 1) END
+     AS satisfaction_stress_ratio,
+   CAST(coalesce(cgpa >= (SELECT median(cgpa) FROM enc), FALSE) AS INTEGER) AS high_achiever,
+   family_history * total_stress_index AS family_stress_interaction,
+   CAST(coalesce(age <= 30, FALSE) AS INTEGER) AS youth_risk, age * total_stress_index AS age_stress_interaction,
+   suicidal + family_history + overwork_flag AS total_risk_factors,
+   academic_pressure * hours AS academic_pressure_x_hours, work_pressure * hours AS work_pressure_x_hours,
+   financial_stress * hours AS financial_stress_x_hours, age * academic_pressure AS age_x_academic_pressure,
+   age * work_pressure AS age_x_work_pressure, suicidal * total_stress_index AS suicidal_x_total_stress_index,
+   pow(age, 2) AS age_pow2, pow(hours, 2) AS hours_pow2, pow(total_stress_index, 2) AS total_stress_index_pow2 FROM v1b)"""
+
+_INT_OUT = {"id", "label", "suicidal", "family_history", "overwork_flag", "sleep_optimal", "sleep_poor",
+            "diet_unhealthy", "diet_healthy", "low_satisfaction_high_stress", "total_risk_factors",
+            "suicidal_family_risk", "youth_risk"}
+
+
+def _sel(cols, src, ints=_INT_OUT):
+    return "SELECT " + ", ".join(c if c in ints else f"{r6(c)} AS {c}" for c in cols) + f" FROM {src}"
+
+
+_STRESS4 = ["total_stress_index", "max_stress", "stress_variance", "stress_saturated"]
+_LIFE7 = ["work_life_balance", "overwork_flag", "hours_saturated", "sleep_optimal", "sleep_poor",
+          "diet_unhealthy", "diet_healthy"]
+_SAT3 = ["overall_satisfaction", "low_satisfaction_high_stress", "high_achiever"]
+_RISK4 = ["total_risk_factors", "suicidal_family_risk", "overwork_high_stress", "youth_risk"]
+_V1_STRESS = ["total_stress_index", "max_stress", "stress_variance", "academic_intensity", "work_intensity"]
+_V1_LIFE = ["work_life_balance", "overwork_flag", "lifestyle_score"]
+_V1_SAT = ["overall_satisfaction", "satisfaction_stress_ratio", "high_achiever"]
+_V1_RISK = ["family_stress_interaction", "youth_risk", "age_stress_interaction", "total_risk_factors"]
+_INTER = ["academic_pressure_x_hours", "work_pressure_x_hours", "financial_stress_x_hours",
+          "age_x_academic_pressure", "age_x_work_pressure", "suicidal_x_total_stress_index"]
+_POW = ["age_pow2", "hours_pow2", "total_stress_index_pow2"]
+
+_G_BASE = with_("cohort") + _FEAT_CTES + "\n"
+ORACLE["feat_lifestyle"] = _G_BASE + _sel(["id"] + _LIFE7, "g4")
+ORACLE["feat_satisfaction"] = _G_BASE + _sel(["id"] + _STRESS4 + _SAT3, "g4")
+ORACLE["feat_risk"] = _G_BASE + _sel(["id"] + _LIFE7 + _STRESS4 + _RISK4, "g4")
+ORACLE["feat_stress_v1"] = _G_BASE + _sel(["id"] + _V1_STRESS, "v1c")
+ORACLE["feat_lifestyle_v1"] = _G_BASE + _sel(["id"] + _V1_LIFE, "v1c")
+ORACLE["feat_satisfaction_v1"] = _G_BASE + _sel(["id"] + _V1_STRESS + _V1_SAT, "v1c", _INT_OUT | {"high_achiever"})
+ORACLE["feat_risk_v1"] = _G_BASE + _sel(["id"] + _V1_STRESS + _V1_LIFE + _V1_RISK, "v1c")
+ORACLE["feat_interactions"] = _G_BASE.replace(
+    "suicidal * total_stress_index AS suicidal_x_total_stress_index", "suicidal * total_stress_index AS sxt_v1") + \
+    "SELECT id, " + ", ".join(f"{r6(c)} AS {c}" for c in _STRESS4) + ", " + ", ".join(
+        f"{r6(c)} AS {c}" for c in _INTER[:5]) + ", " + r6("suicidal * total_stress_index") + \
+    " AS suicidal_x_total_stress_index FROM (SELECT g4.*, v1c.academic_pressure_x_hours, v1c.work_pressure_x_hours, " \
+    "v1c.financial_stress_x_hours, v1c.age_x_academic_pressure, v1c.age_x_work_pressure FROM g4 JOIN v1c USING (id))"
+ORACLE["feat_powers"] = _G_BASE + "SELECT id, " + ", ".join(f"{r6(c)} AS {c}" for c in _STRESS4) + \
+    ", " + r6("pow(age, 2)") + " AS age_pow2, " + r6("pow(hours, 2)") + " AS hours_pow2, " + \
+    r6("pow(total_stress_index, 2)") + " AS total_stress_index_pow2 FROM g4"
+
+_ENC_NUM = ["id", "age", "academic_pressure", "work_pressure", "cgpa", "study_satisfaction", "job_satisfaction",
+            "sleep_duration", "dietary_habits", "suicidal", "hours", "financial_stress", "family_history", "label"]
+_CUR = _STRESS4 + _LIFE7 + _SAT3 + _RISK4
+ORACLE["feat_all"] = _G_BASE + "SELECT " + ", ".join(
+    c if c in ("id", "label") else f"{r6(f'coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM g4))')} AS {c}"
+    for c in _ENC_NUM + _CUR) + " FROM g4"
+ORACLE["fill_inf_null"] = _G_BASE + "SELECT " + ", ".join(
+    [c if c in ("id", "label") else f"{r6(f'coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM g4))')} AS {c}"
+     for c in _ENC_NUM + _CUR] + ["name", "gender", "city", "cohort", "profession", "degree"]) + " FROM g4"
+ORACLE["feat_all_v1"] = _G_BASE + _sel(_ENC_NUM + _V1_STRESS + _V1_LIFE + _V1_SAT + _V1_RISK + _INTER + _POW, "v1c",
+                                       _INT_OUT | {"high_achiever"})
+ORACLE["feat_none"] = _G_BASE + _sel(_ENC_NUM, "enc")
+
+# ------------------------------------------------------------------ H
+
+ORACLE["scale_standard"] = with_("cohort") + ",\nst AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}" for c in _PROFILE8) + \
+    " FROM cohort)\nSELECT id, label, " + ", ".join(f"{r6(f'({c} - m_{c}) / s_{c}')} AS {c}" for c in _PROFILE8) + \
+    " FROM cohort, st"
+
+ORACLE["scale_robust"] = with_("cohort") + ",\nst AS (SELECT " + ", ".join(
+    f"median({c}) AS m_{c}, CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 THEN 1.0 "
+    f"ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS s_{c}" for c in _PROFILE8) + \
+    " FROM cohort)\nSELECT id, label, " + ", ".join(f"{r6(f'({c} - m_{c}) / s_{c}')} AS {c}" for c in _PROFILE8) + \
+    " FROM cohort, st"
+
+ORACLE["feat_missing_indicator"] = with_("cohort") + "\nSELECT id, label, " + ", ".join(
+    f"{r6(c)} AS {c}" for c in _PROFILE8) + ", " + ", ".join(
+    f"CAST({c} IS NULL AS INTEGER) AS {c}__missing" for c in _PROFILE8) + " FROM cohort"
+
+
+# ------------------------------------------------------------------ J
+
+
+def _counts(src, by, t="0.5"):
+    return (f"SELECT {by}, count(*) FILTER (WHERE label = 0 AND score < {t}) AS tn, "
+            f"count(*) FILTER (WHERE label = 0 AND score >= {t}) AS fp, "
+            f"count(*) FILTER (WHERE label = 1 AND score < {t}) AS fn, "
+            f"count(*) FILTER (WHERE label = 1 AND score >= {t}) AS tp FROM {src} GROUP BY {by}")
+
+
+def _metrics(cols=True):
+    m = ("round(CASE WHEN tp + tn + fp + fn = 0 THEN 0 ELSE (tp + tn) * 1.0 / (tp + tn + fp + fn) END, 6) AS accuracy, "
+         "round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp * 1.0 / (tp + fp) END, 6) AS precision, "
+         "round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp * 1.0 / (tp + fn) END, 6) AS recall, "
+         "round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2.0 * tp / (2 * tp + fp + fn) END, 6) AS f1")
+    if cols:
+        m = ("CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, "
+             + m)
+    return m
+
+
+def _auc_rank(src, by):
+    """Mann-Whitney form: average ranks (ties averaged) of the positives."""
+    return f"""(SELECT {by}, (sum(ar) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1)
+        * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+        / NULLIF(count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0), 0) AS auc
+   FROM (SELECT {by}, label, rank() OVER (PARTITION BY {by} ORDER BY score)
+                + (count(*) OVER (PARTITION BY {by}, score) - 1) / 2.0 AS ar FROM {src})
+   GROUP BY {by})"""
+
+
+ORACLE["eval_confusion"] = with_("scored") + f""",
+c AS ({_counts('scored', 'model')})
+SELECT model, 0 AS actual, 0 AS predicted, CAST(tn AS BIGINT) AS n FROM c
+UNION ALL SELECT model, 0, 1, CAST(fp AS BIGINT) FROM c
+UNION ALL SELECT model, 1, 0, CAST(fn AS BIGINT) FROM c
+UNION ALL SELECT model, 1, 1, CAST(tp AS BIGINT) FROM c
+"""
+
+ORACLE["eval_basic"] = with_("scored") + f""",
+c AS ({_counts('scored', 'model')})
+SELECT model, {_metrics()} FROM c
+"""
+
+ORACLE["eval_auc"] = with_("scored") + f"\nSELECT model, round(auc, 6) AS auc FROM {_auc_rank('scored', 'model')}"
+
+ORACLE["eval_class_report"] = with_("scored") + f""",
+c AS ({_counts('scored', 'model')}),
+p AS (SELECT model, tn, fp, fn, tp,
+  CASE WHEN tn + fn = 0 THEN 0 ELSE tn * 1.0 / (tn + fn) END AS p0, CASE WHEN tn + fp = 0 THEN 0 ELSE tn * 1.0 / (tn + fp) END AS r0,
+  CASE WHEN tp + fp = 0 THEN 0 ELSE tp * 1.0 / (tp + fp) END AS p1, CASE WHEN tp + fn = 0 THEN 0 ELSE tp * 1.0 / (tp + fn) END AS r1,
+  tn + fp AS s0, tp + fn AS s1 FROM c),
+q AS (SELECT *, CASE WHEN p0 + r0 = 0 THEN 0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f0,
+               CASE WHEN p1 + r1 = 0 THEN 0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f1, s0 + s1 AS n FROM p)
+SELECT model, '0' AS class_name, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1, CAST(s0 AS BIGINT) AS support FROM q
+UNION ALL SELECT model, '1', round(p1, 6), round(r1, 6), round(f1, 6), CAST(s1 AS BIGINT) FROM q
+UNION ALL SELECT model, 'accuracy', NULL, NULL, round((tp + tn) * 1.0 / n, 6), CAST(n AS BIGINT) FROM q
+UNION ALL SELECT model, 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), CAST(n AS BIGINT) FROM q
+UNION ALL SELECT model, 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
+  round((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM q
+"""
+
+_CURVE = """,
+d AS (SELECT model, score, sum(label) AS pos, count(*) - sum(label) AS neg FROM scored GROUP BY model, score),
+c AS (SELECT model, score, sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS tp,
+             sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS fp,
+             sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N FROM d)"""
+
+ORACLE["eval_roc"] = with_("scored") + _CURVE + """
+SELECT model, round(score, 6) AS threshold, round(fp * 1.0 / N, 6) AS fpr, round(tp * 1.0 / P, 6) AS tpr FROM c
+"""
+
+ORACLE["eval_pr"] = with_("scored") + _CURVE + """
+SELECT model, round(score, 6) AS threshold, round(tp * 1.0 / (tp + fp), 6) AS precision, round(tp * 1.0 / P, 6) AS recall FROM c
+UNION ALL SELECT DISTINCT model, NULL, 1.0, 0.0 FROM scored
+"""
+
+_LL = "-avg(label * ln(least(greatest(score, 1e-15), 1 - 1e-15)) + (1 - label) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15)))"
+
+ORACLE["eval_logloss"] = with_("scored") + f"\nSELECT model, round({_LL}, 6) AS log_loss FROM scored GROUP BY model"
+
+_MSETS = f""",
+{_quota_sql('members')},
+sp AS (SELECT m.*, CASE WHEN row_number() OVER (PARTITION BY m.label ORDER BY md5(CAST(m.id AS VARCHAR) || ':' || '55'), m.id)
+       <= q.qv THEN 'Validation' ELSE 'Train' END AS dataset FROM members m JOIN quota q ON m.label = q.label),
+ml AS (SELECT id, label, dataset, 'a' AS model, score_a AS score FROM sp
+       UNION ALL SELECT id, label, dataset, 'b', score_b FROM sp
+       UNION ALL SELECT id, label, dataset, 'c', score_c FROM sp),
+cnt2 AS ({_counts('ml', 'model, dataset')}),
+au AS {_auc_rank('ml', 'model, dataset')},
+ll AS (SELECT model, dataset, {_LL} AS log_loss FROM ml GROUP BY model, dataset),
+allm AS (SELECT cnt2.model, cnt2.dataset, {_metrics(False)}, round(au.auc, 6) AS auc, round(ll.log_loss, 6) AS log_loss
+         FROM cnt2 JOIN au USING (model, dataset) JOIN ll USING (model, dataset))"""
+
+ORACLE["eval_all"] = with_("members") + _MSETS + "\nSELECT * FROM allm"
+
+ORACLE["eval_compare"] = with_("members") + _MSETS + "\n" + "\nUNION ALL\n".join(
+    f"SELECT model, '{m}' AS metric, max({m}) FILTER (WHERE dataset = 'Train') AS \"Train\", "
+    f"max({m}) FILTER (WHERE dataset = 'Validation') AS \"Validation\" FROM allm GROUP BY model"
+    for m in ("accuracy", "auc", "f1", "precision", "recall"))
+
+ORACLE["eval_best_model"] = with_("members") + _MSETS + """
+SELECT model, f1, accuracy FROM allm WHERE dataset = 'Validation' ORDER BY f1 DESC, accuracy DESC, model LIMIT 1
+"""
+
+
+def _sweep(src, thresholds_sql):
+    return f"""grid AS ({thresholds_sql}),
+sw AS (SELECT s.model, grid.t AS threshold,
+   count(*) FILTER (WHERE s.label = 1 AND s.score >= grid.t) AS tp,
+   count(*) FILTER (WHERE s.label = 0 AND s.score >= grid.t) AS fp,
+   count(*) FILTER (WHERE s.label = 1 AND s.score < grid.t) AS fn,
+   count(*) FILTER (WHERE s.label = 0 AND s.score < grid.t) AS tn
+   FROM {src} s, grid GROUP BY s.model, grid.t),
+swm AS (SELECT model, threshold, {_metrics(False)} FROM sw)"""
+
+
+_GRID = "SELECT CAST(k AS DOUBLE) / 100 AS t FROM range(10, 91) r(k)"
+_BEST = """best AS (SELECT model, max(f1) AS best_score, min(threshold) FILTER (WHERE rk = 1) AS bt FROM
+   (SELECT *, rank() OVER (PARTITION BY model ORDER BY f1 DESC) AS rk FROM swm) GROUP BY model),
+bestt AS (SELECT model, CASE WHEN best_score > 0 THEN bt ELSE 0.5 END AS best_threshold,
+   greatest(best_score, 0.0) AS best_score FROM best)"""
+
+ORACLE["thr_sweep"] = with_("scored") + ",\n" + _sweep("scored", _GRID) + "\nSELECT * FROM swm"
+ORACLE["thr_best"] = with_("scored") + ",\n" + _sweep("scored", _GRID) + ",\n" + _BEST + \
+    "\nSELECT model, round(best_threshold, 6) AS best_threshold, round(best_score, 6) AS best_score FROM bestt"
+
+ORACLE["thr_eval"] = with_("scored") + ",\n" + _sweep("scored", _GRID) + ",\n" + _BEST + f""",
+ev AS (SELECT s.model, b.best_threshold AS threshold,
+   count(*) FILTER (WHERE s.label = 1 AND s.score >= b.best_threshold) AS tp,
+   count(*) FILTER (WHERE s.label = 0 AND s.score >= b.best_threshold) AS fp,
+   count(*) FILTER (WHERE s.label = 1 AND s.score < b.best_threshold) AS fn,
+   count(*) FILTER (WHERE s.label = 0 AND s.score < b.best_threshold) AS tn
+   FROM scored s JOIN bestt b ON s.model = b.model GROUP BY s.model, b.best_threshold),
+au AS {_auc_rank('scored', 'model')}
+SELECT ev.model, round(threshold, 6) AS threshold, {_metrics(False)}, round(au.auc, 6) AS auc FROM ev JOIN au USING (model)
+"""
+
+ORACLE["thr_compare"] = with_("scored") + ",\n" + _sweep(
+    "scored", "SELECT unnest([0.3, 0.4, 0.5, 0.6, 0.7]::DOUBLE[]) AS t") + "\nSELECT * FROM swm"
+
+_MLONG = """,
+ml AS (SELECT id, label, 'a' AS model, score_a AS score FROM members
+       UNION ALL SELECT id, label, 'b', score_b FROM members
+       UNION ALL SELECT id, label, 'c', score_c FROM members)"""
+
+ORACLE["thr_all_models"] = with_("members") + _MLONG + ",\n" + _sweep("ml", _GRID) + ",\n" + _BEST + \
+    "\nSELECT model, round(best_threshold, 6) AS best_threshold, round(best_score, 6) AS best_score FROM bestt"
+
+# ------------------------------------------------------------------ I14-I16, A6, L
+
+ORACLE["ensemble_average"] = with_("members") + """
+SELECT id, label, round((score_a + score_b + score_c) / 3.0, 6) AS ensemble_score,
+       CAST((score_a + score_b + score_c) / 3.0 >= 0.5 AS INTEGER) AS prediction FROM members
+"""
+
+_ENS_T = with_("members") + _MLONG + ",\n" + _sweep("ml", _GRID) + ",\n" + _BEST + """,
+et AS (SELECT avg(coalesce(best_threshold, 0.5)) AS t FROM bestt),
+pred AS (SELECT id, CAST((score_a + score_b + score_c) / 3.0 >= (SELECT t FROM et) AS INTEGER) AS prediction FROM members)"""
+
+ORACLE["ensemble_threshold"] = _ENS_T + "\nSELECT round(t, 6) AS threshold FROM et"
+ORACLE["predict_distribution"] = _ENS_T + """
+SELECT prediction, CAST(count(*) AS BIGINT) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM pred), 6) AS pct
+FROM pred GROUP BY prediction
+"""
+ORACLE["predict_submission"] = _ENS_T + "\nSELECT id, prediction AS label FROM pred"
+ORACLE["validate_output"] = _ENS_T + """,
+o AS (SELECT o_orderkey AS id FROM orders),
+j AS (SELECT pred.id AS a, o.id AS b FROM pred FULL OUTER JOIN o ON pred.id = o.id),
+k AS (SELECT (SELECT count(*) FROM pred) AS n_sub, (SELECT count(*) FROM o) AS n_sample,
+             (SELECT count(*) FROM j WHERE a IS NULL OR b IS NULL) AS mism,
+             (SELECT count(*) FROM pred WHERE prediction NOT IN (0, 1)) AS bad,
+             (SELECT count(*) FROM pred WHERE id IS NULL OR prediction IS NULL) AS nul)
+SELECT 'submission' AS file, 'columns' AS "check", TRUE AS passed, '[''id'', ''label''] vs [''id'', ''label'']' AS detail
+UNION ALL SELECT 'submission', 'id_type', TRUE, 'warning only'
+UNION ALL SELECT 'submission', 'row_count', n_sub = n_sample, CAST(n_sub AS VARCHAR) || ' vs ' || CAST(n_sample AS VARCHAR) FROM k
+UNION ALL SELECT 'submission', 'ids', mism = 0, CAST(mism AS VARCHAR) || ' unmatched ids' FROM k
+UNION ALL SELECT 'submission', 'binary_labels', bad = 0, CAST(bad AS VARCHAR) || ' values outside {0,1}' FROM k
+UNION ALL SELECT 'submission', 'no_nulls', nul = 0, CAST(nul AS VARCHAR) || ' rows with NULL' FROM k
+"""
