@@ -149,8 +149,8 @@ def gbt_history(model: PipelineModel, train: DataFrame, val: DataFrame, label: s
     per frame."""
     gbt = model.stages[-1]
     asm = model.stages[0]
-    tr = gbt.evaluateEachIteration(asm.transform(with_label(train, label)), "logistic")
-    va = gbt.evaluateEachIteration(asm.transform(with_label(val, label)), "logistic")
+    tr = gbt.evaluateEachIteration(asm.transform(with_label(train, label)))
+    va = gbt.evaluateEachIteration(asm.transform(with_label(val, label)))
     return [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, va))]
 
 
@@ -205,7 +205,7 @@ def f1_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
 
 def cross_validate(df: DataFrame, features: list[str], kind: str, fold_col: str = "fold",
                    label: str = "label", metric: str = "f1", small: bool = True, param_maps=None,
-                   parallelism: int = 4, **override):
+                   parallelism: int = 4, n_folds: int = 5, **override):
     """CrossValidator over precomputed (stratified) folds.
     Returns the fitted CrossValidatorModel (``avgMetrics``, ``stdMetrics``)."""
     n = df.count() if kind == "logistic" else None
@@ -214,7 +214,7 @@ def cross_validate(df: DataFrame, features: list[str], kind: str, fold_col: str
     ev = f1_evaluator(label) if metric == "f1" else BinaryClassificationEvaluator(labelCol=label)
     maps = param_maps if param_maps is not None else ParamGridBuilder().build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=55)
+                        numFolds=n_folds, parallelism=parallelism, seed=55)
     return cv.fit(with_label(df, label)), est
 
 
@@ -247,7 +247,7 @@ def draw_params(kind: str, n_trials: int, seed: int = 55) -> list[dict]:
 
 def search_params(df: DataFrame, features: list[str], kind: str, n_trials: int = 5,
                   fold_col: str = "fold", label: str = "label", seed: int = 55,
-                  small: bool = True) -> DataFrame:
+                  small: bool = True, n_folds: int = 5) -> DataFrame:
     """Seeded random search scored by mean positive-class F1 over the
     folds; a trial that fails scores 0.0."""
     draws = draw_params(kind, n_trials, seed)
@@ -255,7 +255,7 @@ def search_params(df: DataFrame, features: list[str], kind: str, n_trials: int =
     maps = [{getattr(est, k): v for k, v in d.items()} for d in draws]
     pipe = Pipeline(stages=[assembler(features), est])
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=f1_evaluator(label),
-                        foldCol=fold_col, parallelism=4, seed=seed)
+                        foldCol=fold_col, numFolds=n_folds, parallelism=4, seed=seed)
     try:
         metrics = cv.fit(with_label(df, label)).avgMetrics
     except Exception:  # noqa: BLE001 -- a failed search scores 0.0, like a failed trial

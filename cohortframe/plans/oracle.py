@@ -806,3 +806,75 @@ UNION ALL SELECT 'submission', 'ids', mism = 0, CAST(mism AS VARCHAR) || ' unmat
 UNION ALL SELECT 'submission', 'binary_labels', bad = 0, CAST(bad AS VARCHAR) || ' values outside {0,1}' FROM k
 UNION ALL SELECT 'submission', 'no_nulls', nul = 0, CAST(nul AS VARCHAR) || ' rows with NULL' FROM k
 """
+
+ORACLE["stage_roundtrip"] = with_("cohort") + f""",
+{_quota_sql('cohort')},
+rk AS (SELECT id, label, age, hours, {_rank_sql('cohort', 'label')} AS rn FROM cohort)
+SELECT rk.id, rk.label, round(age, 6) AS age, round(hours, 6) AS hours FROM rk JOIN quota ON rk.label = quota.label
+WHERE rn <= qv
+"""
+ORACLE["params_roundtrip"] = ORACLE["impute_fit"]
+
+# ------------------------------------------------------------------ K
+
+_PHI = with_("cohort") + ",\nst AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}, "
+    f"median({c}) AS d_{c}, CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 THEN 1.0 "
+    f"ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS q_{c}" for c in _PROFILE8) + \
+    " FROM cohort),\nphi AS (" + "\nUNION ALL\n".join(
+        [f"SELECT id, cohort, 'standard' AS model, '{c}' AS feature, ({c} - m_{c}) / s_{c} AS phi FROM cohort, st "
+         f"WHERE {c} IS NOT NULL" for c in _PROFILE8] +
+        [f"SELECT id, cohort, 'robust', '{c}', ({c} - d_{c}) / q_{c} FROM cohort, st WHERE {c} IS NOT NULL"
+         for c in _PROFILE8]) + "),\n" + """imp AS (SELECT model, feature, avg(abs(phi)) AS importance FROM phi GROUP BY model, feature),
+ia AS (SELECT feature, avg(abs(phi)) AS importance FROM phi WHERE model = 'standard' AND cohort = 'Student' GROUP BY feature),
+ib AS (SELECT feature, avg(abs(phi)) AS importance FROM phi WHERE model = 'standard' AND cohort = 'Working Professional' GROUP BY feature)"""
+
+ORACLE["attr_importance"] = _PHI + """
+SELECT model, feature, round(importance, 6) AS importance,
+       CAST(row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM imp
+"""
+ORACLE["attr_ensemble"] = _PHI + """,
+e AS (SELECT feature, avg(importance) AS importance FROM imp GROUP BY feature)
+SELECT feature, round(importance, 6) AS importance,
+       CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM e
+"""
+ORACLE["attr_dependence"] = _PHI + """
+SELECT c.id, round(c.age, 6) AS value, round(p.phi, 6) AS phi FROM cohort c
+JOIN phi p ON p.id = c.id AND p.model = 'standard' AND p.feature = 'age'
+"""
+ORACLE["select_top_n"] = _PHI + """,
+top AS (SELECT feature FROM imp WHERE model = 'standard' ORDER BY importance DESC, feature LIMIT 5),
+x AS (""" + "\nUNION ALL\n".join(f"SELECT id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM cohort"
+                                 for c in _PROFILE8) + """)
+SELECT id, feature, round(value, 6) AS value FROM x WHERE feature IN (SELECT feature FROM top)
+"""
+ORACLE["cohort_compare"] = _PHI + """
+SELECT coalesce(ia.feature, ib.feature) AS feature, round(coalesce(ia.importance, 0), 6) AS importance_a,
+       round(coalesce(ib.importance, 0), 6) AS importance_b,
+       round(coalesce(ia.importance, 0) - coalesce(ib.importance, 0), 6) AS diff
+FROM ia FULL OUTER JOIN ib ON ia.feature = ib.feature
+"""
+ORACLE["cohort_top_union"] = _PHI + """,
+u AS (SELECT feature FROM (SELECT feature FROM ia ORDER BY importance DESC, feature LIMIT 15)
+      UNION SELECT feature FROM (SELECT feature FROM ib ORDER BY importance DESC, feature LIMIT 15))
+SELECT u.feature, round((coalesce(ia.importance, 0) + coalesce(ib.importance, 0)) / 2, 6) AS mean_importance
+FROM u LEFT JOIN ia ON ia.feature = u.feature LEFT JOIN ib ON ib.feature = u.feature
+"""
+ORACLE["cohort_top_diff"] = _PHI + """,
+d AS (SELECT ia.feature, ia.importance - ib.importance AS diff FROM ia JOIN ib ON ia.feature = ib.feature)
+SELECT * FROM (SELECT 'higher_in_a' AS direction, feature, round(diff, 6) AS diff FROM d ORDER BY diff DESC, feature LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'higher_in_b', feature, round(diff, 6) FROM d ORDER BY diff ASC, feature LIMIT 10)
+"""
+
+# ------------------------------------------------------------------ H6
+
+ORACLE["resample_tomek"] = """
+WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.id, b.id AS nb, list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d2
+      FROM e a JOIN e b ON a.id <> b.id),
+nn AS (SELECT id, nb FROM (SELECT id, nb, row_number() OVER (PARTITION BY id ORDER BY d2, nb) AS r FROM d) WHERE r = 1)
+SELECT x.id, x.nb AS nb_id FROM nn x JOIN nn y ON x.id = y.nb AND x.nb = y.id
+JOIN e ea ON ea.id = x.id JOIN e eb ON eb.id = x.nb
+WHERE ea.label <> eb.label AND x.id < x.nb
+"""

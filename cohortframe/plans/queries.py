@@ -636,3 +636,339 @@ def q_validate_output(spark, sf_dir):
     sample = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"),
                                                          F.lit(0).alias("label"))
     return validate_output(sub, sample)
+
+
+# --------------------------------------------------------------- I models
+
+def _prepared(spark, sf_dir):
+    from cohortframe.plans.pipeline import prepare
+    return prepare(fx.cohort(spark, sf_dir))
+
+
+def _model_query(kind):
+    def run(spark, sf_dir):
+        from cohortframe.operators.models import fit_model, score
+        prep = _prepared(spark, sf_dir)
+        m = fit_model(prep.train, prep.features, kind)
+        return score(m, prep.val, keep=[C.id, C.label])
+    run.__doc__ = f"I1-I5: {kind} trained on the prepared training split, validation rows scored (I13)."
+    return run
+
+
+for _k in ("logistic", "forest", "gbt_a", "gbt_b", "gbt_c"):
+    query(f"model_{_k}")(_model_query(_k))
+
+
+@query("predict_scores")
+def q_predict_scores(spark, sf_dir):
+    """Probability and label at 0.5 for every validation row, three boosters."""
+    from cohortframe.operators.models import fit_model, score
+    prep = _prepared(spark, sf_dir)
+    out = None
+    for k in ("gbt_a", "gbt_b", "gbt_c"):
+        s = score(fit_model(prep.train, prep.features, k), prep.val, keep=[C.id, C.label]) \
+            .withColumn("model", F.lit(k))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("train_early_stop")
+def q_train_early_stop(spark, sf_dir):
+    """Patience rule on per-round validation loss, refit at the best round."""
+    from cohortframe.operators.models import history_frame, train_early_stop
+    prep = _prepared(spark, sf_dir)
+    model, hist, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", patience=5, maxIter=30)
+    h = history_frame(spark, hist, "gbt_a")
+    return h.withColumn("best_iteration", F.lit(best)).withColumn(
+        "refit_rounds", F.lit(model.stages[-1].getNumTrees))
+
+
+@query("train_history")
+def q_train_history(spark, sf_dir):
+    """Per-round losses of a booster plus single-point train/val
+    log-loss rows of the logistic and forest models, and the summary."""
+    from cohortframe.operators.models import (fit_model, gbt_history, history_frame, history_summary,
+                                              logloss)
+    prep = _prepared(spark, sf_dir)
+    g = fit_model(prep.train, prep.features, "gbt_b")
+    hist = history_frame(spark, gbt_history(g, prep.train, prep.val), "gbt_b")
+    rows = []
+    for k in ("logistic", "forest"):
+        m = fit_model(prep.train, prep.features, k)
+        rows.append((k, 1, logloss(m, prep.train), logloss(m, prep.val)))
+    single = spark.createDataFrame(rows, hist.schema)
+    allh = hist.unionByName(single)
+    return allh.join(history_summary(allh), "model")
+
+
+@query("cv_scores")
+def q_cv_scores(spark, sf_dir):
+    """Stratified 5-fold CV, mean +- 2 std of positive-class F1."""
+    from cohortframe.operators.models import cross_validate
+    from cohortframe.operators.rank import assign_folds
+    prep = _prepared(spark, sf_dir)
+    folded = assign_folds(prep.train, C.id, 5, 55, C.label)
+    cvm, _ = cross_validate(folded, prep.features, "gbt_c", "fold", C.label, "f1", maxIter=10)
+    mean, std = float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])
+    return spark.createDataFrame([("gbt_c", mean, std, mean - 2 * std, mean + 2 * std)],
+                                 "model string, mean_f1 double, std_f1 double, lo double, hi double")
+
+
+@query("search_params")
+def q_search_params(spark, sf_dir):
+    """Seeded random search over the booster's ranges, scored by CV F1."""
+    from cohortframe.operators.models import search_params
+    from cohortframe.operators.rank import assign_folds
+    prep = _prepared(spark, sf_dir)
+    folded = assign_folds(prep.train, C.id, 3, 55, C.label)
+    return search_params(folded, prep.features, "gbt_c", n_trials=3, n_folds=3)
+
+
+@query("search_learning_rate")
+def q_search_learning_rate(spark, sf_dir):
+    """Every rate of the sweep with early stopping; accuracy, F1,
+    AUC and rounds per rate; best per metric (first wins on ties)."""
+    from cohortframe.operators.evaluate import auc, basic_metrics
+    from cohortframe.operators.models import LEARNING_RATES, score, train_early_stop
+    prep = _prepared(spark, sf_dir)
+    out = None
+    for r in LEARNING_RATES:
+        m, _, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", patience=5,
+                                      maxIter=15, stepSize=r)
+        s = score(m, prep.val, keep=[C.id, C.label]).withColumn("rate", F.lit(r))
+        met = basic_metrics(s, ["rate"]).join(auc(s, ["rate"]), "rate") \
+            .select("rate", "accuracy", "f1", "auc", F.lit(best).alias("rounds"))
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
+@query("pipeline_metrics")
+def q_pipeline_metrics(spark, sf_dir):
+    """The full pipeline -- prepare, five models and the ensemble,
+    metrics per (model, dataset)."""
+    from cohortframe.plans.pipeline import pipeline_metrics
+    return pipeline_metrics(fx.cohort(spark, sf_dir))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """A4: save, reload, re-score; equal scores expected."""
+    import os
+    from cohortframe.operators.models import fit_model, load_models, save_models, score
+    from cohortframe.session import scratch_path
+    prep = _prepared(spark, sf_dir)
+    m = fit_model(prep.train, prep.features, "gbt_c")
+    path = scratch_path(spark, f"models-{os.getpid()}-{id(m)}")
+    save_models({"gbt_c": m}, path)
+    back = load_models(path, ["gbt_c", "absent"])["gbt_c"]
+    a = score(m, prep.val, keep=[C.id]).select(C.id, F.col("score").alias("score_before"))
+    b = score(back, prep.val, keep=[C.id]).select(C.id, F.col("score").alias("score_after"))
+    return a.join(b, C.id)
+
+
+# --------------------------------------------------------------- A sources
+
+@query("stage_roundtrip")
+def q_stage_roundtrip(spark, sf_dir):
+    """A2: a split stage table written partitioned by split, the validation
+    partition read back (partition pruning)."""
+    import os
+    import uuid
+    from cohortframe.operators.rank import split_stratified
+    from cohortframe.session import scratch_path
+    from cohortframe.sources.tables import read_stage, write_stage
+    df = split_stratified(fx.cohort(spark, sf_dir).select(C.id, C.label, C.age, C.hours))
+    path = scratch_path(spark, f"stage-{os.getpid()}-{uuid.uuid4().hex[:8]}")
+    write_stage(df, path)
+    return read_stage(spark, path, "val").select(C.id, C.label, C.age, C.hours)
+
+
+@query("params_roundtrip")
+def q_params_roundtrip(spark, sf_dir):
+    """A3: imputation parameter table written and read back."""
+    import os
+    import uuid
+    from cohortframe.operators.impute import fit_impute
+    from cohortframe.session import scratch_path
+    from cohortframe.sources.tables import read_params, write_params
+    path = scratch_path(spark, f"params-{os.getpid()}-{uuid.uuid4().hex[:8]}")
+    write_params(fit_impute(fx.cohort(spark, sf_dir)), path)
+    return read_params(spark, path)
+
+
+@query("scan_csv_roundtrip")
+def q_scan_csv_roundtrip(spark, sf_dir):
+    """A1/A5: the cohort table written as header CSV, scanned back with an
+    explicit schema (NaN/empty -> NULL)."""
+    import os
+    import uuid
+    from cohortframe.session import scratch_path
+    from cohortframe.sources.tables import read_csv, write_csv
+    df = fx.cohort(spark, sf_dir)
+    path = scratch_path(spark, f"csv-{os.getpid()}-{uuid.uuid4().hex[:8]}")
+    write_csv(df, path)
+    return read_csv(spark, path, df.schema)
+
+
+# --------------------------------------------------------------- K attribution
+
+def _standin_phi(spark, sf_dir):
+    """Stand-in attribution table (FIXTURES 2.4): unpivot of the scaled
+    numeric cohort columns as (id, cohort, model, feature, phi), two
+    'models' (standard and robust scaling)."""
+    from cohortframe.operators.scale import apply_scale, fit_scale
+    df = fx.cohort(spark, sf_dir).select(C.id, C.cohort, *C.numeric_profile)
+    out = None
+    for method in ("standard", "robust"):
+        s = apply_scale(df, fit_scale(df, list(C.numeric_profile), method), method)
+        long = s.select(C.id, C.cohort, F.lit(method).alias("model"), F.inline(F.array(*[
+            F.struct(F.lit(f).alias("feature"), F.col(f).alias("phi")) for f in C.numeric_profile])))
+        out = long if out is None else out.unionByName(long)
+    return out.filter(F.col("phi").isNotNull())
+
+
+@query("attr_importance")
+def q_attr_importance(spark, sf_dir):
+    """K4: mean |phi| per feature and rank, per model."""
+    from cohortframe.operators.attribute import importance
+    return importance(_standin_phi(spark, sf_dir), ["model"])
+
+
+@query("attr_ensemble")
+def q_attr_ensemble(spark, sf_dir):
+    """K5: mean over models of the per-model importance."""
+    from cohortframe.operators.attribute import ensemble_importance, importance
+    return ensemble_importance(importance(_standin_phi(spark, sf_dir), ["model"]))
+
+
+@query("attr_dependence")
+def q_attr_dependence(spark, sf_dir):
+    """K6: (id, value, phi) of age under the standard model."""
+    from cohortframe.operators.attribute import dependence
+    phi = _standin_phi(spark, sf_dir).filter(F.col("model") == "standard")
+    return dependence(fx.cohort(spark, sf_dir), phi, C.age)
+
+
+@query("select_top_n")
+def q_select_top_n(spark, sf_dir):
+    """K7: the 5 most important features kept (same list for any split)."""
+    from cohortframe.operators.attribute import importance, select_top_n
+    imp = importance(_standin_phi(spark, sf_dir).filter(F.col("model") == "standard"))
+    kept = select_top_n(fx.cohort(spark, sf_dir), imp, 5, keep=(C.id,))
+    feats = [c for c in kept.columns if c != C.id]
+    # long form so the kept column set itself is compared
+    return kept.select(C.id, F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in feats])))
+
+
+def _cohort_imps(spark, sf_dir):
+    from cohortframe.operators.attribute import importance
+    phi = _standin_phi(spark, sf_dir).filter(F.col("model") == "standard")
+    a = importance(phi.filter(F.col(C.cohort) == C.student))
+    b = importance(phi.filter(F.col(C.cohort) == C.professional))
+    return a, b
+
+
+@query("cohort_compare")
+def q_cohort_compare(spark, sf_dir):
+    """K9: students vs professionals, full outer join, missing -> 0."""
+    from cohortframe.operators.attribute import compare_cohorts
+    return compare_cohorts(*_cohort_imps(spark, sf_dir))
+
+
+@query("cohort_top_union")
+def q_cohort_top_union(spark, sf_dir):
+    """Union of both cohorts' top 15, by mean importance."""
+    from cohortframe.operators.attribute import top_union
+    return top_union(*_cohort_imps(spark, sf_dir), 15)
+
+
+@query("cohort_top_diff")
+def q_cohort_top_diff(spark, sf_dir):
+    """Inner join, top 10 differences each way."""
+    from cohortframe.operators.attribute import top_differences
+    return top_differences(*_cohort_imps(spark, sf_dir), 10)
+
+
+@query("attr_linear")
+def q_attr_linear(spark, sf_dir):
+    """K2: exact attributions of the logistic model on the validation rows."""
+    from cohortframe.operators.attribute import linear_attributions, mean_background
+    from cohortframe.operators.models import fit_model
+    prep = _prepared(spark, sf_dir)
+    m = fit_model(prep.train, prep.features, "logistic")
+    return linear_attributions(m, prep.val, prep.features, mean_background(prep.train, prep.features))
+
+
+@query("attr_shapley")
+def q_attr_shapley(spark, sf_dir):
+    """K1: sampled Shapley values of a booster on 200 sampled validation
+    rows (D5), 4 permutations each, training means as background."""
+    from cohortframe.operators.attribute import mean_background, shapley_sampled
+    from cohortframe.operators.models import fit_model
+    from cohortframe.operators.rank import sample_exact
+    prep = _prepared(spark, sf_dir)
+    m = fit_model(prep.train, prep.features, "gbt_a", maxIter=10)
+    rows = sample_exact(prep.val, 200)
+    return shapley_sampled(m, rows, prep.features, mean_background(prep.train, prep.features), n_perm=4)
+
+
+@query("attr_background")
+def q_attr_background(spark, sf_dir):
+    """K3: 50 weighted k-means centres of the training features."""
+    from cohortframe.operators.attribute import background_summary
+    prep = _prepared(spark, sf_dir)
+    return background_summary(prep.train, prep.features, 50)
+
+
+@query("cohort_study")
+def q_cohort_study(spark, sf_dir):
+    """K8: per cohort -- own split and fitted preparation (cohort column
+    dropped), a booster, sampled attributions, mean importance."""
+    from cohortframe.operators.attribute import importance, mean_background, shapley_sampled
+    from cohortframe.operators.models import fit_model
+    from cohortframe.operators.rank import sample_exact
+    from cohortframe.plans.pipeline import prepare
+    df = fx.cohort(spark, sf_dir)
+    out = None
+    for who in (C.student, C.professional):
+        prep = prepare(df.filter(F.col(C.cohort) == who))
+        feats = [f for f in prep.features if f != C.cohort]  # the cohort column is removed
+        m = fit_model(prep.train, feats, "gbt_c", maxIter=10)
+        phi = shapley_sampled(m, sample_exact(prep.val, 100), feats,
+                              mean_background(prep.train, feats), n_perm=2)
+        imp = importance(phi).withColumn(C.cohort, F.lit(who))
+        out = imp if out is None else out.unionByName(imp)
+    return out
+
+
+# --------------------------------------------------------------- H resampling
+
+@query("resample_smote")
+def q_resample_smote(spark, sf_dir):
+    """H4/H7: prepared training rows oversampled to balance."""
+    from cohortframe.operators.resample import smote
+    prep = _prepared(spark, sf_dir)
+    return smote(prep.train, prep.features, C.label, C.id)
+
+
+@query("resample_smote_null")
+def q_resample_smote_null(spark, sf_dir):
+    """H5: raw numeric cohort columns with structural NULLs: sentinel
+    before, NULL restored after."""
+    from cohortframe.operators.resample import smote
+    df = fx.cohort(spark, sf_dir).select(C.id, C.label, *C.numeric_profile)
+    return smote(df, list(C.numeric_profile), C.label, C.id, sentinel_nulls=True)
+
+
+@query("resample_tomek")
+def q_resample_tomek(spark, sf_dir):
+    """H6 link step on the embeddings table: mutual nearest neighbours of
+    different labels."""
+    from cohortframe.operators.resample import tomek_links
+    from cohortframe.sources.tables import read_table
+    emb = read_table(spark, sf_dir, "embeddings")
+    dims = len(emb.select("embedding").first()[0])
+    wide = emb.select(F.col("vec_id").alias("id"), "label",
+                      *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
+    return tomek_links(wide, [f"e{i}" for i in range(dims)], "label", "id")
