@@ -102,5 +102,7 @@ def pipeline_metrics(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, small: bool
     dataset) in one evaluation plan."""
     prep = prepare(df, cols)
     fitted = train_all(prep, kinds, small, cols.label)
-    long = score_long(fitted, prep, cols.id, cols.label)
+    # scored once, checkpointed: the metric, AUC and log-loss branches all
+    # read the same table instead of re-scoring every model
+    long = cut_lineage(score_long(fitted, prep, cols.id, cols.label))
     return evaluate.evaluate_all(long, ["model", "dataset"], cols.label, "score").drop("tn", "fp", "fn", "tp")
