@@ -196,8 +196,9 @@ def target_oof(df: DataFrame, column: str, label: str = "label", fold_col: str =
     enc = other.select(fold_col, "_k",
                        F.when(F.col("_on") > 0, (F.col("_os") + F.lit(g) * smoothing) /
                               (F.col("_on") + smoothing)).alias("_v"))
-    # one row per (fold, category): bounded by folds x categories
-    j = df.withColumn("_k", F.col(column)).join(enc, [fold_col, "_k"], "left")
+    # one row per (fold, category): bounded by folds x categories; broadcast
+    # under a checked size so a hot category never funnels into one reducer
+    j = _join_small(df.withColumn("_k", F.col(column)), enc, enc.count(), [fold_col, "_k"])
     res = j.withColumn(out, F.coalesce(F.col("_v"), F.lit(g))).drop("_k", "_v")
     cols_out = df.columns if out in df.columns else df.columns + [out]
     return res.select(cols_out)

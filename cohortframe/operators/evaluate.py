@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortframe.operators.rank import distributed_cumsum, quantile_bucket
+from cohortframe.session import cut_lineage
 
 EPS = 1e-15
 # Threshold grid 0.10 .. 0.90 in steps of 0.01 (as integers
@@ -79,6 +80,9 @@ def score_table(df: DataFrame, by=(), label: str = "label", score: str = "score"
     st = df.groupBy(*by, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).cast("long").alias("pos"),
         F.count_if(F.col(label) != 1).cast("long").alias("neg"))
+    # the distinct-score table is read by the bucket bounds, the offsets, the
+    # totals and the final window: materialise it once (one scan of the data)
+    st = cut_lineage(st)
     st = quantile_bucket(st, "score", n_buckets, out="_b")
     parts = by if by else []
     if not parts:

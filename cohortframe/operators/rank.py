@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import hash_bucket, hash_hex
+from cohortframe.session import cut_lineage
 
 # Rows per (stratum, bucket) the bucket count aims for: a sort of this size is
 # cheap for one task, and the offsets table stays far below broadcast limits.
@@ -48,6 +49,9 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], bucket_col:
     w = Window.partitionBy(*partition_cols).orderBy(bucket_col)
     offsets = counts.select(*partition_cols, bucket_col,
                             (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
+    # the offsets table is small (partitions x buckets): materialise it once
+    # in the shared checkpoint folder so the data is not rescanned for it
+    offsets = cut_lineage(offsets)
     n_off = offsets.count()
     if n_off <= max_offset_rows:
         offsets = F.broadcast(offsets)
@@ -165,8 +169,9 @@ def distributed_cumsum(df: DataFrame, partition_cols: list[str], bucket_col: str
     tot = df.groupBy(*partition_cols, bucket_col).agg(*[F.sum(v).alias(v) for v in value_cols])
     w = Window.partitionBy(*partition_cols).orderBy(bucket_col) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*partition_cols, bucket_col,
-                     *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
+    off = cut_lineage(tot.select(*partition_cols, bucket_col,
+                                 *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_o_{v}")
+                                   for v in value_cols]))
     if off.count() <= max_offset_rows:
         off = F.broadcast(off)
     j = df.join(off, [*partition_cols, bucket_col])
