@@ -2,25 +2,68 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortframe.llm import simhash
+from cohortframe.llm import bpe, decontam, lines, simhash, warc
+from cohortframe.session import scratch_path
 from cohortframe.sources.tables import read_table
 
 #: Shingle length in words and largest bit distance of near copies.
 SIMHASH = {"shingle": 3, "max_bits": 3}
 
 
+#: File of the public tokenizer for training text.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+    return os.fspath(public_tokenizers.path(VOCABULARY))
+
+
 def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), **SIMHASH)
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the boilerplate lines of its source."""
+    kept = lines.line_dedup(read_table(spark, sf_dir, "documents"), host_col="source", counts=True)
+    return kept.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, indexed, and read back by byte ranges."""
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write_archive(read_table(spark, sf_dir, "pages"), path)
+    return warc.captures(warc.read_records(warc.build_index(spark, path)))
+
+
+def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text encoded and decoded."""
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a passage of the benchmark."""
+    return decontam.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_neardup": op1_simhash_neardup,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_warc_index": op4_warc_index,
+    "op5_bpe_roundtrip": op5_bpe_roundtrip,
+    "op9_decontaminate": op9_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": lines.ORACLE_SQL,
+    "op4_warc_index": warc.ORACLE_SQL,
+    "op9_decontaminate": decontam.ORACLE_SQL,
+}
