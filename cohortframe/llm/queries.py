@@ -6,9 +6,9 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortframe.llm import bpe, decontam, lines, simhash, warc
+from cohortframe.llm import bpe, decontam, html, langid, lines, simhash, urls, warc
 from cohortframe.session import scratch_path
 from cohortframe.sources.tables import read_table
 
@@ -16,6 +16,8 @@ from cohortframe.sources.tables import read_table
 SIMHASH = {"shingle": 3, "max_bits": 3}
 
 
+#: Verdict, host and path prefix.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: File of the public tokenizer for training text.
 VOCABULARY = "word_bpe_49k.json"
 
@@ -49,6 +51,33 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
+def held_out() -> Column:
+    """Whether language identification may not learn from a document; a null id counts as held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(True))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Trained on documents whose id falls outside the fold that is held out."""
+    return langid.fit(docs.filter(~held_out()))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.predict(docs, language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a passage of the benchmark."""
     return decontam.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_key")
@@ -59,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_warc_index": op4_warc_index,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
+    "op6_html_extract": op6_html_extract,
+    "op7_language_id": op7_language_id,
+    "op8_url_filter": op8_url_filter,
     "op9_decontaminate": op9_decontaminate,
 }
 
