@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortframe.llm import bpe, decontam, html, langid, lines, simhash, urls, warc
+from cohortframe.llm import bpe, chat, decontam, html, langid, lines, simhash, urls, warc
 from cohortframe.session import scratch_path
 from cohortframe.sources.tables import read_table
 
@@ -18,6 +18,8 @@ SIMHASH = {"shingle": 3, "max_bits": 3}
 
 #: Verdict, host and path prefix.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: Tools of the conversations, with their arguments' types and whether they are required.
+CHAT_TOOLS = {"respond": {"text": ("string", True)}}
 #: File of the public tokenizer for training text.
 VOCABULARY = "word_bpe_49k.json"
 
@@ -83,6 +85,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as an event in canonical JSON: prompts as calls, replies as their results."""
+    found = chat.events(read_table(spark, sf_dir, "conversations"), prompts="respond")
+    out = chat.format_chats(found, CHAT_TOOLS)
+    return out.select("conv_id", "turn", "kind", "call_id", "status", "at", "depth", F.coalesce(F.size("errors"), F.lit(0)).cast("long").alias("n_errors"), "json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op3_line_dedup": op3_line_dedup,
@@ -92,10 +101,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_url_filter": op8_url_filter,
     "op9_decontaminate": op9_decontaminate,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE_SQL,
     "op4_warc_index": warc.ORACLE_SQL,
     "op9_decontaminate": decontam.ORACLE_SQL,
+    "op10_chat_format": chat.ORACLE_SQL,
 }

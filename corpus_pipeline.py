@@ -1,26 +1,55 @@
-"""Corpus pipeline (filled in as its operators arrive)."""
+"""The corpus pipeline: documents to training tokens.
+
+Each stage takes what its predecessor kept, works on all of it, and is written as Parquet before the
+next one reads it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortframe.llm import simhash
-from cohortframe.llm.queries import SIMHASH
-from cohortframe.llm.util import stage_table
+from cohortframe.llm import bpe, decontam, langid, lines, simhash
+from cohortframe.llm.queries import SIMHASH, language_model, vocabulary
+from cohortframe.llm.util import fresh, stage_table
 from cohortframe.sources.tables import read_table
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which the language is not rejected."""
+    return langid.keep_known(docs, language_model(docs))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the boilerplate lines of their source."""
+    return lines.line_dedup(docs, host_col="source")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies."""
     return simhash.keep_first(docs, simhash.near_duplicates(docs, **SIMHASH))
 
 
-STAGES = [("simhash", near_copies)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no passage of the benchmark occurs."""
+    found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated")
+    doc, text = fresh(docs, "hit_id", "hit_text")
+    hit = found.select(F.col("doc_id").alias(doc), F.col("text_key").alias(text)).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text)), "left_anti")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, and digests of them and of what they decode to."""
+    return bpe.round_trip(docs, vocabulary(), keep_ids=True)
+
+
+STAGES = [("language", language), ("line_dedup", line_dedup), ("simhash", near_copies), ("decontamination", decontaminate), ("bpe", tokens)]
 
+#: The language model has no SQL form; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage over the whole ``documents`` table."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
