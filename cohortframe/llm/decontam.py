@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from cohortframe.llm.util import stage_table
+from cohortframe.llm.util import join_keys, stage_table
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,9 +101,9 @@ def matches(index: Index, slop: int = 0) -> DataFrame:
     from ``start - slop`` to ``slop`` words past the window's length, in any order, and is not exact.
     """
     found = stage_table(index.starts(slop), "decon-starts")
-    suspects = found.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).distinct()
+    suspects = stage_table(found.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).distinct(), "decon-suspects")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))
-    texts = index.docs.join(suspects, same, "left_semi").dropDuplicates(["doc_id", "text_key"]).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), _words(_folded(F.col("text"))).alias("w"))
+    texts = join_keys(index.docs, suspects, same, "left_semi").select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), _words(_folded(F.col("text"))).alias("w"))
     both = found.join(index.windows, "win").join(texts, same)
     n = F.size("words")
     exact = (F.col("start") >= 0) & F.coalesce(F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, n) == F.col("words"), F.lit(False))

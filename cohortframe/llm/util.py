@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe.session import scratch_path
 
@@ -32,6 +32,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Keys that may be broadcast: some 40 MB of rows; more are joined by shuffle.
+BROADCAST_KEYS = 400_000
+
+
+def join_keys(rows: DataFrame, keys: DataFrame, on: Column, how: str) -> DataFrame:
+    """Semi or anti join of wide rows with a table of short keys, broadcast when counted to be few.
+
+    ``keys`` is read twice, so it should be a stage table.
+    """
+    few = keys.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, on, how)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

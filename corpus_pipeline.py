@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortframe.llm import bpe, decontam, langid, lines, simhash
 from cohortframe.llm.queries import SIMHASH, language_model, vocabulary
-from cohortframe.llm.util import fresh, stage_table
+from cohortframe.llm.util import fresh, join_keys, stage_table
 from cohortframe.sources.tables import read_table
 
 
@@ -33,8 +33,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents in which no passage of the benchmark occurs."""
     found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated")
     doc, text = fresh(docs, "hit_id", "hit_text")
-    hit = found.select(F.col("doc_id").alias(doc), F.col("text_key").alias(text)).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text)), "left_anti")
+    hit = stage_table(found.select(F.col("doc_id").alias(doc), F.col("text_key").alias(text)).distinct(), "pipeline-hit")
+    return join_keys(docs, hit, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text)), "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
