@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortframe.llm import bpe, chat, decontam, html, langid, lines, simhash, urls, warc
+from cohortframe.llm import bpe, chat, decontam, html, langid, lines, simhash, topk, urls, warc
 from cohortframe.session import scratch_path
 from cohortframe.sources.tables import read_table
 
@@ -35,6 +35,11 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_topk_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents for every document whose id is divisible by 20, among all documents."""
+    return topk.top_k(read_table(spark, sf_dir, "documents"), every=20, k=10)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the boilerplate lines of its source."""
     kept = lines.line_dedup(read_table(spark, sf_dir, "documents"), host_col="source", counts=True)
@@ -94,6 +99,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_neardup": op1_simhash_neardup,
+    "op2_topk_bm25": op2_topk_bm25,
     "op3_line_dedup": op3_line_dedup,
     "op4_warc_index": op4_warc_index,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_topk_bm25": topk.ORACLE_SQL,
     "op3_line_dedup": lines.ORACLE_SQL,
     "op4_warc_index": warc.ORACLE_SQL,
     "op9_decontaminate": decontam.ORACLE_SQL,
