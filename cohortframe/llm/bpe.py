@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -25,6 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from cohortframe.llm.util import sliced
+
 #: Fixed values of the vocabulary's format: the mark of a word's last token, and the split pattern.
 END = "</w>"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -43,8 +46,8 @@ LOWER |= {c: c + 1 for c in (0xA7CE, 0xA7D2, 0xA7D4)} | {c: c + 0x1B for c in ra
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: Set on the last symbol of a word, so that one character holds symbol and mark.
 LAST = 0xE000
-#: Entries after which a table of words or pairs begins anew; bounds a worker's memory.
-TABLE = 200_000
+#: Entries of the newer half of a table of words or pairs; bounds a worker's memory.
+TABLE = 250_000
 #: Tokens decoded at once.
 TOKENS = 1 << 18
 
@@ -64,19 +67,23 @@ def _key(token: str) -> str:
     return body[:-1] + chr(ord(body[-1]) + LAST)
 
 
-class _Words(dict):
-    """Word -> little-endian ids, filled on demand and emptied when it has ``TABLE`` entries."""
+class _Table(dict):
+    """Values made on demand.  At ``TABLE`` entries they become the older half, and the half before them goes;
+    what is asked for again comes back from the older half, so frequent words stay."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.make(word)
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= TABLE:
+            self.old = dict(self)
             self.clear()
-        self[word] = ids
-        return ids
+        self[key] = value
+        return value
 
 
 class Tokenizer:
@@ -103,15 +110,16 @@ class Tokenizer:
             if self.merged(key) == [key]:  # a token that its own merges do not reach never appears
                 self.automaton.add_word(key, key)
         self.automaton.make_automaton()
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.shorter: dict[str, str | None] = {}
-        self.words = _Words(self._chunk)
+        #: The longest token that begins a token and is shorter; None after a single symbol.
+        self.shorter = {t: next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in self.automaton), None) for t in self.automaton}
+        self.fits = _Table(lambda pair: self.compatible(*pair))
+        self.chunks, self.words = _Table(self._chunk), _Table(self._word)
         self.special_split = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
         self.pieces, self.newer, self.newer_pieces = regex.compile(PIECES), regex.compile(f"[{NEWER}]"), regex.compile(NEWER_PIECES)
         texts = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
-        table = [texts.get(i, "").encode() + b" " for i in range(max(texts) + 1)]  # tokens are put together with a space between
-        self.blob = np.frombuffer(b"".join(table), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in table])])
+        ids = range(max(texts) + 1)
+        self.texts = _offsets([texts.get(i, "").encode() for i in ids])  # tokens are put together with a space between
+        self.decimals = _offsets([str(i).encode() for i in ids])
 
     # -- encoding
 
@@ -126,21 +134,13 @@ class Tokenizer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def compatible(self, left: str, right: str) -> bool:
-        """Whether merging the symbols of both ends in just these two.
+    def compatible(self, a: str, b: str) -> bool:
+        """Whether merging the symbols of both tokens ends in just these two.
 
         Goes back through the merges that made them, the latest first.  Two parts that lay side by side
         would have been merged if that merge ranks before those that used up either part; of equal
         ranks the one further left comes first.
         """
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) >= TABLE:
-                self.fits.clear()
-            known = self.fits[left, right] = self._compatible(left, right)
-        return known
-
-    def _compatible(self, a: str, b: str) -> bool:
         used_a = used_b = len(self.rank)
         while True:
             n = self.rank.get((a, b))
@@ -154,36 +154,42 @@ class Tokenizer:
             else:
                 used_b, b = made_b, self.split[b][0]
 
-    def _shorter(self, token: str) -> str | None:
-        """The longest token that begins ``token`` and is shorter; None after a single symbol."""
-        if token not in self.shorter:
-            cut = (token[:n] for n in range(len(token) - 1, 0, -1))
-            self.shorter[token] = next((t for t in cut if t in self.automaton), None)
-        return self.shorter[token]
-
     def encode_symbols(self, symbols: str) -> list[str]:
         """Tokens of one word given as symbols."""
-        longest: list[str | None] = [None] * len(symbols)
+        size = len(symbols)
+        longest: list[str | None] = [None] * size
         for end, token in self.automaton.iter(symbols):  # by ascending end: the last one from a place is the longest
             longest[end + 1 - len(token)] = token
+        fits, shorter = self.fits, self.shorter
         out: list[str] = []
-        dead = bytearray(len(symbols) + 1)
+        dead: set[int] = set()  # places from which no token led on
         at, token = 0, longest[0]
-        while at < len(symbols):
-            while token is not None and (dead[at + len(token)] or out and not self.compatible(out[-1], token)):
-                token = self._shorter(token)
-            if token is None:
-                if not out:
-                    raise ValueError(f"no token fits {symbols!r}")
-                dead[at] = 1
-                token = out.pop()
-                at -= len(token)
+        while at < size:
+            if out:
+                last = out[-1]
+                while token is not None and not (fits[last, token] and at + len(token) not in dead):
+                    token = shorter[token]
             else:
+                while token is not None and at + len(token) in dead:
+                    token = shorter[token]
+            if token is not None:
                 out.append(token)
                 at += len(token)
-                token = longest[at] if at < len(symbols) else None
+                if at < size:
+                    token = longest[at]
+            elif out:
+                dead.add(at)
+                token = out.pop()
+                at -= len(token)
+            else:
+                raise ValueError(f"no token fits {symbols!r}")
         return out
 
+    def _word(self, piece: str) -> list[int]:
+        """Ids of one piece of the split."""
+        symbols = piece.encode().decode("latin-1").translate(self.byte_table)
+        return [self.ids[t] for t in self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + LAST))]
+
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a text without white space."""
         pieces, text = self.pieces, chunk.lower()
@@ -191,11 +197,8 @@ class Tokenizer:
             text = unicodedata.normalize("NFC", chunk).translate(LOWER).lower()
             if self.newer.search(text):
                 pieces = self.newer_pieces
-        out: list[int] = []
-        for piece in pieces.findall(text):
-            symbols = piece.encode().decode("latin-1").translate(self.byte_table)
-            out.extend(map(self.ids.__getitem__, self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + LAST))))
-        return np.array(out, "<i4").tobytes()
+        found = pieces.findall(text)
+        return struct.pack(f"<{len(ids)}i", *ids) if (ids := [i for p in found for i in (self.words[p] if len(p) < 64 else self._word(p))]) else b""
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text; null is an empty one."""
@@ -206,20 +209,37 @@ class Tokenizer:
             elif any(c in part for c in SEPARATORS):
                 ids.extend(map(self._chunk, regex.split(r"\p{White_Space}+", part)))
             else:
-                ids.extend(map(self.words.__getitem__, part.split()))
+                ids.extend(map(self.chunks.__getitem__, part.split()))
         return np.frombuffer(b"".join(ids), "<i4")
 
     # -- decoding
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
-        """The decoded text in UTF-8: slices of the table put together, without a token's loop."""
-        out = []
-        for at in range(0, len(ids), TOKENS):
-            part = ids[at:at + TOKENS]
-            start, length = self.offsets[part], self.offsets[part + 1] - self.offsets[part]
-            moved = np.repeat(start - (np.cumsum(length) - length), length)
-            out.append(self.blob[moved + np.arange(len(moved))].tobytes())
-        return b"".join(out)[:-1]  # no space after the last token
+        """The decoded text in UTF-8."""
+        return _joined(ids, *self.texts)
+
+    def decimal_bytes(self, ids: np.ndarray) -> bytes:
+        """The ids as decimal numbers, joined by a space."""
+        return _joined(ids, *self.decimals)
+
+
+def _offsets(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All entries, each with a space after it, as one array, and where each begins."""
+    table = [t + b" " for t in entries]
+    return np.frombuffer(b"".join(table), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in table])])
+
+
+def _joined(ids: np.ndarray, blob: np.ndarray, offsets: np.ndarray) -> bytes:
+    """The entries of ``ids`` joined by a space: slices of the table put together, without a loop over tokens."""
+    out = []
+    for at in range(0, len(ids), TOKENS):
+        part = ids[at:at + TOKENS]
+        start = offsets[part]
+        length = offsets[part + 1] - start
+        moved = np.repeat(start - (np.cumsum(length) - length), length)
+        moved += np.arange(len(moved))
+        out.append(blob[moved].tobytes())
+    return b"".join(out)[:-1]
 
 
 _LOADED: dict[str, Tokenizer] = {}
@@ -244,12 +264,11 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
-        decimal = [str(i) for i in range(len(t.offsets) - 1)]
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for text in b.column(1):
                 ids = t.encode(text.as_py())
-                written = hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest()
+                written = hashlib.sha256(t.decimal_bytes(ids)).hexdigest()
                 rows.append((len(ids), written, hashlib.sha256(t.decode_bytes(ids)).hexdigest()) + ((ids,) if keep_ids else ()))
             n, a, d, *ids = zip(*rows) if rows else ((), (), ())
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]

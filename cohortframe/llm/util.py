@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe.session import scratch_path
@@ -20,6 +22,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, which bounds what a worker holds of long texts in Python."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, each changed until no column of ``df`` has it (in any letter case)."""
     taken = {c.lower() for c in df.columns}
