@@ -27,6 +27,8 @@ CRLF = "\r\n"
 MIN_REVISIT = 100
 #: Ranges with a gap of at most GAP bytes are one read, of RUN bytes at most unless one record is longer.
 GAP, RUN = 1 << 16, 1 << 22
+#: Bytes of archives for one task.
+TASK = 1 << 24
 #: Bytes read at once while headers are looked for.
 HEAD = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -105,6 +107,11 @@ def _headers(path: str) -> Iterator[tuple]:
             at += length + 4
 
 
+def _tasks(ranges: DataFrame) -> int:
+    """Tasks for reading ranges, by the bytes they will read and not by the size of their index."""
+    return 1 + (ranges.agg(F.sum("length")).first()[0] or 0) // TASK
+
+
 def build_index(spark: SparkSession, path: str) -> DataFrame:
     """Index of all archives below ``path``, one task's work being whole archives; written before any payload is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").filter("length > 0")
@@ -123,14 +130,14 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    paths = files.select("path").repartition(F.col("path"))
+    paths = files.select("path").repartition(_tasks(files))
     return stage_table(paths.mapInArrow(run, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame) -> DataFrame:
     """``(record_id, record_type, refers_to, url, digest, payload)`` of the index rows given; a revisit's payload is null."""
     want = index.select("file", "offset", "length")
-    order = want.repartitionByRange(F.col("file"), F.col("offset")).sortWithinPartitions("file", "offset")
+    order = want.repartitionByRange(_tasks(want), F.col("file"), F.col("offset")).sortWithinPartitions("file", "offset")
     schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("url", pa.string()), ("digest", pa.string()), ("payload", pa.binary())])
 
     def record(raw: bytes) -> tuple:
