@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortframe.operators.rank import distributed_cumsum, quantile_bucket
+from cohortframe.operators.rank import distributed_cumsum, null_safe_join, quantile_bucket
 from cohortframe.session import cut_lineage
 
 EPS = 1e-15
@@ -77,7 +77,9 @@ def score_table(df: DataFrame, by=(), label: str = "label", score: str = "score"
     sums (ascending score) and group totals.  The running sums are a
     distributed prefix sum over equal-count score buckets."""
     by = list(by)
-    st = df.groupBy(*by, F.col(score).alias("score")).agg(
+    known = F.col(score).cast("double")
+    checked = F.when(known.isNull() | F.isnan(known), F.raise_error(F.lit("a score is NULL or NaN"))).otherwise(known)
+    st = df.groupBy(*by, checked.alias("score")).agg(
         F.count_if(F.col(label) == 1).cast("long").alias("pos"),
         F.count_if(F.col(label) != 1).cast("long").alias("neg"))
     # the distinct-score table is read by the bucket bounds, the offsets, the
@@ -90,7 +92,7 @@ def score_table(df: DataFrame, by=(), label: str = "label", score: str = "score"
         parts = ["_g"]
     cum = distributed_cumsum(st, parts, "_b", [F.col("score")], ["pos", "neg"])
     tot = st.groupBy(*parts).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    out = cum.join(F.broadcast(tot), parts)  # one row per group
+    out = null_safe_join(cum, F.broadcast(tot), parts)  # one row per group
     return out.drop("_b", *(["_g"] if not by else []))
 
 
@@ -106,13 +108,18 @@ def auc(df: DataFrame, by=(), label: str = "label", score: str = "score") -> Dat
 
 
 def roc_points(df: DataFrame, by=(), label: str = "label", score: str = "score") -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score (all points kept)."""
+    """(threshold, fpr, tpr) at every distinct score (all points kept)
+    and the first point (0, 0), whose threshold is infinite."""
     st = score_table(df, by, label, score)
     tp = F.col("P") - F.col("pos_cum") + F.col("pos")
     fp = F.col("N") - F.col("neg_cum") + F.col("neg")
-    return st.select(*by, F.col("score").alias("threshold"),
-                     F.when(F.col("N") > 0, fp / F.col("N")).alias("fpr"),
-                     F.when(F.col("P") > 0, tp / F.col("P")).alias("tpr"))
+    pts = st.select(*by, F.col("score").alias("threshold"),
+                    F.when(F.col("N") > 0, fp / F.col("N")).alias("fpr"),
+                    F.when(F.col("P") > 0, tp / F.col("P")).alias("tpr"))
+    start = st.select(*by, "P", "N").distinct().select(
+        *by, F.lit(float("inf")).alias("threshold"), F.when(F.col("N") > 0, F.lit(0.0)).alias("fpr"),
+        F.when(F.col("P") > 0, F.lit(0.0)).alias("tpr"))
+    return pts.unionByName(start)
 
 
 def pr_points(df: DataFrame, by=(), label: str = "label", score: str = "score") -> DataFrame:
@@ -250,10 +257,19 @@ def evaluate_at(df: DataFrame, thresholds: DataFrame, by=("model",), label="labe
 
 def compare_thresholds(df: DataFrame, thresholds=None, by=("model",), label="label",
                        score="score") -> DataFrame:
-    """Metrics at a short list of thresholds, one pass (the list is
-    exploded per row, so rows x len(list) before a partial aggregation)."""
+    """Metrics at a short list of thresholds.  Rows are counted once by
+    the number of thresholds they reach; the sums of those few counts are
+    the confusion counts, as in the sweep."""
     thresholds = COMPARE_THRESHOLDS if thresholds is None else thresholds
     by = list(by)
-    ex = df.select(*by, label, score,
-                   F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"))
-    return basic_metrics(predict_at(ex, F.col("threshold"), score), [*by, "threshold"], label)
+    ts = sorted({float(t) for t in thresholds})
+    reached = sum(((F.col(score) >= F.lit(t)).cast("int") for t in ts), F.lit(0))
+    cells = df.filter(F.col(score).isNotNull()).groupBy(*by, reached.alias("_r")).agg(
+        F.count_if(F.col(label) == 1).cast("long").alias("pos"), F.count_if(F.col(label) == 0).cast("long").alias("neg"))
+    hit = lambda i, c: F.sum(F.when(F.col("_r") > i, F.col(c)).otherwise(F.lit(0)))
+    miss = lambda i, c: F.sum(F.when(F.col("_r") <= i, F.col(c)).otherwise(F.lit(0)))
+    wide = cells.groupBy(*by).agg(*[f(i, c).alias(f"{n}{i}") for i in range(len(ts))
+                                    for n, f, c in (("tn", miss, "neg"), ("fp", hit, "neg"), ("fn", miss, "pos"), ("tp", hit, "pos"))])
+    counts = wide.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(t).alias("threshold"), *[F.col(f"{n}{i}").alias(n) for n in ("tn", "fp", "fn", "tp")]) for i, t in enumerate(ts)])))
+    return with_basic_metrics(counts)

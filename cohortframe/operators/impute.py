@@ -132,7 +132,7 @@ def apply_impute(df: DataFrame, params: DataFrame | Params, cols: Columns = DEFA
             e = F.when(col.isNull() & F.coalesce(cond, F.lit(False)), F.lit(v).cast("double")).otherwise(col)
         elif c in numeric:
             ok, v = _stored(p, c, ALL, "median")
-            e = F.coalesce(col, F.lit(v if ok else 0.0).cast(df.schema[c].dataType))
+            e = F.coalesce(col.cast("double"), F.lit(v if ok else 0.0).cast("double"))
         elif c in strings:
             if p.has(STAGE, c, ALL, "mode"):
                 v = p.value_str(STAGE, c, ALL, "mode")
@@ -234,7 +234,7 @@ def apply_clip(df: DataFrame, params: DataFrame | Params) -> DataFrame:
                 e = F.when(e > hi, F.lit(hi)).otherwise(e)
             if lo is not None:
                 e = F.when(e < lo, F.lit(lo)).otherwise(e)
-            out.append(e.cast(df.schema[c].dataType).alias(c))
+            out.append(e.cast("double").alias(c))  # a bound need not be a whole number
         else:
             out.append(col)
     return df.select(out)

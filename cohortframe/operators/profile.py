@@ -8,6 +8,10 @@ immediately collapses them (value counts, histograms).
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,22 +137,50 @@ def correlation(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     return _pairs_corr(df, upper, mirror=True)
 
 
+# A variance below this part of the mean square is a constant column's rounding.
+NO_SPREAD = 1e-12
+
+
 def _pairs_corr(df: DataFrame, pairs: list[tuple[str, str]], mirror: bool = False) -> DataFrame:
-    """Pearson correlation of many column pairs with one small aggregate:
-    rows are stacked as (pair, x, y) and reduced by a map-side partial
-    aggregation keyed by the pair (a compact plan however many pairs)."""
-    stacked = df.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                 nan_to_null(F.col(a).cast("double")).alias("x"),
-                 nan_to_null(F.col(b).cast("double")).alias("y")) for a, b in pairs])))
-    paired = stacked.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    g = paired.groupBy("feature_a", "feature_b").agg(
-        F.covar_pop("x", "y").alias("cov"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"))
-    den = F.col("sx") * F.col("sy")
-    res = g.select("feature_a", "feature_b", F.when(den > 0, F.try_divide(F.col("cov"), den)).alias("corr"))
-    # pairs without a single complete row still get a (NULL) row
-    keys = df.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string")
-    res = keys.join(res, ["feature_a", "feature_b"], "left")
+    """Pearson correlation of many column pairs from one Gram matrix.
+
+    With every column shifted by its mean, the matrix product of the blocks
+    (1 where known, x, x * x) holds all counts and sums of every pair complete
+    in a row.  Each task sends one such small matrix, however many rows it
+    read; rows are neither stacked nor shuffled."""
+    feats = list(dict.fromkeys(c for pair in pairs for c in pair))
+    val = {c: nan_to_null(F.col(c).cast("double")) for c in feats}
+    mean = df.agg(*[F.avg(val[c]).alias(c) for c in feats]).first().asDict()
+    wide = df.select(*[(val[c] - F.lit(float(mean[c] or 0.0))).alias(f"x{i}") for i, c in enumerate(feats)])
+    k = len(feats)
+
+    def gram(batches):
+        total = np.zeros((3 * k, 3 * k))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            z = np.concatenate([known, x, x * x], axis=1)
+            total += z.T @ z
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["cell", "v"])
+
+    cells = wide.mapInArrow(gram, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()  # (3 k)^2 rows
+    g = np.zeros(9 * k * k)
+    for r in cells:
+        g[r["cell"]] = r["v"]
+    g = g.reshape(3 * k, 3 * k)
+    at = {c: i for i, c in enumerate(feats)}
+    rows = []
+    for a, b in pairs:
+        x, y = at[a], at[b]
+        n, sx, sy, sxy, sxx, syy = (float(v) for v in (g[x, y], g[k + x, y], g[x, k + y], g[k + x, k + y], g[2 * k + x, y], g[x, 2 * k + y]))
+        corr = None
+        if n:
+            vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+            if vx > NO_SPREAD * sxx and vy > NO_SPREAD * syy:
+                corr = (sxy - sx * sy / n) / math.sqrt(vx * vy)
+        rows.append((a, b, corr))
+    res = df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
     if mirror:
         res = res.unionByName(res.filter(F.col("feature_a") != F.col("feature_b"))
                               .select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"),
@@ -181,12 +213,12 @@ def stats_by_target(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, approx: bool
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30,
               cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """Equal-width bins from min to max (last bin closed), NULL
-    dropped; non-empty bins only.  Min/max are fitted scalars; the binning
+    dropped, empty bins with n = 0.  Min/max are fitted scalars; the binning
     pass is one partial aggregation."""
     feats = present(df, cols.numeric_profile) if columns is None else present(df, columns)
     mm = df.agg(*[F.min(nan_to_null(F.col(c).cast("double"))).alias(f"lo{i}") for i, c in enumerate(feats)],
                 *[F.max(nan_to_null(F.col(c).cast("double"))).alias(f"hi{i}") for i, c in enumerate(feats)]).first()
-    structs = []
+    structs, every = [], []
     for i, c in enumerate(feats):
         lo, hi = mm[f"lo{i}"], mm[f"hi{i}"]
         if lo is None:
@@ -198,10 +230,14 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 30,
         else:
             w = 0.0
             b = F.lit(0)
-        structs.append(F.struct(F.lit(c).alias("feature"), F.when(x.isNotNull(), b).alias("bin"),
-                                F.lit(lo).alias("lo"), F.lit(w).alias("width")))
+        structs.append(F.struct(F.lit(c).alias("feature"), F.when(x.isNotNull(), b).alias("bin")))
+        every += [(c, k, float(lo), float(w)) for k in range(bins if hi > lo else 1)]
+    grid = df.sparkSession.createDataFrame(every, "feature string, bin int, lo double, width double")
+    if not structs:
+        return grid.select("feature", "bin", F.col("lo").alias("bin_lo"), F.col("lo").alias("bin_hi"), F.lit(0).cast("long").alias("n"))
     stacked = df.select(F.inline(F.array(*structs))).filter(F.col("bin").isNotNull())
-    g = stacked.groupBy("feature", "bin", "lo", "width").agg(F.count(F.lit(1)).alias("n"))
+    counted = stacked.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    g = grid.join(counted, ["feature", "bin"], "left").na.fill(0, ["n"])
     return g.select("feature", "bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_lo"),
                     (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_hi"), "n")
 

@@ -29,6 +29,13 @@ ROWS_PER_BUCKET = 200_000
 MAX_BITS = 20
 
 
+def null_safe_join(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys meet each other; the keys come from ``df``."""
+    renamed = table.select([F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in table.columns])
+    on = [df[c].eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    return df.join(renamed, on, "inner").drop(*[f"_k_{c}" for c in keys])
+
+
 def bucket_bits(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     if n_rows <= rows_per_bucket:
         return 1
@@ -55,7 +62,7 @@ def distributed_row_number(df: DataFrame, partition_cols: list[str], bucket_col:
     n_off = offsets.count()
     if n_off <= max_offset_rows:
         offsets = F.broadcast(offsets)
-    joined = df.join(offsets, on=[*partition_cols, bucket_col], how="inner")
+    joined = null_safe_join(df, offsets, [*partition_cols, bucket_col])
     w2 = Window.partitionBy(*partition_cols, bucket_col).orderBy(*order_cols)
     return joined.withColumn(out, F.col("_off") + F.row_number().over(w2)).drop("_off")
 
@@ -87,7 +94,7 @@ def _largest_remainder(counts: dict, n_draws: int) -> dict:
     cont = {k: v * n_draws / total for k, v in counts.items()}
     out = {k: math.floor(v) for k, v in cont.items()}
     need = n_draws - sum(out.values())
-    order = sorted(counts, key=lambda k: (-(cont[k] - out[k]), k))
+    order = sorted(counts, key=lambda k: (-(cont[k] - out[k]), k is None, 0 if k is None else k))
     for k in order[:need]:
         out[k] += 1
     return out
@@ -107,13 +114,14 @@ def split_quotas(counts: dict, val_size: float) -> dict:
 def split_stratified(df: DataFrame, id_col: str = "id", label_col: str = "label",
                      val_size: float = 0.2, seed: int = 55,
                      split_col: str = "split") -> DataFrame:
-    """Per-class proportional train/validation split."""
+    """Per-class proportional train/validation split; rows without a label are a class of their own."""
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}
     quota = split_quotas(counts, val_size)
     ranked = seeded_rank(df, id_col, seed, [label_col], n_rows=sum(counts.values()))
-    q = F.create_map(*[x for k, v in sorted(quota.items(), key=lambda kv: str(kv[0]))
-                       for x in (F.lit(k), F.lit(v))])
-    return (ranked.withColumn(split_col, F.when(F.col("rn") <= q[F.col(label_col)], "val")
+    q = F.lit(0)
+    for k, v in sorted(quota.items(), key=lambda kv: str(kv[0])):
+        q = F.when(F.col(label_col).eqNullSafe(F.lit(k)), F.lit(v)).otherwise(q)
+    return (ranked.withColumn(split_col, F.when(F.col("rn") <= q, "val")
                               .otherwise("train"))
                   .drop("rn"))
 
@@ -132,7 +140,7 @@ def assign_folds(df: DataFrame, id_col: str = "id", k: int = 5, seed: int = 55,
                  label_col: str | None = None, fold_col: str = "fold") -> DataFrame:
     """Shuffled k folds; stratified when ``label_col`` is given
     (the rank inside each class is dealt round-robin, so every fold gets
-    the class balance)."""
+    the class balance; rows without a label are a class of their own)."""
     strata = [label_col] if label_col else None
     ranked = seeded_rank(df, id_col, seed, strata)
     return ranked.withColumn(fold_col, ((F.col("rn") - 1) % k).cast("int")).drop("rn")
@@ -174,7 +182,7 @@ def distributed_cumsum(df: DataFrame, partition_cols: list[str], bucket_col: str
                                    for v in value_cols]))
     if off.count() <= max_offset_rows:
         off = F.broadcast(off)
-    j = df.join(off, [*partition_cols, bucket_col])
+    j = null_safe_join(df, off, [*partition_cols, bucket_col])
     w2 = Window.partitionBy(*partition_cols, bucket_col).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return j.select(*df.columns, *[(F.col(f"_o_{v}") + F.sum(v).over(w2)).alias(v + suffix)

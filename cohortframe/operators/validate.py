@@ -1,9 +1,10 @@
 """Output validation (L1-L2).
 
 A check table ``(file, check, passed, detail)``: column names and order,
-row count, ids (compared by a full outer join on id rather than by row
-position), label domain {0, 1}, no NULL cells, id type (warning only).
-All counts come from two aggregation jobs; nothing is collected.
+row count, ids (each side counted per id, then compared by a full outer join
+rather than by row position), no repeated id, label domain {0, 1}, no NULL
+cells, id type (warning only).  A missing column fails its checks instead of
+raising.  All counts are aggregates; nothing is collected.
 """
 
 from __future__ import annotations
@@ -14,10 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _chk(name, passed, detail):
-    return F.struct(F.lit(name).alias("check"), passed.alias("passed"), detail.alias("detail"))
-
-
 def validate_output(sub: DataFrame, sample: DataFrame, id_col: str = "id", label_col: str = "label",
                     name: str = "submission") -> DataFrame:
     """L1: one row per check."""
@@ -29,30 +26,37 @@ def validate_output(sub: DataFrame, sample: DataFrame, id_col: str = "id", label
         [("columns", same_cols, f"{sub.columns} vs {sample.columns}"),
          ("id_type", id_type_same, "warning only")],
         "check string, passed boolean, detail string")
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in sub.columns])
-    s = sub.agg(F.count(F.lit(1)).alias("n_sub"),
-                F.count_if(~F.col(label_col).isin(0, 1)).alias("bad_labels"),
-                F.count_if(any_null).alias("null_rows"))
-    ids = (sub.select(F.col(id_col).alias("_a")).join(
-        sample.select(F.col(id_col).alias("_b")), F.col("_a") == F.col("_b"), "full_outer")
-        .agg(F.count_if(F.col("_a").isNull() | F.col("_b").isNull()).alias("id_mismatch"),
-             F.count(F.col("_b")).alias("n_sample")))
-    # the two single-row aggregates are stacked and folded into one row
-    stacked = (s.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).cast("long").alias("v"))
-                                           for k in ("n_sub", "bad_labels", "null_rows")])))
-               .unionByName(ids.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).cast("long").alias("v"))
-                                                           for k in ("id_mismatch", "n_sample")])))))
-    j = stacked.agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k)
-                      for k in ("n_sub", "bad_labels", "null_rows", "id_mismatch", "n_sample")])
-    dyn = j.select(F.inline(F.array(
+    def one(df, *aggs):
+        return df.agg(*[x.cast("long").alias(k) for k, x in aggs])
+
+    n_null = F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in sub.columns]))
+    counted = [("n_sub", F.count(F.lit(1))), ("null_rows", n_null)]
+    if label_col in sub.columns:
+        counted.append(("bad_labels", F.count_if(~F.col(label_col).isin(0, 1))))
+    parts = [one(sub, *counted), one(sample, ("n_sample", F.count(F.lit(1))))]
+    if id_col in sub.columns and id_col in sample.columns:
+        # each side is counted by itself first, so repeated ids cannot multiply in the join
+        a_ids = sub.groupBy(F.col(id_col).alias("_a")).agg(F.count(F.lit(1)).alias("_na"))
+        b_ids = sample.groupBy(F.col(id_col).alias("_b")).agg(F.count(F.lit(1)).alias("_nb"))
+        both = a_ids.join(b_ids, F.col("_a").eqNullSafe(F.col("_b")), "full_outer")
+        gap = F.abs(F.coalesce("_na", F.lit(0)) - F.coalesce("_nb", F.lit(0)))
+        parts.append(one(both, ("id_mismatch", F.sum(gap)), ("repeated_ids", F.count_if(F.col("_na") > 1))))
+    keys = ("n_sub", "null_rows", "bad_labels", "n_sample", "id_mismatch", "repeated_ids")
+    # the single-row aggregates are stacked and folded into one row
+    stacked = reduce(lambda a, b: a.unionByName(b), [d.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in d.columns]))) for d in parts])
+    j = stacked.agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k) for k in keys])
+
+    def zero(name, key, text):
+        n = F.col(key)
+        return F.struct(F.lit(name).alias("check"), F.coalesce(n == 0, F.lit(False)).alias("passed"),
+                        F.coalesce(F.concat(n.cast("string"), F.lit(text)), F.lit("column is missing")).alias("detail"))
+
+    dyn = j.na.fill(0, ["id_mismatch"] if id_col in sub.columns and id_col in sample.columns else []).select(F.inline(F.array(
         F.struct(F.lit("row_count").alias("check"), (F.col("n_sub") == F.col("n_sample")).alias("passed"),
                  F.concat(F.col("n_sub").cast("string"), F.lit(" vs "), F.col("n_sample").cast("string")).alias("detail")),
-        _chk("ids", F.col("id_mismatch") == 0,
-             F.concat(F.col("id_mismatch").cast("string"), F.lit(" unmatched ids"))),
-        _chk("binary_labels", F.col("bad_labels") == 0,
-             F.concat(F.col("bad_labels").cast("string"), F.lit(" values outside {0,1}"))),
-        _chk("no_nulls", F.col("null_rows") == 0,
-             F.concat(F.col("null_rows").cast("string"), F.lit(" rows with NULL"))))))
+        zero("ids", "id_mismatch", " unmatched ids"), zero("unique_ids", "repeated_ids", " repeated ids"),
+        zero("binary_labels", "bad_labels", " values outside {0,1}"), zero("no_nulls", "null_rows", " rows with NULL"))))
     return static.unionByName(dyn).select(F.lit(name).alias("file"), "check", "passed", "detail")
 
 

@@ -273,9 +273,11 @@ ORACLE["profile_histogram"] = with_("cohort") + ",\nx AS (" + "\nUNION ALL\n".jo
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, (SELECT min({c}) FROM cohort) AS lo, "
     f"(SELECT max({c}) FROM cohort) AS hi FROM cohort WHERE {c} IS NOT NULL" for c in _PROFILE8) + """),
 y AS (SELECT feature, lo, CASE WHEN hi > lo THEN (hi - lo) / 30 ELSE 0.0 END AS w,
-        CASE WHEN hi > lo THEN CAST(least(floor((v - lo) / ((hi - lo) / 30)), 29) AS INTEGER) ELSE 0 END AS bin FROM x)
-SELECT feature, bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi,
-       CAST(count(*) AS BIGINT) AS n FROM y GROUP BY feature, bin, lo, w
+        CASE WHEN hi > lo THEN CAST(least(floor((v - lo) / ((hi - lo) / 30)), 29) AS INTEGER) ELSE 0 END AS bin FROM x),
+b AS (SELECT DISTINCT feature, lo, w FROM y),
+e AS (SELECT feature, lo, w, CAST(unnest(range(0, CASE WHEN w > 0 THEN 30 ELSE 1 END)) AS INTEGER) AS bin FROM b)
+SELECT e.feature, e.bin, round(e.lo + e.bin * e.w, 6) AS bin_lo, round(e.lo + (e.bin + 1) * e.w, 6) AS bin_hi,
+       CAST(count(y.bin) AS BIGINT) AS n FROM e LEFT JOIN y ON y.feature = e.feature AND y.bin = e.bin GROUP BY e.feature, e.bin, e.lo, e.w
 """
 
 ORACLE["profile_box_stats"] = with_("cohort") + ",\nx AS (" + "\nUNION ALL\n".join(
@@ -412,6 +414,13 @@ ORACLE["folds_random"] = with_("cohort") + f"""
 SELECT id, CAST(({_rank_sql('cohort', None)} - 1) % 5 AS INTEGER) AS fold FROM cohort
 """
 
+_LABEL_GAPS = "g AS (SELECT id, CASE WHEN id % 7 = 0 THEN NULL ELSE label END AS label FROM cohort)"
+
+ORACLE["folds_null_label"] = with_("cohort") + f""",
+{_LABEL_GAPS}
+SELECT id, label, CAST(({_rank_sql('g', 'label')} - 1) % 5 AS INTEGER) AS fold FROM g
+"""
+
 ORACLE["folds_stratified"] = with_("cohort") + f"""
 SELECT id, label, CAST(({_rank_sql('cohort', 'label')} - 1) % 5 AS INTEGER) AS fold FROM cohort
 """
@@ -696,6 +705,7 @@ c AS (SELECT model, score, sum(pos) OVER (PARTITION BY model ORDER BY score DESC
 
 ORACLE["eval_roc"] = with_("scored") + _CURVE + """
 SELECT model, round(score, 6) AS threshold, round(fp * 1.0 / N, 6) AS fpr, round(tp * 1.0 / P, 6) AS tpr FROM c
+UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM scored
 """
 
 ORACLE["eval_pr"] = with_("scored") + _CURVE + """
@@ -797,16 +807,39 @@ o AS (SELECT o_orderkey AS id FROM orders),
 j AS (SELECT pred.id AS a, o.id AS b FROM pred FULL OUTER JOIN o ON pred.id = o.id),
 k AS (SELECT (SELECT count(*) FROM pred) AS n_sub, (SELECT count(*) FROM o) AS n_sample,
              (SELECT count(*) FROM j WHERE a IS NULL OR b IS NULL) AS mism,
+             (SELECT count(*) FROM (SELECT id FROM pred GROUP BY id HAVING count(*) > 1)) AS rep,
              (SELECT count(*) FROM pred WHERE prediction NOT IN (0, 1)) AS bad,
              (SELECT count(*) FROM pred WHERE id IS NULL OR prediction IS NULL) AS nul)
 SELECT 'submission' AS file, 'columns' AS "check", TRUE AS passed, '[''id'', ''label''] vs [''id'', ''label'']' AS detail
 UNION ALL SELECT 'submission', 'id_type', TRUE, 'warning only'
 UNION ALL SELECT 'submission', 'row_count', n_sub = n_sample, CAST(n_sub AS VARCHAR) || ' vs ' || CAST(n_sample AS VARCHAR) FROM k
 UNION ALL SELECT 'submission', 'ids', mism = 0, CAST(mism AS VARCHAR) || ' unmatched ids' FROM k
+UNION ALL SELECT 'submission', 'unique_ids', rep = 0, CAST(rep AS VARCHAR) || ' repeated ids' FROM k
 UNION ALL SELECT 'submission', 'binary_labels', bad = 0, CAST(bad AS VARCHAR) || ' values outside {0,1}' FROM k
 UNION ALL SELECT 'submission', 'no_nulls', nul = 0, CAST(nul AS VARCHAR) || ' rows with NULL' FROM k
 """
 
+ORACLE["validate_output_duplicates"] = """
+WITH o AS (SELECT o_orderkey AS id FROM orders),
+s AS (SELECT id FROM o UNION ALL SELECT id FROM o WHERE id % 10 = 0),
+a AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+k AS (SELECT (SELECT count(*) FROM s) AS n_sub, (SELECT count(*) FROM o) AS n_sample, (SELECT sum(n - 1) FROM a) AS mism,
+             (SELECT count(*) FROM a WHERE n > 1) AS rep)
+SELECT 'submission' AS file, 'columns' AS "check", TRUE AS passed, '[''id'', ''label''] vs [''id'', ''label'']' AS detail
+UNION ALL SELECT 'submission', 'id_type', TRUE, 'warning only'
+UNION ALL SELECT 'submission', 'row_count', n_sub = n_sample, CAST(n_sub AS VARCHAR) || ' vs ' || CAST(n_sample AS VARCHAR) FROM k
+UNION ALL SELECT 'submission', 'ids', mism = 0, CAST(CAST(mism AS BIGINT) AS VARCHAR) || ' unmatched ids' FROM k
+UNION ALL SELECT 'submission', 'unique_ids', rep = 0, CAST(rep AS VARCHAR) || ' repeated ids' FROM k
+UNION ALL SELECT 'submission', 'binary_labels', TRUE, '0 values outside {0,1}'
+UNION ALL SELECT 'submission', 'no_nulls', TRUE, '0 rows with NULL'
+"""
+
+ORACLE["validate_many"] = _ENS_T + """
+SELECT NOT EXISTS (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+         AND (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0) = 0 AS all_passed,
+       CASE WHEN (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0) = 0 THEN 0 ELSE 3 END AS n_failed
+"""
+
 ORACLE["stage_roundtrip"] = with_("cohort") + f""",
 {_quota_sql('cohort')},
 rk AS (SELECT id, label, age, hours, {_rank_sql('cohort', 'label')} AS rn FROM cohort)

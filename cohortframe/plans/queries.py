@@ -307,6 +307,14 @@ def q_folds_random(spark, sf_dir):
     return assign_folds(fx.cohort(spark, sf_dir).select(C.id), k=5).select(C.id, "fold")
 
 
+@query("folds_null_label")
+def q_folds_null_label(spark, sf_dir):
+    """D4 where every seventh label is missing: those rows are a stratum of their own."""
+    from cohortframe.operators.rank import assign_folds
+    df = fx.cohort(spark, sf_dir).select(C.id, F.when(F.col(C.id) % 7 != 0, F.col(C.label)).alias(C.label))
+    return assign_folds(df, k=5, label_col=C.label).select(C.id, C.label, "fold")
+
+
 @query("folds_stratified")
 def q_folds_stratified(spark, sf_dir):
     from cohortframe.operators.rank import assign_folds
@@ -768,6 +776,26 @@ def q_model_roundtrip(spark, sf_dir):
 
 # --------------------------------------------------------------- A sources
 
+def _duplicated(spark, sf_dir):
+    from cohortframe.sources.tables import read_table
+    sample = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit(0).alias("label"))
+    return sample.union(sample.filter("id % 10 = 0")), sample
+
+
+@query("validate_output_duplicates")
+def q_validate_output_duplicates(spark, sf_dir):
+    """L1 on a submission that repeats every tenth id."""
+    from cohortframe.operators.validate import validate_output
+    return validate_output(*_duplicated(spark, sf_dir))
+
+
+@query("validate_many")
+def q_validate_many(spark, sf_dir):
+    """L2: a right submission and one with repeated ids."""
+    from cohortframe.operators.validate import validate_many, validate_output
+    return validate_many([q_validate_output(spark, sf_dir), validate_output(*_duplicated(spark, sf_dir), name="repeated")])
+
+
 @query("stage_roundtrip")
 def q_stage_roundtrip(spark, sf_dir):
     """A2: a split stage table written partitioned by split, the validation

@@ -39,14 +39,22 @@ def get_session(app: str = "cohortframe", master: str | None = None,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and tasks share one process, and so one disk."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stage tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (unit tests, a laptop) is a private scratch folder created.
+    and all tasks run on this machine (unit tests, a laptop) is a private
+    scratch folder created.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cohortframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
