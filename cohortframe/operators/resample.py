@@ -1,12 +1,15 @@
 """Oversampling and Tomek links (H4-H7).
 
-Exact k nearest neighbours without emitting all pairs: rows are hashed
-into ``B`` blocks; every (left block, right block) pair meets in one
-``cogroup`` task (left rows are replicated over the right blocks and vice
-versa, so each side's volume is n x B), NumPy computes the block's distance
-matrix and only the k best candidates per left row leave the task.  A final
-window over at most B x k candidates per row keeps the global k best.
-Ties are ordered by (distance, neighbour id).
+Exact k nearest neighbours by cells: a bounded sample of rows serves as
+pivots, each row belongs to the cell of its nearest pivot, and a cell knows
+its radius.  A row's own cell gives an upper bound for the distance of its
+k-th neighbour; by the triangle inequality only cells with
+``dist(row, pivot) - radius`` below that bound can hold a nearer one, and the
+row is sent to those alone.  Large cells are dealt to sub-blocks of bounded
+size, so no group outgrows a task.  Inside a block distances come from matrix
+products in chunks (never rows x rows x features) and the few best are
+computed anew term by term.  Ties are ordered by (distance, neighbour id),
+distances counting as equal to nine decimals.
 
 Synthesis is a join plan: ``spark.range(n_synth)`` draws a base rank, a
 neighbour slot and an interpolation weight from seeded hashes; joins fetch
@@ -19,61 +22,126 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortframe.functions.columns import hash_hex, hash_uniform
 from cohortframe.operators.rank import seeded_rank
+from cohortframe.session import cut_lineage
 
 SENTINEL = -999.0
-ROWS_PER_BLOCK = 4000
+#: Rows a cell should have, most pivots (they are sent to every task), and most rows of a block.
+CELL_ROWS, MAX_PIVOTS, BLOCK_ROWS = 2000, 4096, 8000
+#: Rows of one distance matrix, and the decimals to which distances are compared.
+CHUNK, DECIMALS = 1024, 9
+_NEAR = "id long, nb_id long, dist double"
+
+
+def _sq_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """|a|^2 + |b|^2 - 2ab: rows x rows, without a third dimension."""
+    return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T, 0.0)
+
+
+def _nearest(ia: np.ndarray, xa: np.ndarray, ib: np.ndarray, xb: np.ndarray, k: int, exclude_self: bool) -> pd.DataFrame:
+    """The k nearest of ``b`` for each row of ``a``, exact and with ties by id."""
+    out_i, out_n, out_d = [], [], []
+    order = np.argsort(ib, kind="stable")
+    ib, xb = ib[order], xb[order]
+    scale = 1e-9 * (1.0 + (xb * xb).sum(axis=1).max(initial=0.0) + (xa * xa).sum(axis=1).max(initial=0.0))
+    for at in range(0, len(ia), CHUNK):
+        rows = slice(at, at + CHUNK)
+        d2 = _sq_distances(xa[rows], xb)
+        if exclude_self:
+            d2[ia[rows][:, None] == ib[None, :]] = np.inf
+        kk = min(k, len(ib))
+        bound = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+        for r in range(len(d2)):
+            near = np.flatnonzero((d2[r] <= bound[r] + scale) & np.isfinite(d2[r]))
+            diff = xb[near] - xa[at + r]
+            dist = np.round(np.sqrt((diff * diff).sum(axis=1)), DECIMALS)
+            best = near[np.lexsort((ib[near], dist))[:kk]]
+            out_i.append(np.full(len(best), ia[at + r]))
+            out_n.append(ib[best])
+            out_d.append(np.round(np.sqrt(((xb[best] - xa[at + r]) ** 2).sum(axis=1)), DECIMALS))
+    empty = [np.empty(0, np.int64)]
+    return pd.DataFrame({"id": np.concatenate(out_i or empty), "nb_id": np.concatenate(out_n or empty),
+                         "dist": np.concatenate(out_d or [np.empty(0)])})
 
 
-def _block(id_col: str, n_blocks: int, seed: int = 7):
-    h = F.conv(F.substring(hash_hex(id_col, seed), 1, 8), 16, 10).cast("long")
-    return (h % F.lit(n_blocks)).cast("int")
+def _matrix(rows: pd.Series, width: int) -> np.ndarray:
+    return np.stack(rows.to_numpy()).astype(np.float64) if len(rows) else np.empty((0, width))
 
 
 def knn(left: DataFrame, right: DataFrame, features: list[str], k: int = 5, id_col: str = "id",
-        exclude_self: bool = True, n_blocks: int | None = None) -> DataFrame:
+        exclude_self: bool = True, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, nb_id, dist, nb_rank): the k nearest ``right`` rows of every
-    ``left`` row by Euclidean distance, exact."""
-    if n_blocks is None:
-        n = right.count()
-        n_blocks = max(1, math.ceil(n / ROWS_PER_BLOCK))
-    vec = F.array(*[F.col(f).cast("double") for f in features])
-    lt = left.select(F.col(id_col).alias("_id"), vec.alias("_x"), _block(id_col, n_blocks).alias("_lb"))
-    rt = right.select(F.col(id_col).alias("_id"), vec.alias("_x"), _block(id_col, n_blocks).alias("_rb"))
-    lt = lt.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_rb"))
-    rt = rt.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_lb"))
-
-    def block_knn(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "nb_id": [], "dist": []})
-        xa = np.stack(a["_x"].to_numpy()).astype(np.float64)
-        xb = np.stack(b["_x"].to_numpy()).astype(np.float64)
-        ia = a["_id"].to_numpy()
-        ib = b["_id"].to_numpy()
-        d2 = ((xa[:, None, :] - xb[None, :, :]) ** 2).sum(axis=2)
-        if exclude_self:
-            d2[ia[:, None] == ib[None, :]] = np.inf
-        kk = min(k, len(ib))
-        out_i, out_n, out_d = [], [], []
-        for r in range(len(ia)):
-            order = np.lexsort((ib, d2[r]))[:kk]
-            order = order[np.isfinite(d2[r][order])]
-            out_i.append(np.full(len(order), ia[r]))
-            out_n.append(ib[order])
-            out_d.append(np.sqrt(d2[r][order]))
-        return pd.DataFrame({"id": np.concatenate(out_i), "nb_id": np.concatenate(out_n),
-                             "dist": np.concatenate(out_d)})
-
-    cand = lt.groupBy("_lb", "_rb").cogroup(rt.groupBy("_lb", "_rb")).applyInPandas(
-        block_knn, "id long, nb_id long, dist double")
-    w = Window.partitionBy("id").orderBy("dist", "nb_id")
-    return cand.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k) \
-        .withColumnRenamed("id", id_col)
+    ``left`` row by Euclidean distance, exact.  NULL or NaN features raise."""
+    d = len(features)
+    known = lambda f: F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")),
+                             F.raise_error(F.lit(f"{f}: NULL or NaN has no distance"))).otherwise(F.col(f).cast("double"))
+    vec = F.array(*[known(f) for f in features])
+    lt = left.select(F.col(id_col).cast("long").alias("id"), vec.alias("x"))
+    rt = right.select(F.col(id_col).cast("long").alias("id"), vec.alias("x"))
+    n = right.count()
+    n_pivots = min(MAX_PIVOTS, max(1, math.ceil(n / cell_rows)))
+    pivots = _matrix(rt.orderBy(hash_hex("id", 7), "id").limit(n_pivots).toPandas()["x"], d)  # at most MAX_PIVOTS rows
+    pivots = np.unique(pivots, axis=0) if len(pivots) else np.zeros((1, d))
+
+    def place(batches):
+        for pdf in batches:
+            x = _matrix(pdf["x"], d)
+            cell, dist = np.empty(len(x), np.int64), np.empty(len(x))
+            for at in range(0, len(x), CHUNK):
+                d2 = _sq_distances(x[at:at + CHUNK], pivots)
+                cell[at:at + CHUNK] = d2.argmin(axis=1)
+                diff = x[at:at + CHUNK] - pivots[cell[at:at + CHUNK]]
+                dist[at:at + CHUNK] = np.sqrt((diff * diff).sum(axis=1))
+            yield pdf.assign(cell=cell, to_pivot=dist)
+
+    placed = "id long, x array<double>, cell long, to_pivot double"
+    rt = cut_lineage(rt.mapInPandas(place, placed))
+    lt = lt.mapInPandas(place, placed)
+    cells = {r["cell"]: r for r in rt.groupBy("cell").agg(F.max("to_pivot").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}  # one row a pivot
+    radius = np.array([cells[c]["radius"] if c in cells else -np.inf for c in range(len(pivots))])
+    parts = np.array([-(-cells[c]["n"] // block_rows) if c in cells else 0 for c in range(len(pivots))])
+    of_cell = F.lit(1) if not (parts > 1).any() else F.element_at(F.array(*[F.lit(int(max(1, p))) for p in parts]), F.col("cell").cast("int") + 1)
+    blocks = rt.select("id", "x", "cell", F.pmod(F.xxhash64("id"), of_cell).alias("sub"))
+
+    def search(asked: DataFrame) -> DataFrame:
+        """``asked(id, x, cell)`` against all sub-blocks of the cell."""
+        subs = F.explode(F.sequence(F.lit(0).cast("long"), of_cell.cast("long") - 1))
+        a = asked.select("id", "x", "cell", subs.alias("sub"))
+
+        def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+            if p.empty or q.empty:
+                return pd.DataFrame({"id": pd.Series(dtype="int64"), "nb_id": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
+            return _nearest(p["id"].to_numpy(), _matrix(p["x"], d), q["id"].to_numpy(), _matrix(q["x"], d), k, exclude_self)
+
+        return a.groupBy("cell", "sub").cogroup(blocks.groupBy("cell", "sub")).applyInPandas(block, _NEAR)
+
+    def best(found: DataFrame) -> DataFrame:
+        w = Window.partitionBy("id").orderBy("dist", "nb_id")
+        return found.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
+
+    own = cut_lineage(best(search(lt.select("id", "x", "cell"))))
+    if len(cells) > 1:
+        bound = own.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("bound"))
+
+        def route(batches):
+            for pdf in batches:
+                x, ub = _matrix(pdf["x"], d), pdf["bound"].fillna(np.inf).to_numpy()
+                for at in range(0, len(x), CHUNK):
+                    rows = slice(at, at + CHUNK)
+                    low = np.sqrt(_sq_distances(x[rows], pivots)) - radius[None, :]
+                    go = (low <= ub[rows][:, None] + 1e-6) & np.isfinite(radius)[None, :]
+                    go[np.arange(len(go)), pdf["cell"].to_numpy()[rows]] = False
+                    i, c = np.nonzero(go)
+                    yield pd.DataFrame({"id": pdf["id"].to_numpy()[rows][i], "x": list(x[rows][i]), "cell": c})
+
+        wide = lt.join(bound, "id", "left").select("id", "x", "cell", "bound")
+        others = search(wide.mapInPandas(route, "id long, x array<double>, cell long"))
+        own = best(own.drop("nb_rank").unionByName(others))
+    return own.withColumnRenamed("id", id_col)
 
 
 def class_counts(df: DataFrame, label: str = "label") -> dict:
@@ -81,12 +149,18 @@ def class_counts(df: DataFrame, label: str = "label") -> dict:
     return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
 
 
+def _draw(id_col: str, seed: int) -> Column:
+    """60 hashed bits of the id, as a number."""
+    return F.conv(F.substring(hash_hex(id_col, seed), 1, 15), 16, 10).cast("long")
+
+
 def smote(df: DataFrame, features: list[str], label: str = "label", id_col: str = "id", k: int = 5,
           seed: int = 55, sentinel_nulls: bool = False) -> DataFrame:
     """H4 (and H5 with ``sentinel_nulls``): oversample the minority class
     to the majority count with points on segments between a minority row
     and one of its k nearest minority neighbours.  Adds ``synthetic``
-    (0/1); synthetic ids are negative."""
+    (0/1); synthetic ids are negative.  Without ``sentinel_nulls`` a NULL
+    feature in a minority row raises."""
     counts = class_counts(df, label)
     if len(counts) < 2:
         return df.withColumn("synthetic", F.lit(0))
@@ -102,19 +176,17 @@ def smote(df: DataFrame, features: list[str], label: str = "label", id_col: str
     out = work.withColumn("synthetic", F.lit(0))
     if n_syn <= 0 or n_min < 2:
         return _restore(out, features) if sentinel_nulls else out
-    nn = knn(mins, mins, features, k, id_col)
+    nn = cut_lineage(knn(mins, mins, features, k, id_col))
     ranked = seeded_rank(mins, id_col, seed, None, n_rows=n_min)
-    kk = min(k, n_min - 1)
     draws = df.sparkSession.range(n_syn).select(
-        F.col("id").alias("_i"),
-        (F.conv(F.substring(hash_hex("id", seed), 1, 8), 16, 10).cast("long") % n_min + 1).alias("rn"),
-        (F.conv(F.substring(hash_hex("id", seed + 1), 1, 8), 16, 10).cast("long") % kk + 1).cast("int")
-        .alias("nb_rank"),
+        F.col("id").alias("_i"), (_draw("id", seed) % n_min + 1).alias("rn"), _draw("id", seed + 1).alias("_slot"),
         hash_uniform("id", seed + 2).alias("_u"))
-    base = ranked.select("rn", F.col(id_col).alias("_base"), *[F.col(f).alias(f"_b_{f}") for f in features])
+    # a base draws among the neighbours it has, so no draw is lost
+    have = nn.groupBy(F.col(id_col).alias("_base")).agg(F.count(F.lit(1)).alias("_nn"))
+    base = ranked.select("rn", F.col(id_col).alias("_base"), *[F.col(f).alias(f"_b_{f}") for f in features]).join(have, "_base")
+    draws = draws.join(base, "rn").withColumn("nb_rank", (F.col("_slot") % F.col("_nn") + 1).cast("int"))
     nbrows = mins.select(F.col(id_col).alias("nb_id"), *[F.col(f).alias(f"_n_{f}") for f in features])
-    syn = (draws.join(base, "rn")
-                .join(nn.select(F.col(id_col).alias("_base"), "nb_rank", "nb_id"), ["_base", "nb_rank"])
+    syn = (draws.join(nn.select(F.col(id_col).alias("_base"), "nb_rank", "nb_id"), ["_base", "nb_rank"])
                 .join(nbrows, "nb_id"))
     new = syn.select((-(F.col("_i") + 1)).alias(id_col),
                      *[(F.col(f"_b_{f}") + F.col("_u") * (F.col(f"_n_{f}") - F.col(f"_b_{f}"))).alias(f)
@@ -138,7 +210,7 @@ def _restore(df: DataFrame, features: list[str]) -> DataFrame:
 def tomek_links(df: DataFrame, features: list[str], label: str = "label", id_col: str = "id") -> DataFrame:
     """H6 link step: pairs of opposite class that are each other's nearest
     neighbour; returns (id, nb_id) with id < nb_id."""
-    nn = knn(df, df, features, 1, id_col).select(id_col, "nb_id")
+    nn = cut_lineage(knn(df, df, features, 1, id_col).select(id_col, "nb_id"))
     lab = df.select(F.col(id_col).alias("_k"), F.col(label).alias("_l"))
     mutual = nn.alias("a").join(nn.alias("b"), (F.col(f"a.{id_col}") == F.col("b.nb_id")) &
                                 (F.col("a.nb_id") == F.col(f"b.{id_col}")))
@@ -151,7 +223,11 @@ def tomek_links(df: DataFrame, features: list[str], label: str = "label", id_col
 def smote_tomek(df: DataFrame, features: list[str], label: str = "label", id_col: str = "id",
                 k: int = 5, seed: int = 55) -> DataFrame:
     """H6: SMOTE, then both members of every Tomek link removed."""
-    res = smote(df, features, label, id_col, k, seed)
-    links = tomek_links(res, features, label, id_col)
+    return remove_links(smote(df, features, label, id_col, k, seed), features, label, id_col)
+
+
+def remove_links(df: DataFrame, features: list[str], label: str = "label", id_col: str = "id") -> DataFrame:
+    """H6 removal step: the rows that are in no Tomek link."""
+    links = tomek_links(df, features, label, id_col)
     drop = links.select(id_col).union(links.select(F.col("nb_id").alias(id_col)))
-    return res.join(drop, id_col, "left_anti")
+    return df.join(drop, id_col, "left_anti")

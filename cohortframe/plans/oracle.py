@@ -911,3 +911,36 @@ SELECT x.id, x.nb AS nb_id FROM nn x JOIN nn y ON x.id = y.nb AND x.nb = y.id
 JOIN e ea ON ea.id = x.id JOIN e eb ON eb.id = x.nb
 WHERE ea.label <> eb.label AND x.id < x.nb
 """
+
+_LINKS = ORACLE["resample_tomek"].strip()
+ORACLE["resample_tomek_removed"] = f"""
+SELECT vec_id AS id, label FROM embeddings WHERE vec_id NOT IN (SELECT id FROM ({_LINKS}) UNION ALL SELECT nb_id FROM ({_LINKS}))
+"""
+
+# ------------------------------------------------------------------ H5, H7
+
+_SENT = ", ".join(f"coalesce(CAST({c} AS DOUBLE), -999.0) AS {c}" for c in _PROFILE8)
+_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _PROFILE8)
+_DRAW = "CAST('0x' || substr(md5(CAST(i AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
+_SMOTE = with_("cohort") + f""",
+w AS (SELECT id, label, {_SENT} FROM cohort),
+cnt AS (SELECT label, count(*) AS n FROM w GROUP BY label),
+mn AS (SELECT label, n FROM cnt ORDER BY n, label LIMIT 1),
+mx AS (SELECT max(n) AS n FROM cnt),
+mi AS (SELECT w.*, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':55'), id) AS rn FROM w WHERE label = (SELECT label FROM mn)),
+dd AS (SELECT a.id, b.id AS nb, round(sqrt({_D2}), 9) AS dist FROM mi a JOIN mi b ON a.id <> b.id),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nb) AS r FROM dd) WHERE r <= 5),
+hv AS (SELECT id, count(*) AS c FROM nn GROUP BY id),
+dr AS (SELECT i, {_DRAW.format(seed=55)} % (SELECT n FROM mn) + 1 AS rn, {_DRAW.format(seed=56)} AS slot,
+              CAST('0x' || substr(md5(CAST(i AS VARCHAR) || ':57'), 1, 8) AS BIGINT) / 4294967296.0 AS u
+       FROM (SELECT unnest(range(0, (SELECT n FROM mx) - (SELECT n FROM mn))) AS i)),
+sy AS (SELECT -(dr.i + 1) AS id, (SELECT label FROM mn) AS label, 1 AS synthetic,
+  {", ".join(f"a.{c} + u * (b.{c} - a.{c}) AS {c}" for c in _PROFILE8)}
+  FROM dr JOIN mi a ON a.rn = dr.rn JOIN hv ON hv.id = a.id JOIN nn ON nn.id = a.id AND nn.r = dr.slot % hv.c + 1 JOIN mi b ON b.id = nn.nb),
+al AS (SELECT id, label, 0 AS synthetic, {", ".join(_PROFILE8)} FROM w UNION ALL SELECT * FROM sy),
+rs AS (SELECT id, label, synthetic, {", ".join(f"CASE WHEN abs({c} + 999) <= 1.00999 THEN NULL ELSE {c} END AS {c}" for c in _PROFILE8)} FROM al)"""
+
+ORACLE["resample_smote_null"] = _SMOTE + f"""
+SELECT id, label, synthetic, {", ".join(f"round({c}, 6) AS {c}" for c in _PROFILE8)} FROM rs
+"""
+ORACLE["resample_counts"] = _SMOTE + "\nSELECT label, synthetic, CAST(count(*) AS BIGINT) AS n FROM rs GROUP BY label, synthetic"

@@ -995,8 +995,34 @@ def q_resample_tomek(spark, sf_dir):
     different labels."""
     from cohortframe.operators.resample import tomek_links
     from cohortframe.sources.tables import read_table
-    emb = read_table(spark, sf_dir, "embeddings")
+    wide, feats = _vectors(read_table(spark, sf_dir, "embeddings"))
+    return tomek_links(wide, feats, "label", "id")
+
+
+def _vectors(emb):
     dims = len(emb.select("embedding").first()[0])
-    wide = emb.select(F.col("vec_id").alias("id"), "label",
-                      *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
-    return tomek_links(wide, [f"e{i}" for i in range(dims)], "label", "id")
+    feats = [f"e{i}" for i in range(dims)]
+    return emb.select(F.col("vec_id").alias("id"), "label", *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(feats)]), feats
+
+
+@query("resample_tomek_removed")
+def q_resample_tomek_removed(spark, sf_dir):
+    """H6 removal step on the embeddings table: rows in no link."""
+    from cohortframe.operators.resample import remove_links
+    from cohortframe.sources.tables import read_table
+    wide, feats = _vectors(read_table(spark, sf_dir, "embeddings"))
+    return remove_links(wide, feats, "label", "id").select("id", "label")
+
+
+@query("resample_smote_tomek")
+def q_resample_smote_tomek(spark, sf_dir):
+    """H6: prepared training rows oversampled, then without Tomek links."""
+    from cohortframe.operators.resample import smote_tomek
+    prep = _prepared(spark, sf_dir)
+    return smote_tomek(prep.train, prep.features, C.label, C.id)
+
+
+@query("resample_counts")
+def q_resample_counts(spark, sf_dir):
+    """H7: rows of each class after oversampling with NULLs."""
+    return q_resample_smote_null(spark, sf_dir).groupBy(C.label, "synthetic").agg(F.count(F.lit(1)).alias("n"))

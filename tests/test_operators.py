@@ -164,6 +164,6 @@ def test_smote_segments(spark):
 def test_knn_exact(spark):
     rows = [(i, float(i), 0.0) for i in range(1, 21)]
     df = spark.createDataFrame(rows, "id long, a double, b double")
-    nn = resample.knn(df, df, ["a", "b"], k=2, n_blocks=3)
+    nn = resample.knn(df, df, ["a", "b"], k=2, cell_rows=3, block_rows=2)
     got = {(r["id"], r["nb_rank"]): r["nb_id"] for r in nn.collect()}
     assert got[(1, 1)] == 2 and got[(1, 2)] == 3 and got[(10, 1)] == 9 and got[(10, 2)] == 11
