@@ -7,8 +7,9 @@ Features stay named scalar columns until the model boundary, where a
 ``VectorAssembler`` builds the vector.  Probabilities of class 1 are read
 with ``vector_to_array`` -- no Python UDF.
 
-Default sizes in :data:`FULL` follow the reference; :data:`SMALL` keeps
-registered queries quick (bounded trees and rounds).
+Sizes in :data:`FULL` are the defaults everywhere.  Boosters that stop early
+(I6) are fitted with a doubling number of rounds until the patience rule is
+met inside it, which gives the round that the full budget would give.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from __future__ import annotations
 import json
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -36,29 +39,24 @@ FULL = {
     "forest": {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 2},
     "gbt_a": {"maxIter": 500, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8,
               "featureSubsetStrategy": "0.8"},
-    "gbt_b": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.1, "minInstancesPerNode": 20},
+    "gbt_b": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.1, "minInstancesPerNode": 20, "subsamplingRate": 0.8,
+              "featureSubsetStrategy": "0.8"},
     "gbt_c": {"maxIter": 500, "maxDepth": 5, "stepSize": 0.1},
 }
 SEEDS = {"logistic": 42, "forest": 42, "gbt_a": 42, "gbt_b": 43, "gbt_c": 44}
-SMALL = {"forest": {"numTrees": 20}, "gbt_a": {"maxIter": 20}, "gbt_b": {"maxIter": 20},
-         "gbt_c": {"maxIter": 20}, "logistic": {"maxIter": 100}}
 PATIENCE = 50
 # Learning rates of the sweep.
 LEARNING_RATES = [0.07, 0.1, 0.13, 0.15, 0.17, 0.2, 0.3]
 
 
-def settings(kind: str, small: bool = True, **override) -> dict:
-    s = dict(FULL[kind])
-    if small:
-        s.update(SMALL.get(kind, {}))
-    s.update(override)
-    return s
+def settings(kind: str, **override) -> dict:
+    return {**FULL[kind], **override}
 
 
-def classifier(kind: str, n_rows: int | None = None, small: bool = True, label: str = "label",
+def classifier(kind: str, n_rows: int | None = None, label: str = "label",
                features: str = "features", **override):
     """I1-I5 estimators."""
-    s = settings(kind, small, **override)
+    s = settings(kind, **override)
     seed = SEEDS[kind]
     if kind == "logistic":
         # sklearn's C-weighted L2 objective equals MLlib's averaged loss with
@@ -85,12 +83,12 @@ def with_label(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def fit_model(train: DataFrame, features: list[str], kind: str, label: str = "label",
-              small: bool = True, n_rows: int | None = None, **override) -> PipelineModel:
+              n_rows: int | None = None, **override) -> PipelineModel:
     """Fit assembler + classifier; the feature list travels with the model
     (I17: scoring checks it against the frame)."""
     if kind == "logistic" and n_rows is None:
         n_rows = train.count()
-    est = classifier(kind, n_rows, small, label, **override)
+    est = classifier(kind, n_rows, label, **override)
     return Pipeline(stages=[assembler(features), est]).fit(with_label(train, label))
 
 
@@ -168,18 +166,33 @@ def best_round(val_losses: list[float], patience: int = PATIENCE) -> int:
     return best_i + 1
 
 
+def stop_round(val_losses: list[float], patience: int = PATIENCE) -> int | None:
+    """The last round that training with ``patience`` runs, or None if the
+    rule is not met within these rounds."""
+    last = best_round(val_losses, patience) + patience
+    return last if last <= len(val_losses) else None
+
+
 def train_early_stop(train: DataFrame, val: DataFrame, features: list[str], kind: str,
-                     label: str = "label", patience: int = PATIENCE, small: bool = True, **override):
-    """Fit the full round budget, read per-round validation loss, pick
-    the round the patience rule stops at, refit with that many rounds (the
-    refit prefix equals the first rounds with a fixed seed).  Returns
-    (model, history rows, best round)."""
-    full = fit_model(train, features, kind, label, small, **override)
-    hist = gbt_history(full, train, val, label)
-    best = best_round([h[2] for h in hist], patience)
-    if best == len(hist):
-        return full, hist, best
-    model = fit_model(train, features, kind, label, small, **{**override, "maxIter": best})
+                     label: str = "label", patience: int = PATIENCE, **override):
+    """Stop after ``patience`` rounds without a better validation loss and
+    keep the best round.  The first rounds of a booster do not depend on its
+    budget, so the budget doubles until the rule is met or the full one is
+    reached.  Returns (model, history rows up to the stop, best round)."""
+    budget = settings(kind, **override)["maxIter"]
+    rounds = min(budget, patience + 14)
+    while True:
+        model = fit_model(train, features, kind, label, **{**override, "maxIter": rounds})
+        hist = gbt_history(model, train, val, label)
+        losses = [h[2] for h in hist]
+        stop = stop_round(losses, patience)
+        if stop is not None or rounds >= budget:
+            break
+        rounds = min(budget, 2 * rounds)
+    best = best_round(losses, patience)
+    hist = hist[:stop or len(hist)]
+    if best < rounds:
+        model = fit_model(train, features, kind, label, **{**override, "maxIter": best})
     return model, hist, best
 
 
@@ -204,12 +217,13 @@ def f1_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
 
 
 def cross_validate(df: DataFrame, features: list[str], kind: str, fold_col: str = "fold",
-                   label: str = "label", metric: str = "f1", small: bool = True, param_maps=None,
+                   label: str = "label", metric: str = "f1", param_maps=None,
                    parallelism: int = 4, n_folds: int = 5, **override):
     """CrossValidator over precomputed (stratified) folds.
     Returns the fitted CrossValidatorModel (``avgMetrics``, ``stdMetrics``)."""
-    n = df.count() if kind == "logistic" else None
-    est = classifier(kind, n, small, label, **override)
+    # each fit sees all folds but one
+    n = df.count() * (n_folds - 1) // n_folds if kind == "logistic" else None
+    est = classifier(kind, n, label, **override)
     pipe = Pipeline(stages=[assembler(features), est])
     ev = f1_evaluator(label) if metric == "f1" else BinaryClassificationEvaluator(labelCol=label)
     maps = param_maps if param_maps is not None else ParamGridBuilder().build()
@@ -220,15 +234,18 @@ def cross_validate(df: DataFrame, features: list[str], kind: str, fold_col: str
 
 # Search ranges (uniform unless marked log).
 SEARCH_SPACE = {
-    "gbt_a": {"maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3), "subsamplingRate": ("float", 0.6, 1.0),
+    "gbt_a": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3),
+              "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("share", 0.6, 1.0),
               "minInstancesPerNode": ("int", 1, 10)},
-    "gbt_b": {"maxDepth": ("int", 3, 12), "stepSize": ("log", 0.01, 0.3), "subsamplingRate": ("float", 0.6, 1.0),
-              "minInstancesPerNode": ("int", 5, 100)},
-    "gbt_c": {"maxDepth": ("int", 4, 10), "stepSize": ("log", 0.01, 0.3)},
+    "gbt_b": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 8), "stepSize": ("log", 0.01, 0.3),
+              "subsamplingRate": ("float", 0.7, 1.0), "featureSubsetStrategy": ("share", 0.7, 1.0),
+              "minInstancesPerNode": ("int", 20, 100)},
+    "gbt_c": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3)},
 }
+TRIALS = 30
 
 
-def draw_params(kind: str, n_trials: int, seed: int = 55) -> list[dict]:
+def draw_params(kind: str, n_trials: int = TRIALS, seed: int = 55) -> list[dict]:
     """Seeded random draws from the search ranges (uniform / log-uniform)."""
     rng = random.Random(seed)
     out = []
@@ -241,28 +258,66 @@ def draw_params(kind: str, n_trials: int, seed: int = 55) -> list[dict]:
                 d[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
             else:
                 d[k] = rng.uniform(lo, hi)
+            if t == "share":
+                d[k] = str(d[k])
         out.append(d)
     return out
 
 
-def search_params(df: DataFrame, features: list[str], kind: str, n_trials: int = 5,
-                  fold_col: str = "fold", label: str = "label", seed: int = 55,
-                  small: bool = True, n_folds: int = 5) -> DataFrame:
+def search_params(df: DataFrame, features: list[str], kind: str, n_trials: int = TRIALS,
+                  fold_col: str = "fold", label: str = "label", seed: int = 55, n_folds: int = 5,
+                  parallelism: int = 4, **override) -> DataFrame:
     """Seeded random search scored by mean positive-class F1 over the
-    folds; a trial that fails scores 0.0."""
-    draws = draw_params(kind, n_trials, seed)
-    est = classifier(kind, None, small, label)
-    maps = [{getattr(est, k): v for k, v in d.items()} for d in draws]
-    pipe = Pipeline(stages=[assembler(features), est])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=f1_evaluator(label),
-                        foldCol=fold_col, numFolds=n_folds, parallelism=4, seed=seed)
-    try:
-        metrics = cv.fit(with_label(df, label)).avgMetrics
-    except Exception:  # noqa: BLE001 -- a failed search scores 0.0, like a failed trial
-        metrics = [0.0] * len(draws)
-    rows = [(i, json.dumps(d, sort_keys=True), float(m) if m == m else 0.0)
-            for i, (d, m) in enumerate(zip(draws, metrics))]
-    return df.sparkSession.createDataFrame(rows, "trial int, params string, mean_f1 double")
+    folds.  Trials run apart: one that fails scores 0.0 and keeps its error,
+    the others are not touched.  ``override`` replaces drawn values."""
+    draws = [{**d, **override} for d in draw_params(kind, n_trials, seed)]
+    work = with_label(df, label)
+
+    def trial(item):
+        i, d = item
+        try:
+            cv, _ = cross_validate(work, features, kind, fold_col, label, "f1", n_folds=n_folds, parallelism=1, **d)
+            m, err = float(cv.avgMetrics[0]), None
+        except Exception as e:  # noqa: BLE001 -- recorded in the trial's row
+            m, err = 0.0, f"{type(e).__name__}: {str(e)[:300]}"
+        return i, json.dumps(d, sort_keys=True), m if m == m else 0.0, err
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(inheritable_thread_target(df.sparkSession)(trial), enumerate(draws)))
+    return df.sparkSession.createDataFrame(rows, "trial int, params string, mean_f1 double, error string")
+
+
+def rate_results(train: DataFrame, val: DataFrame, features: list[str], kind: str = "gbt_a", rates=None,
+                 id_col: str = "id", label: str = "label", patience: int = PATIENCE, max_rounds: int = 1000) -> DataFrame:
+    """Accuracy, F1, AUC and rounds of each learning rate, each trained
+    with early stopping."""
+    from cohortframe.operators.evaluate import auc, basic_metrics
+    out = None
+    for r in LEARNING_RATES if rates is None else rates:
+        m, _, best = train_early_stop(train, val, features, kind, label, patience, maxIter=max_rounds, stepSize=r)
+        s = score(m, val, keep=[id_col, label]).withColumn("rate", F.lit(float(r)))
+        met = basic_metrics(s, ["rate"], label).join(auc(s, ["rate"], label), "rate") \
+            .select("rate", "accuracy", "f1", "auc", F.lit(best).alias("rounds"))
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
+RATE_METRICS = ("accuracy", "f1", "auc")
+
+
+def best_rates(results: DataFrame) -> DataFrame:
+    """For each metric the rate with the highest value; the first one
+    tried (the smallest) wins ties."""
+    long = results.select("rate", "rounds", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in RATE_METRICS])))
+    return long.groupBy("metric").agg(
+        F.min_by(F.struct("rate", "rounds", "value"), F.struct((-F.col("value")).alias("v"), F.col("rate"))).alias("b")) \
+        .select("metric", "b.rate", "b.value", "b.rounds")
+
+
+def compare_rates(results: DataFrame, rates) -> DataFrame:
+    """The chosen rates with their metrics, best accuracy first."""
+    return results.filter(F.col("rate").isin([float(r) for r in rates])).orderBy(F.desc("accuracy"), "rate")
 
 
 # ------------------------------------------------------------ ensembles
@@ -307,12 +362,28 @@ def save_models(models: dict, path: str) -> None:
         m.write().overwrite().save(f"{path}/{name}")
 
 
-def load_models(path: str, names=MODELS) -> dict:
-    """A4: a missing model folder is skipped."""
+def load_models(spark, path: str, names=MODELS) -> dict:
+    """A4: a model without a folder is skipped; any other failure is raised."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = {}
     for n in names:
-        try:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
+        if folder.getFileSystem(conf).exists(folder):
             out[n] = PipelineModel.load(f"{path}/{n}")
-        except Exception:  # noqa: BLE001 -- absent model: skipped
-            continue
     return out
+
+
+def save_metadata(spark, path: str, feature_set: str, features: list[str]) -> None:
+    """Which feature set and columns the models were trained on."""
+    spark.createDataFrame([(feature_set, list(features))], "feature_set string, features array<string>") \
+        .coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+
+
+def check_metadata(spark, path: str, feature_set: str) -> list[str]:
+    """The columns the models need.  Missing metadata, or models of
+    another feature set, are errors."""
+    row = spark.read.schema("feature_set string, features array<string>").json(f"{path}/metadata").first()
+    if row is None or row["feature_set"] != feature_set:
+        raise ValueError(f"models were trained on feature set {row and row['feature_set']!r}, not {feature_set!r}")
+    return list(row["features"])

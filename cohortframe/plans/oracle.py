@@ -944,3 +944,10 @@ ORACLE["resample_smote_null"] = _SMOTE + f"""
 SELECT id, label, synthetic, {", ".join(f"round({c}, 6) AS {c}" for c in _PROFILE8)} FROM rs
 """
 ORACLE["resample_counts"] = _SMOTE + "\nSELECT label, synthetic, CAST(count(*) AS BIGINT) AS n FROM rs GROUP BY label, synthetic"
+
+ORACLE["predict_new_rows_count"] = with_("cohort") + """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT id) AS BIGINT) AS ids, CAST(count(*) AS BIGINT) AS labelled FROM cohort
+"""
+ORACLE["scan_csv_roundtrip"] = with_("cohort") + "\nSELECT * FROM cohort"
+# no fixture row misses half of all its values
+ORACLE["model_roundtrip"] = with_("cohort") + "\nSELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n, CAST(0 AS BIGINT) AS unequal FROM cohort"

@@ -1,26 +1,32 @@
 """End-to-end plans: prepare (fit on train, apply everywhere), train, score,
-evaluate.
+tune thresholds, evaluate, and predict new rows.
 
 ``prepare`` runs every fit step on the training split only and applies the
-fitted parameter tables to the training and validation rows.  The prepared
-frames are checkpointed to the shared checkpoint folder, so the five model
-fits reuse them and a lost executor recomputes from the checkpoint, not from
-the raw scan.
+fitted parameter tables to the training and validation rows; the training
+rows are then oversampled.  :func:`apply_prepared` applies the same tables to
+any further table, so raw rows, parameters, models and thresholds lead to a
+submission (:func:`predict`).  The prepared frames are checkpointed to the
+shared checkpoint folder, so the model fits reuse them and a lost executor
+reads the checkpoint, not the raw scan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import numeric_columns
-from cohortframe.operators import clean, encode, evaluate, features, impute, models, scale
+from cohortframe.operators import clean, encode, evaluate, features, impute, models, resample, scale
 from cohortframe.operators.rank import split_stratified
+from cohortframe.params import Params
 from cohortframe.schema import DEFAULT_COLUMNS, Columns
 from cohortframe.session import cut_lineage
 
+ENSEMBLE = ("gbt_a", "gbt_b", "gbt_c")
+
 
 @dataclass
 class Prepared:
@@ -28,81 +34,140 @@ class Prepared:
     val: DataFrame
     features: list
     params: dict = field(default_factory=dict)
+    options: dict = field(default_factory=dict)
 
 
-def prepare(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, encoding: str = "label",
-            scaling: str = "standard", val_size: float = 0.2, seed: int = 55,
-            feature_set: str = "current", checkpoint: bool = True) -> Prepared:
-    """Split first, then fit every statistic on the training rows only."""
+def _cleaned(df: DataFrame, cols: Columns) -> DataFrame:
     df = clean.drop_columns(df, None, cols)
     df = clean.whitelist(df, None, cols)
-    df = clean.blacklist(df, None, cols)
-    sp = split_stratified(df, cols.id, cols.label, val_size, seed)
+    return clean.blacklist(df, None, cols)
+
+
+def _built(df: DataFrame, p: dict, cols: Columns, feature_set: str) -> DataFrame:
+    if feature_set == "none":
+        return df
+    return (features.all_features if feature_set == "current" else features.all_features_v1)(df, p["features"], cols)
+
+
+def prepare(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, encoding: str = "label",
+            scaling: str = "standard", val_size: float = 0.2, seed: int = 55,
+            feature_set: str = "current", checkpoint: bool = True, sparse: float | None = 0.5,
+            smote: bool = True) -> Prepared:
+    """Rows missing at least ``sparse`` of their values go; the rest is split
+    first, then every statistic is fitted on the training rows only, and
+    last the training rows are oversampled (``smote``)."""
+    if sparse is not None:
+        df = clean.drop_sparse_rows(df, sparse)
+    sp = split_stratified(_cleaned(df, cols), cols.id, cols.label, val_size, seed)
     if checkpoint:
         sp = cut_lineage(sp)
     train = sp.filter(F.col("split") == "train").drop("split")
     val = sp.filter(F.col("split") == "val").drop("split")
     p = {}
-    p["impute"] = impute.fit_impute(train, cols)
+    # every parameter table is collected once and handed on as scalars
+    p["impute"] = Params.collect(impute.fit_impute(train, cols), impute.STAGE)
     train, val = impute.apply_impute(train, p["impute"], cols), impute.apply_impute(val, p["impute"], cols)
     train, p["encode"] = encode.encode(train, None, encoding, True, cols.label, cols)
     val, _ = encode.encode(val, p["encode"], encoding, False, cols.label, cols)
-    p["clip"] = impute.fit_clip(train, {cols.hours: (0.0, 24.0), cols.cgpa: (0.0, 10.0)})
+    if checkpoint:
+        train = cut_lineage(train)  # the fits below read it several times
+    p["clip"] = Params.collect(impute.fit_clip(train, {cols.hours: (0.0, 24.0), cols.cgpa: (0.0, 10.0)}), impute.CLIP_STAGE)
     train, val = impute.apply_clip(train, p["clip"]), impute.apply_clip(val, p["clip"])
     if feature_set != "none":
         p["features"] = features.fit_features(train, cols)
-        build = features.all_features if feature_set == "current" else features.all_features_v1
-        train, val = build(train, p["features"], cols), build(val, p["features"], cols)
+        train, val = _built(train, p, cols, feature_set), _built(val, p, cols, feature_set)
     excl = (cols.id, cols.label)
-    p["fill"] = impute.fit_fill(train, exclude=excl)
+    p["fill"] = Params.collect(impute.fit_fill(train, exclude=excl), impute.FILL_STAGE)
     train, val = impute.apply_fill(train, p["fill"], excl), impute.apply_fill(val, p["fill"], excl)
     feats = numeric_columns(train, exclude=excl)
     p["scale"] = scale.fit_scale(train, feats, scaling, exclude=excl)
     train, val = scale.apply_scale(train, p["scale"], scaling), scale.apply_scale(val, p["scale"], scaling)
     # models cannot take NULL (an all-NULL training column keeps its NULL):
     # constant 0.0 then, never split on
-    train = train.fillna(0.0, subset=feats)
-    val = val.fillna(0.0, subset=feats)
     keep = [cols.id, cols.label] + feats
-    train, val = train.select(keep), val.select(keep)
+    train, val = train.fillna(0.0, subset=feats).select(keep), val.fillna(0.0, subset=feats).select(keep)
     if checkpoint:
         train, val = cut_lineage(train), cut_lineage(val)
-    return Prepared(train, val, feats, p)
+    if smote:
+        train = resample.smote(train, feats, cols.label, cols.id).select(keep)
+        if checkpoint:
+            train = cut_lineage(train)
+    return Prepared(train, val, feats, p, {"encoding": encoding, "scaling": scaling, "feature_set": feature_set})
 
 
-def train_all(prep: Prepared, kinds=models.MODELS, small: bool = True, label: str = "label") -> dict:
+def apply_prepared(df: DataFrame, prep: Prepared, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """The fitted parameters applied to further rows: (id, [label], features).
+    No row is dropped; nothing is learned from these rows."""
+    p, o = prep.params, prep.options
+    out = impute.apply_impute(_cleaned(df, cols), p["impute"], cols)
+    out, _ = encode.encode(out, p["encode"], o["encoding"], False, cols.label, cols)
+    out = _built(impute.apply_clip(out, p["clip"]), p, cols, o["feature_set"])
+    excl = (cols.id, cols.label)
+    out = scale.apply_scale(impute.apply_fill(out, p["fill"], excl), p["scale"], o["scaling"])
+    missing = [f for f in prep.features if f not in out.columns]
+    if missing:
+        raise ValueError(f"rows lack features the models were trained on: {missing}")
+    keep = [c for c in excl if c in out.columns] + prep.features
+    return out.fillna(0.0, subset=prep.features).select(keep)
+
+
+def train_all(prep: Prepared, kinds=models.MODELS, label: str = "label", **override) -> dict:
+    """``override`` replaces settings of the boosted members."""
     n = prep.train.count()
-    return {k: models.fit_model(prep.train, prep.features, k, label, small, n_rows=n) for k in kinds}
+    return {k: models.fit_model(prep.train, prep.features, k, label, n_rows=n, **(override if k in ENSEMBLE else {})) for k in kinds}
 
 
-def score_long(fitted: dict, prep: Prepared, id_col: str = "id", label: str = "label",
-               ensemble=("gbt_a", "gbt_b", "gbt_c")) -> DataFrame:
-    """(id, label, model, dataset, score) for every model and split, plus
-    the ensemble mean of the boosted members."""
-    parts = []
+def score_wide(fitted: dict, frame: DataFrame, keep: list[str], ensemble=ENSEMBLE) -> DataFrame:
+    """A probability column ``p_<model>`` for each model, all on one frame,
+    and ``p_ensemble``, the mean of the boosted members: one scan, no shuffle."""
+    first = next(iter(fitted.values()))
+    out = first.stages[0].transform(frame)
     for name, m in fitted.items():
-        for ds, frame in (("Train", prep.train), ("Validation", prep.val)):
-            s = models.score(m, frame, keep=[id_col, label])
-            parts.append(s.select(id_col, label, F.lit(name).alias("model"), F.lit(ds).alias("dataset"), "score"))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    members = [e for e in ensemble if e in fitted]
+        est = m.stages[-1].copy().setProbabilityCol(f"_v_{name}").setPredictionCol("").setRawPredictionCol(f"_r_{name}")
+        out = est.transform(out).withColumn(f"p_{name}", vector_to_array(F.col(f"_v_{name}"))[1])
+    members = [F.col(f"p_{e}") for e in ensemble if e in fitted]
+    cols = [f"p_{n}" for n in fitted]
     if members:
-        ens = (out.filter(F.col("model").isin(members))
-                  .groupBy(id_col, label, "dataset").agg(F.avg("score").alias("score"))
-                  .select(id_col, label, F.lit("ensemble").alias("model"), "dataset", "score"))
-        out = out.unionByName(ens)
-    return out
+        out = out.withColumn("p_ensemble", sum(members[1:], members[0]) / float(len(members)))
+        cols.append("p_ensemble")
+    return out.select(*keep, *cols)
+
+
+def score_long(fitted: dict, prep: Prepared, id_col: str = "id", label: str = "label", ensemble=ENSEMBLE) -> DataFrame:
+    """(id, label, model, dataset, score) for every model, the ensemble and
+    split: each frame is scored once and unpivoted."""
+    parts = []
+    for ds, frame in (("Train", prep.train), ("Validation", prep.val)):
+        wide = score_wide(fitted, frame, [id_col, label], ensemble)
+        names = [c.removeprefix("p_") for c in wide.columns if c.startswith("p_")]
+        parts.append(wide.select(id_col, label, F.lit(ds).alias("dataset"), F.inline(F.array(*[
+            F.struct(F.lit(n).alias("model"), F.col(f"p_{n}").alias("score")) for n in names]))))
+    return parts[0].unionByName(parts[1]).select(id_col, label, "model", "dataset", "score")
+
+
+def tune(long: DataFrame, label: str = "label") -> DataFrame:
+    """J15 on trained models: the best F1 threshold of each on the validation rows."""
+    val = long.filter("dataset = 'Validation'")
+    return evaluate.best_threshold(evaluate.threshold_sweep(val, ["model"], label, "score"), ["model"])
+
+
+def predict(df: DataFrame, prep: Prepared, fitted: dict, thresholds: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """(id, score, prediction) of raw rows: parameters applied, boosted
+    members averaged, the mean of their thresholds (I15)."""
+    members = [m for m in ENSEMBLE if m in fitted]
+    t = models.ensemble_threshold(thresholds.filter(F.col("model").isin(members))).first()["threshold"]
+    wide = score_wide({m: fitted[m] for m in members}, apply_prepared(df, prep, cols), [cols.id])
+    return wide.select(cols.id, F.col("p_ensemble").alias("score"), (F.col("p_ensemble") >= F.lit(float(t))).cast("int").alias("prediction"))
 
 
-def pipeline_metrics(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, small: bool = True,
-                     kinds=models.MODELS) -> DataFrame:
+def pipeline_metrics(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, kinds=models.MODELS, prep: Prepared | None = None,
+                     fitted: dict | None = None, **override) -> DataFrame:
     """Prepare -> five models + ensemble -> metrics for every (model,
-    dataset) in one evaluation plan."""
-    prep = prepare(df, cols)
-    fitted = train_all(prep, kinds, small, cols.label)
-    # scored once, checkpointed: the metric, AUC and log-loss branches all
+    dataset) in one evaluation plan, with each model's tuned threshold."""
+    prep = prep or prepare(df, cols)
+    fitted = fitted or train_all(prep, kinds, cols.label, **override)
+    # scored once, checkpointed: the metric, AUC, log-loss and threshold branches all
     # read the same table instead of re-scoring every model
     long = cut_lineage(score_long(fitted, prep, cols.id, cols.label))
-    return evaluate.evaluate_all(long, ["model", "dataset"], cols.label, "score").drop("tn", "fp", "fn", "tp")
+    out = evaluate.evaluate_all(long, ["model", "dataset"], cols.label, "score").drop("tn", "fp", "fn", "tp")
+    return out.join(tune(long, cols.label).select("model", "best_threshold"), "model")

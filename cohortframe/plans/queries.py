@@ -648,17 +648,41 @@ def q_validate_output(spark, sf_dir):
 
 # --------------------------------------------------------------- I models
 
+# A boosting round is several Spark jobs (a third of a second on a quiet local
+# session), so the registered queries give the boosters this many rounds; the
+# library's own defaults are the full settings.  README, "Open items".
+ROUNDS = 20
+_SHARED: dict = {}
+
+
+def _shared(spark, sf_dir, what, make):
+    """Made once a session: the model queries read one preparation and one set of models."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _SHARED:
+        _SHARED[key] = make()
+    return _SHARED[key]
+
+
 def _prepared(spark, sf_dir):
     from cohortframe.plans.pipeline import prepare
-    return prepare(fx.cohort(spark, sf_dir))
+    return _shared(spark, sf_dir, "prepared", lambda: prepare(fx.cohort(spark, sf_dir)))
+
+
+def _model(spark, sf_dir, kind):
+    from cohortframe.operators.models import fit_model
+    prep = _prepared(spark, sf_dir)
+    override = {"maxIter": ROUNDS} if kind.startswith("gbt") else {}
+    return _shared(spark, sf_dir, kind, lambda: fit_model(prep.train, prep.features, kind, C.label, **override))
+
+
+def _models(spark, sf_dir, kinds=("logistic", "forest", "gbt_a", "gbt_b", "gbt_c")):
+    return {k: _model(spark, sf_dir, k) for k in kinds}
 
 
 def _model_query(kind):
     def run(spark, sf_dir):
-        from cohortframe.operators.models import fit_model, score
-        prep = _prepared(spark, sf_dir)
-        m = fit_model(prep.train, prep.features, kind)
-        return score(m, prep.val, keep=[C.id, C.label])
+        from cohortframe.operators.models import score
+        return score(_model(spark, sf_dir, kind), _prepared(spark, sf_dir).val, keep=[C.id, C.label])
     run.__doc__ = f"I1-I5: {kind} trained on the prepared training split, validation rows scored (I13)."
     return run
 
@@ -670,22 +694,45 @@ for _k in ("logistic", "forest", "gbt_a", "gbt_b", "gbt_c"):
 @query("predict_scores")
 def q_predict_scores(spark, sf_dir):
     """Probability and label at 0.5 for every validation row, three boosters."""
-    from cohortframe.operators.models import fit_model, score
-    prep = _prepared(spark, sf_dir)
+    from cohortframe.operators.models import score
     out = None
     for k in ("gbt_a", "gbt_b", "gbt_c"):
-        s = score(fit_model(prep.train, prep.features, k), prep.val, keep=[C.id, C.label]) \
-            .withColumn("model", F.lit(k))
+        s = score(_model(spark, sf_dir, k), _prepared(spark, sf_dir).val, keep=[C.id, C.label]).withColumn("model", F.lit(k))
         out = s if out is None else out.unionByName(s)
     return out
 
 
+@query("predict_new_rows")
+def q_predict_new_rows(spark, sf_dir):
+    """Raw rows + fitted parameters + models + tuned thresholds -> submission:
+    the raw cohort rows without their label, scored end to end (A6, I13-I15)."""
+    from cohortframe.plans.pipeline import predict, score_long, tune
+    prep, fitted = _prepared(spark, sf_dir), _models(spark, sf_dir, ("gbt_a", "gbt_b", "gbt_c"))
+    thresholds = tune(score_long(fitted, prep, C.id, C.label), C.label)
+    return predict(fx.cohort(spark, sf_dir).drop(C.label), prep, fitted, thresholds).select(C.id, "prediction")
+
+
+@query("predict_new_rows_count")
+def q_predict_new_rows_count(spark, sf_dir):
+    """Every raw row is scored once and gets a label of {0, 1}."""
+    p = q_predict_new_rows(spark, sf_dir)
+    return p.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(C.id).alias("ids"),
+                 F.count_if(F.col("prediction").isin(0, 1)).alias("labelled"))
+
+
+@query("thr_models")
+def q_thr_models(spark, sf_dir):
+    """J15/I15 on the trained models: tuned threshold of each model and of the ensemble."""
+    from cohortframe.plans.pipeline import score_long, tune
+    return tune(score_long(_models(spark, sf_dir), _prepared(spark, sf_dir), C.id, C.label), C.label)
+
+
 @query("train_early_stop")
 def q_train_early_stop(spark, sf_dir):
     """Patience rule on per-round validation loss, refit at the best round."""
     from cohortframe.operators.models import history_frame, train_early_stop
     prep = _prepared(spark, sf_dir)
-    model, hist, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", patience=5, maxIter=30)
+    model, hist, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", patience=5, maxIter=ROUNDS)
     h = history_frame(spark, hist, "gbt_a")
     return h.withColumn("best_iteration", F.lit(best)).withColumn(
         "refit_rounds", F.lit(model.stages[-1].getNumTrees))
@@ -695,17 +742,11 @@ def q_train_early_stop(spark, sf_dir):
 def q_train_history(spark, sf_dir):
     """Per-round losses of a booster plus single-point train/val
     log-loss rows of the logistic and forest models, and the summary."""
-    from cohortframe.operators.models import (fit_model, gbt_history, history_frame, history_summary,
-                                              logloss)
+    from cohortframe.operators.models import gbt_history, history_frame, history_summary, logloss
     prep = _prepared(spark, sf_dir)
-    g = fit_model(prep.train, prep.features, "gbt_b")
-    hist = history_frame(spark, gbt_history(g, prep.train, prep.val), "gbt_b")
-    rows = []
-    for k in ("logistic", "forest"):
-        m = fit_model(prep.train, prep.features, k)
-        rows.append((k, 1, logloss(m, prep.train), logloss(m, prep.val)))
-    single = spark.createDataFrame(rows, hist.schema)
-    allh = hist.unionByName(single)
+    hist = history_frame(spark, gbt_history(_model(spark, sf_dir, "gbt_b"), prep.train, prep.val), "gbt_b")
+    rows = [(k, 1, logloss(m, prep.train), logloss(m, prep.val)) for k, m in _models(spark, sf_dir, ("logistic", "forest")).items()]
+    allh = hist.unionByName(spark.createDataFrame(rows, hist.schema))
     return allh.join(history_summary(allh), "model")
 
 
@@ -716,7 +757,7 @@ def q_cv_scores(spark, sf_dir):
     from cohortframe.operators.rank import assign_folds
     prep = _prepared(spark, sf_dir)
     folded = assign_folds(prep.train, C.id, 5, 55, C.label)
-    cvm, _ = cross_validate(folded, prep.features, "gbt_c", "fold", C.label, "f1", maxIter=10)
+    cvm, _ = cross_validate(folded, prep.features, "gbt_c", "fold", C.label, "f1", maxIter=ROUNDS // 2)
     mean, std = float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])
     return spark.createDataFrame([("gbt_c", mean, std, mean - 2 * std, mean + 2 * std)],
                                  "model string, mean_f1 double, std_f1 double, lo double, hi double")
@@ -729,49 +770,61 @@ def q_search_params(spark, sf_dir):
     from cohortframe.operators.rank import assign_folds
     prep = _prepared(spark, sf_dir)
     folded = assign_folds(prep.train, C.id, 3, 55, C.label)
-    return search_params(folded, prep.features, "gbt_c", n_trials=3, n_folds=3)
+    return search_params(folded, prep.features, "gbt_c", n_trials=3, n_folds=3, maxIter=ROUNDS // 2, maxDepth=3)
+
+
+def _rates(spark, sf_dir):
+    from cohortframe.operators.models import rate_results
+    from cohortframe.session import cut_lineage
+    prep = _prepared(spark, sf_dir)
+    return _shared(spark, sf_dir, "rates", lambda: cut_lineage(rate_results(
+        prep.train, prep.val, prep.features, id_col=C.id, label=C.label, patience=5, max_rounds=ROUNDS // 2)))
 
 
 @query("search_learning_rate")
 def q_search_learning_rate(spark, sf_dir):
-    """Every rate of the sweep with early stopping; accuracy, F1,
-    AUC and rounds per rate; best per metric (first wins on ties)."""
-    from cohortframe.operators.evaluate import auc, basic_metrics
-    from cohortframe.operators.models import LEARNING_RATES, score, train_early_stop
-    prep = _prepared(spark, sf_dir)
-    out = None
-    for r in LEARNING_RATES:
-        m, _, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", patience=5,
-                                      maxIter=15, stepSize=r)
-        s = score(m, prep.val, keep=[C.id, C.label]).withColumn("rate", F.lit(r))
-        met = basic_metrics(s, ["rate"]).join(auc(s, ["rate"]), "rate") \
-            .select("rate", "accuracy", "f1", "auc", F.lit(best).alias("rounds"))
-        out = met if out is None else out.unionByName(met)
-    return out
+    """Every rate of the sweep with early stopping; accuracy, F1, AUC and rounds per rate."""
+    return _rates(spark, sf_dir)
+
+
+@query("best_learning_rate")
+def q_best_learning_rate(spark, sf_dir):
+    """Best rate for each metric, the first one wins ties."""
+    from cohortframe.operators.models import best_rates
+    return best_rates(_rates(spark, sf_dir))
+
+
+@query("compare_learning_rates")
+def q_compare_learning_rates(spark, sf_dir):
+    """Three chosen rates side by side, best accuracy first."""
+    from cohortframe.operators.models import compare_rates
+    return compare_rates(_rates(spark, sf_dir), [0.07, 0.1, 0.3])
 
 
 @query("pipeline_metrics")
 def q_pipeline_metrics(spark, sf_dir):
-    """The full pipeline -- prepare, five models and the ensemble,
-    metrics per (model, dataset)."""
+    """The full pipeline -- prepare with oversampling, five models and the
+    ensemble, metrics and tuned threshold per (model, dataset)."""
     from cohortframe.plans.pipeline import pipeline_metrics
-    return pipeline_metrics(fx.cohort(spark, sf_dir))
+    return pipeline_metrics(fx.cohort(spark, sf_dir), prep=_prepared(spark, sf_dir), fitted=_models(spark, sf_dir))
 
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
-    """A4: save, reload, re-score; equal scores expected."""
+    """Save models and metadata, reload, re-score: rows and how many scores differ."""
     import os
-    from cohortframe.operators.models import fit_model, load_models, save_models, score
+    import uuid
+    from cohortframe.operators.models import check_metadata, load_models, save_metadata, save_models, score
     from cohortframe.session import scratch_path
-    prep = _prepared(spark, sf_dir)
-    m = fit_model(prep.train, prep.features, "gbt_c")
-    path = scratch_path(spark, f"models-{os.getpid()}-{id(m)}")
+    prep, m = _prepared(spark, sf_dir), _model(spark, sf_dir, "gbt_c")
+    path = scratch_path(spark, f"models-{os.getpid()}-{uuid.uuid4().hex[:8]}")
     save_models({"gbt_c": m}, path)
-    back = load_models(path, ["gbt_c", "absent"])["gbt_c"]
+    save_metadata(spark, path, "current", prep.features)
+    check_metadata(spark, path, "current")
+    back = load_models(spark, path, ["gbt_c", "absent"])["gbt_c"]
     a = score(m, prep.val, keep=[C.id]).select(C.id, F.col("score").alias("score_before"))
     b = score(back, prep.val, keep=[C.id]).select(C.id, F.col("score").alias("score_after"))
-    return a.join(b, C.id)
+    return a.join(b, C.id).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("score_before") != F.col("score_after")).alias("unequal"))
 
 
 # --------------------------------------------------------------- A sources
@@ -922,23 +975,22 @@ def q_cohort_top_diff(spark, sf_dir):
 def q_attr_linear(spark, sf_dir):
     """K2: exact attributions of the logistic model on the validation rows."""
     from cohortframe.operators.attribute import linear_attributions, mean_background
-    from cohortframe.operators.models import fit_model
     prep = _prepared(spark, sf_dir)
-    m = fit_model(prep.train, prep.features, "logistic")
-    return linear_attributions(m, prep.val, prep.features, mean_background(prep.train, prep.features))
+    return linear_attributions(_model(spark, sf_dir, "logistic"), prep.val, prep.features, mean_background(prep.train, prep.features))
+
+
+ATTR_ROWS, ATTR_PERMS = 200, 4
 
 
 @query("attr_shapley")
 def q_attr_shapley(spark, sf_dir):
-    """K1: sampled Shapley values of a booster on 200 sampled validation
-    rows (D5), 4 permutations each, training means as background."""
+    """K1: sampled Shapley values of a booster on sampled validation rows
+    (D5), training means as background."""
     from cohortframe.operators.attribute import mean_background, shapley_sampled
-    from cohortframe.operators.models import fit_model
     from cohortframe.operators.rank import sample_exact
     prep = _prepared(spark, sf_dir)
-    m = fit_model(prep.train, prep.features, "gbt_a", maxIter=10)
-    rows = sample_exact(prep.val, 200)
-    return shapley_sampled(m, rows, prep.features, mean_background(prep.train, prep.features), n_perm=4)
+    return shapley_sampled(_model(spark, sf_dir, "gbt_a"), sample_exact(prep.val, ATTR_ROWS), prep.features,
+                           mean_background(prep.train, prep.features), n_perm=ATTR_PERMS)
 
 
 @query("attr_background")
@@ -952,7 +1004,8 @@ def q_attr_background(spark, sf_dir):
 @query("cohort_study")
 def q_cohort_study(spark, sf_dir):
     """K8: per cohort -- own split and fitted preparation (cohort column
-    dropped), a booster, sampled attributions, mean importance."""
+    dropped), three boosters, sampled attributions, importance averaged over
+    the boosters."""
     from cohortframe.operators.attribute import importance, mean_background, shapley_sampled
     from cohortframe.operators.models import fit_model
     from cohortframe.operators.rank import sample_exact
@@ -960,14 +1013,15 @@ def q_cohort_study(spark, sf_dir):
     df = fx.cohort(spark, sf_dir)
     out = None
     for who in (C.student, C.professional):
-        prep = prepare(df.filter(F.col(C.cohort) == who))
+        prep = prepare(df.filter(F.col(C.cohort) == who), smote=False)
         feats = [f for f in prep.features if f != C.cohort]  # the cohort column is removed
-        m = fit_model(prep.train, feats, "gbt_c", maxIter=10)
-        phi = shapley_sampled(m, sample_exact(prep.val, 100), feats,
-                              mean_background(prep.train, feats), n_perm=2)
-        imp = importance(phi).withColumn(C.cohort, F.lit(who))
-        out = imp if out is None else out.unionByName(imp)
-    return out
+        rows, mean = sample_exact(prep.val, ATTR_ROWS // 2), mean_background(prep.train, feats)
+        for kind in ("gbt_a", "gbt_b", "gbt_c"):
+            m = fit_model(prep.train, feats, kind, maxIter=ROUNDS // 4)
+            phi = shapley_sampled(m, rows, feats, mean, n_perm=2)
+            imp = importance(phi).withColumn("model", F.lit(kind)).withColumn(C.cohort, F.lit(who))
+            out = imp if out is None else out.unionByName(imp)
+    return out.groupBy(C.cohort, "feature").agg(F.avg("importance").alias("importance"))
 
 
 # --------------------------------------------------------------- H resampling

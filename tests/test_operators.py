@@ -167,3 +167,94 @@ def test_knn_exact(spark):
     nn = resample.knn(df, df, ["a", "b"], k=2, cell_rows=3, block_rows=2)
     got = {(r["id"], r["nb_rank"]): r["nb_id"] for r in nn.collect()}
     assert got[(1, 1)] == 2 and got[(1, 2)] == 3 and got[(10, 1)] == 9 and got[(10, 2)] == 11
+
+
+# ------------------------------------------------------------ wrong answers that once passed
+
+def test_folds_keep_rows_without_a_label(spark):
+    from cohortframe.operators.rank import assign_folds, split_stratified
+    df = spark.range(100).select("id", F.when(F.col("id") >= 20, (F.col("id") % 2).cast("int")).alias("label"))
+    assert assign_folds(df, "id", 5, 55, "label").count() == 100
+    assert split_stratified(df, "id", "label").count() == 100
+
+
+def test_curves_refuse_missing_scores_and_keep_null_groups(spark):
+    from cohortframe.operators.evaluate import roc_points
+    rows = [(None, 1, 0.9), (None, 0, 0.1), ("a", 1, 0.8), ("a", 0, 0.3)]
+    pts = roc_points(spark.createDataFrame(rows, "model string, label int, score double"), ["model"]).collect()
+    assert len(pts) == 6 and sum(p["fpr"] == 0.0 and p["tpr"] == 0.0 for p in pts) == 2
+    with pytest.raises(Exception, match="NULL or NaN"):
+        roc_points(spark.createDataFrame([("a", 1, None), ("a", 0, 0.1)], "model string, label int, score double"), ["model"]).collect()
+
+
+def test_integer_columns_are_not_truncated(spark):
+    from cohortframe.operators import impute
+    from cohortframe.params import ALL, Params
+    fill = Params([{"stage": impute.STAGE, "feature": "age", "cohort": ALL, "stat": "median", "value": 1.5, "value_str": None}])
+    df = spark.createDataFrame([(1, "Student", None), (2, "Student", 4)], "id long, cohort string, age int")
+    assert {r["id"]: r["age"] for r in impute.apply_impute(df, fill).collect()} == {1: 1.5, 2: 4.0}
+    clip = Params([{"stage": impute.CLIP_STAGE, "feature": "age", "cohort": ALL, "stat": s, "value": v, "value_str": None} for s, v in (("lo", 0.0), ("hi", 16.75))])
+    assert impute.apply_clip(spark.createDataFrame([(1, 40)], "id long, age int"), clip).first()["age"] == 16.75
+
+
+def test_smote_draws_every_synthetic_row(spark):
+    from cohortframe.operators import resample
+    rows = [(i, 1, float(i), float(i % 3)) for i in range(12)] + [(i, 0, float(i), 0.0) for i in range(12, 60)]
+    df = spark.createDataFrame(rows, "id long, label int, a double, b double")
+    for k in (3, 50):  # more neighbours asked than there are
+        out = resample.smote(df, ["a", "b"], "label", "id", k=k)
+        assert out.filter("synthetic = 1").count() == 36
+    gaps = df.withColumn("a", F.when(F.col("id") > 2, F.col("a")))
+    assert resample.smote(gaps, ["a", "b"], "label", "id", sentinel_nulls=True).filter("synthetic = 1").count() == 36
+    with pytest.raises(Exception, match="no distance"):
+        resample.smote(gaps, ["a", "b"], "label", "id").collect()
+
+
+def test_validator_counts_each_side(spark):
+    from cohortframe.operators.validate import validate_output
+    sub = spark.createDataFrame([(1, 0), (2, 1), (2, 1)], "id long, label int")
+    sample = spark.createDataFrame([(1, 0), (2, 0)], "id long, label int")
+    got = {r["check"]: r["passed"] for r in validate_output(sub, sample).collect()}
+    assert not got["row_count"] and not got["unique_ids"] and not got["ids"]
+    got = {r["check"]: r["passed"] for r in validate_output(sample.drop("label"), sample).collect()}
+    assert not got["columns"] and not got["binary_labels"]
+
+
+def test_early_stopping_budget_and_search_space():
+    from cohortframe.operators.models import FULL, SEARCH_SPACE, best_round, draw_params, stop_round
+    assert {k: FULL[k]["maxIter"] for k in ("gbt_a", "gbt_b", "gbt_c")} == dict.fromkeys(("gbt_a", "gbt_b", "gbt_c"), 500)
+    losses = [1.0, 0.5, 0.6, 0.7, 0.8, 0.1]
+    assert best_round(losses, 3) == 2 and stop_round(losses, 3) == 5 and stop_round(losses, 5) is None
+    for kind, space in SEARCH_SPACE.items():
+        for d in draw_params(kind, 20):
+            assert set(d) == set(space) and all(lo <= float(d[k]) <= hi for k, (_, lo, hi) in space.items())
+
+
+def test_a_failing_trial_keeps_the_others(spark, monkeypatch):
+    from cohortframe.operators import models
+    calls = []
+
+    def cv(df, features, kind, *a, **d):
+        calls.append(d)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return type("M", (), {"avgMetrics": [0.7]})(), None
+    monkeypatch.setattr(models, "cross_validate", cv)
+    rows = models.search_params(spark.createDataFrame([(1.0, 0)], "label double, fold int"), [], "gbt_c", n_trials=3, parallelism=1).orderBy("trial").collect()
+    assert [r["mean_f1"] for r in rows] == [0.7, 0.0, 0.7] and "lost" in rows[1]["error"]
+
+
+def test_metadata_guards_the_feature_set(spark, tmp_path):
+    from cohortframe.operators.models import check_metadata, save_metadata
+    save_metadata(spark, str(tmp_path), "current", ["a", "b"])
+    assert check_metadata(spark, str(tmp_path), "current") == ["a", "b"]
+    with pytest.raises(ValueError):
+        check_metadata(spark, str(tmp_path), "none")
+    with pytest.raises(Exception):
+        check_metadata(spark, str(tmp_path / "absent"), "current")
+
+
+def test_only_a_local_master_may_make_its_own_folder():
+    from cohortframe.session import is_local
+    assert is_local("local[4]") and is_local("local")
+    assert not is_local("local-cluster[2,1,1024]") and not is_local("spark://host:7077") and not is_local("yarn")
