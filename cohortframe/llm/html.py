@@ -137,10 +137,10 @@ def _path_features(path: tuple) -> list[int]:
     return sorted({_bucket(f) for f in found | {"bias"}})
 
 
-def _text_features(block: Block, k: int, n: int) -> list[int]:
+def _text_features(block: Block) -> list[int]:
     text = block.text
     words = text.count(" ") + 1
-    found = [f"w:{min(8, words.bit_length())}", f"l:{round(4 * block.linked / len(text))}", f"end:{text[-1] in '.!?…。:;'}", f"first:{k == 0}", f"last:{k == n - 1}"]
+    found = [f"w:{min(8, words.bit_length())}", f"l:{round(4 * block.linked / len(text))}", f"end:{text[-1] in '.!?…。:;'}"]
     if text[0] in "©®™" or text[:9].lower() == "copyright":
         found.append("notice")
     return [_bucket(f) for f in found]
@@ -157,12 +157,12 @@ class Chain:
 
     def scores(self, page: list[Block]) -> list[float]:
         w, out = self.weights, []
-        for k, b in enumerate(page):
+        for b in page:
             if b.path not in self.paths:
                 if len(self.paths) > 50_000:
                     self.paths.clear()
                 self.paths[b.path] = float(sum(w[f] for f in _path_features(b.path)))
-            out.append(self.paths[b.path] + float(sum(w[f] for f in _text_features(b, k, len(page)))))
+            out.append(self.paths[b.path] + float(sum(w[f] for f in _text_features(b))))
         return out
 
     def viterbi(self, scores: list[float]) -> list[int]:
@@ -201,7 +201,7 @@ def train(pages: list[tuple[str, list[int]]], epochs: int = EPOCHS, seed: int =
         if len(found) != len(labels):
             raise ValueError(f"{len(labels)} labels for {len(found)} blocks")
         if found:
-            data.append(([np.array(_path_features(b.path) + _text_features(b, k, len(found))) for k, b in enumerate(found)], labels))
+            data.append(([np.array(_path_features(b.path) + _text_features(b)) for b in found], labels))
     w, step = np.zeros(1 << BITS), np.zeros((2, 2))
     seen_w, seen_step = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8)
     rng = np.random.default_rng(seed)
@@ -336,7 +336,7 @@ class _Writer:
             elif r < 0.38 and tag == "article":
                 self.aside(self.pick("div", "aside"), ("ad", "advert banner", "related links", "share social", "newsletter signup"), 1, 12, 2)
             else:
-                words = self.words(1, 3) if self.chance(0.2) else self.words(4, 120)
+                words = self.words(1, 3) if self.chance(0.2) else self.words(4, 120) if self.chance(0.9) else self.words(130, 500)
                 self.block("p", words if self.chance(0.8) else f'{words} <a href="/x">{self.words(1, 4, False)}</a> {self.words(1, 6)}', True)
         if tag in ("article", "main") and self.chance(0.12):
             self.comments()
@@ -345,6 +345,9 @@ class _Writer:
     def page(self) -> tuple[str, list[int]]:
         self.out.append(f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{}}</style><script>x('</p>')</script></head><body>")
         r = self.chance
+        if r(0.08):  # nothing but an article
+            self.article()
+            return "".join(self.out), self.labels
         if r(0.3):
             end = self.group("header", "site header", "top")
             self.block(self.pick("div", "p", "h2"), self.words(1, 5, False), False)
