@@ -27,7 +27,8 @@ BITS, DIM, SIZES = 16, 16, (1, 2, 3, 4)
 SAMPLE_DOCS, PIECE, PIECES = 4000, 240, 2500
 #: N-grams from the last places of a text, all blanks, are not counted.
 EDGE = max(SIZES) - 1
-EPOCHS, BATCH, RATE = 3, 64, 30.0
+#: Passes over the pieces, but as many as give this number of steps where the pieces are few.
+EPOCHS, STEPS, BATCH, RATE = 3, 400, 64, 30.0
 #: Of the pieces, the part kept for calibration; of its rightly predicted ones, the part that may be rejected.
 HELD, LOST = 5, 0.002
 #: No threshold above this score: a text more likely right than not is kept.
@@ -107,9 +108,10 @@ def train(texts: list[str], labels: list[str], seed: int = 1) -> Model:
         fit = held
     emb = (rng.random((1 << BITS, DIM), dtype=np.float32) - 0.5) / DIM
     layer, bias = np.zeros((DIM, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    steps = EPOCHS * -(-len(fit) // BATCH)
-    done = 0
-    for _ in range(EPOCHS):
+    an_epoch = -(-len(fit) // BATCH)
+    epochs = max(EPOCHS, -(-STEPS // an_epoch))
+    steps, done = epochs * an_epoch, 0
+    for _ in range(epochs):
         mixed = rng.permutation(fit)
         for at in range(0, len(fit), BATCH):
             batch = mixed[at:at + BATCH]

@@ -20,13 +20,13 @@ def test_parts():
 
 
 def test_rules_match_brute_force():
-    rules = queries.URL_RULES + [("block", "a.org", "/en/"), ("allow", "a.org", "/"), ("block", "", "/x")]
+    rules = queries.URL_RULES + [("block", "a.org", "/en/"), ("allow", "a.org", "/")]
     table = U.Rules(rules)
     hosts = ["org", "a.org", "b.a.org", "ba.org", "example.org", "x.example.org", "com", "m.com", "net", "", "org.", ".org"]
     for h in hosts:
         for p in ["", "/", "/en/", "/en/1", "/en/12", "/es/", "/es", "/fr/2", "/de/", "/x"]:
             if h:
-                assert table.match(h, p) == slow_rule(h, p, [r for r in rules if r[1]]), (h, p)
+                assert table.match(h, p) == slow_rule(h, p, rules), (h, p)
 
 
 def test_model_learns_sites_it_has_not_seen():
