@@ -47,7 +47,7 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: Set on the last symbol of a word, so that one character holds symbol and mark.
 LAST = 0xE000
 #: Entries of the newer half of a table of words or pairs; bounds a worker's memory.
-TABLE = 250_000
+TABLE = 100_000
 #: Tokens decoded at once.
 TOKENS = 1 << 18
 
