@@ -648,7 +648,7 @@ def q_validate_output(spark, sf_dir):
 
 # --------------------------------------------------------------- I models
 
-# A boosting round is several Spark jobs (a third of a second on a quiet local
+# A boosting round is several Spark jobs (half a second on a busy local
 # session), so the registered queries give the boosters this many rounds; the
 # library's own defaults are the full settings.  README, "Open items".
 ROUNDS = 20
