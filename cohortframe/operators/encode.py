@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cohortframe.functions.columns import string_columns
 from cohortframe.operators.rank import distributed_row_number
 from cohortframe.params import ALL
+from cohortframe.session import cut_lineage
 from cohortframe.schema import DEFAULT_COLUMNS, Columns
 
 # Ordinal scores of sleep duration and dietary habits.
@@ -42,10 +43,12 @@ DEFAULT_GLOBAL = 0.5
 
 LABEL_STAGE = "label"
 TARGET_STAGE = "target"
-# Dictionaries up to this many entries become literal maps in the plan.
-LITERAL_MAP_LIMIT = 20_000
-# Dictionaries up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+# Dictionaries of few entries become literals in the plan (a lookup walks them); others are joined.
+LITERAL_MAP_LIMIT = 256
+# Tables up to this many bytes are broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
+# Bounds between the buckets of a label dictionary come from this many hashed draws of its values.
+BOUND_SAMPLE, BUCKETS = 8192, 64
 
 
 def _lookup(mapping: dict):
@@ -73,25 +76,48 @@ def _filled(c: str, cols: Columns):
 def fit_label(df: DataFrame, columns: list[str] | None = None,
               cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """F2 fit: dictionary ``(feature, category) -> index`` in ascending
-    category order.  The index is a distributed dense rank (prefix buckets
-    of the category text), so no column's dictionary is sorted in one task."""
+    category order.  The index is a distributed dense rank over buckets
+    between sampled quantiles of the category text, so a long dictionary is
+    not sorted in one task, however its values begin."""
     columns = label_columns(df, cols) if columns is None else columns
     if not columns:
         return df.sparkSession.createDataFrame([], "stage string, feature string, cohort string, stat string, value double, value_str string")
     stacked = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), _filled(c, cols).alias("value_str")) for c in columns])))
     distinct = stacked.groupBy("feature", "value_str").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    distinct = distinct.withColumn("_b", F.substring("value_str", 1, 2))
+    distinct = cut_lineage(distinct)
+    distinct = distinct.withColumn("_b", _text_bucket(distinct))
     ranked = distributed_row_number(distinct, ["feature"], "_b", [F.col("value_str")], out="_rn")
     return ranked.select(F.lit(LABEL_STAGE).alias("stage"), "feature", F.lit(ALL).alias("cohort"),
                          F.lit("index").alias("stat"), (F.col("_rn") - 1).cast("double").alias("value"),
                          "value_str")
 
 
-def _join_small(df: DataFrame, small: DataFrame, n_rows: int, on, how="left") -> DataFrame:
-    if n_rows <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return df.join(small, on=on, how=how)
+def _text_bucket(distinct: DataFrame):
+    """Bucket of ``value_str`` within its feature, rising with the text: the
+    number of sampled quantiles that are not above it."""
+    drawn = distinct.orderBy(F.xxhash64("feature", "value_str")).limit(BOUND_SAMPLE).collect()
+    if len(drawn) < BOUND_SAMPLE:  # the whole dictionary is short
+        return F.lit(0)
+    of = {}
+    for r in drawn:
+        of.setdefault(r["feature"], []).append(r["value_str"])
+    bucket = F.lit(0)
+    for f, values in sorted(of.items()):
+        values.sort()
+        bounds = sorted({values[i * len(values) // BUCKETS] for i in range(1, BUCKETS)})
+        below = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda x: x <= F.col("value_str")))
+        bucket = F.when(F.col("feature") == f, below).otherwise(bucket)
+    return bucket
+
+
+def _join_small(df: DataFrame, small: DataFrame, on, how="left") -> DataFrame:
+    """Left join with a table that is broadcast when its counted bytes allow it."""
+    small = cut_lineage(small)
+    text = [c for c, t in small.dtypes if t == "string"]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(16 * len(small.columns) + 16))
+    size = small.agg(F.sum(width)).first()[0] or 0
+    return df.join(F.broadcast(small) if size <= BROADCAST_BYTES else small, on=on, how=how)
 
 
 def apply_label(df: DataFrame, dictionary: DataFrame, columns: list[str] | None = None,
@@ -134,7 +160,7 @@ def apply_label(df: DataFrame, dictionary: DataFrame, columns: list[str] | None
         unk = d.filter(F.col("value_str") == UNKNOWN).select("value").collect()
         unseen = int(unk[0][0]) if unk else sizes[c]
         d = d.select(F.col("value_str").alias(f"_{c}_k"), F.col("value").cast("int").alias(f"_{c}_v"))
-        out = _join_small(out.withColumn(f"_{c}_k", _filled(c, cols)), d, sizes[c], f"_{c}_k")
+        out = _join_small(out.withColumn(f"_{c}_k", _filled(c, cols)), d, f"_{c}_k")
         out = out.withColumn(c, F.coalesce(F.col(f"_{c}_v"), F.lit(unseen))).drop(f"_{c}_k", f"_{c}_v")
     return out.select(df.columns)
 
@@ -170,7 +196,7 @@ def apply_target(df: DataFrame, encoding: DataFrame, column: str, out: str | Non
     g = glob[0][0] if glob and glob[0][0] is not None else DEFAULT_GLOBAL
     m = enc.filter(F.col("stat") == "mean").select(F.col("value_str").alias("_k"), F.col("value").alias("_v"))
     keyed = df.withColumn("_k", F.col(column).cast("string"))
-    j = _join_small(keyed, m, n, "_k")
+    j = _join_small(keyed, m, "_k")
     res = j.withColumn(out, F.coalesce(F.col("_v"), F.lit(g))).drop("_k", "_v")
     cols_out = df.columns if out in df.columns else df.columns + [out]
     return res.select(cols_out)
@@ -198,7 +224,7 @@ def target_oof(df: DataFrame, column: str, label: str = "label", fold_col: str =
                               (F.col("_on") + smoothing)).alias("_v"))
     # one row per (fold, category): bounded by folds x categories; broadcast
     # under a checked size so a hot category never funnels into one reducer
-    j = _join_small(df.withColumn("_k", F.col(column)), enc, enc.count(), [fold_col, "_k"])
+    j = _join_small(df.withColumn("_k", F.col(column)), enc, [fold_col, "_k"])
     res = j.withColumn(out, F.coalesce(F.col("_v"), F.lit(g))).drop("_k", "_v")
     cols_out = df.columns if out in df.columns else df.columns + [out]
     return res.select(cols_out)

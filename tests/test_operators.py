@@ -258,3 +258,15 @@ def test_only_a_local_master_may_make_its_own_folder():
     from cohortframe.session import is_local
     assert is_local("local[4]") and is_local("local")
     assert not is_local("local-cluster[2,1,1024]") and not is_local("spark://host:7077") and not is_local("yarn")
+
+
+def test_long_dictionaries_are_ranked_in_many_buckets(spark):
+    from cohortframe.operators import encode
+    df = spark.range(20_000).select("id", F.concat(F.lit("Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("city"))
+    dic = encode.fit_label(df, ["city"])
+    got = [r["value_str"] for r in dic.orderBy("value").collect()]
+    assert got == sorted(got) and len(got) == 20_000
+    distinct = df.select(F.lit("city").alias("feature"), F.col("city").alias("value_str"))
+    assert distinct.select(encode._text_bucket(distinct).alias("b")).distinct().count() > 30
+    out = encode.apply_label(df.limit(100), dic, ["city"])
+    assert sorted(r["city"] for r in out.collect()) == sorted(int(r["id"]) for r in out.collect())
