@@ -32,8 +32,13 @@ nav ol p pre section table ul""".split())
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements beyond which such an end does not reach.
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"datalist"}}
-#: A comment, declaration, tag (possessive and with bounded runs: linear on broken markup, too) or a lone sign.
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']{1,4096}+|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'|[\"']){0,200}+)>|<", re.S)
+#: Of those, the elements whose content is no markup: without an end tag they run to the end of the page.
+_RAW_TEXT = frozenset("script style textarea title iframe".split())
+#: A comment, declaration, start of a tag up to its name, or a lone sign.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)|<", re.S)
+#: The end of a tag, or its next attribute up to the value; only a quote right after "=" opens a quoted value.
+_NEXT = re.compile(r"[ \t\n\f\r/]*+(?:(>)|=?[^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+(=)[ \t\n\f\r]*+)?)")
+_UNQUOTED = re.compile(r"[^ \t\n\f\r>]*+")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
@@ -48,6 +53,31 @@ class Block:
         self.text, self.path, self.linked = text, path, linked
 
 
+def _tag_end(page: str, at: int, dead: set) -> int:
+    """The place after the ">" of the tag whose name ends at ``at``, or -1 if it has none.
+
+    Quoted values of any length are jumped over; a quote that is never closed belongs to an unquoted value.
+    ``dead`` keeps where attributes began in tags without an end, so that all calls together are linear.
+    """
+    began = []
+    while at not in dead:
+        began.append(at)
+        m = _NEXT.match(page, at)
+        if m.group(1):
+            return m.end()
+        if m.end() == at:
+            break
+        at = m.end()
+        if m.group(2):
+            quote = page[at:at + 1]
+            close = page.find(quote, at + 1) if quote in ("'", '"') and ("open", quote) not in dead else -1
+            if close < 0 and quote in ("'", '"'):
+                dead.add(("open", quote))
+            at = close + 1 if close >= 0 else _UNQUOTED.match(page, at).end()
+    dead.update(began)
+    return -1
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, without those that hold only white space.
 
@@ -70,6 +100,8 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     at, size = 0, len(page)
+    dead: set = set()
+    endless: set[str] = set()
     while at < size:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -85,6 +117,11 @@ def blocks(page: str) -> list[Block]:
             if m.group() == "<":
                 parts.append("&lt;")
             continue
+        end = _tag_end(page, at, dead)
+        if end < 0:
+            parts.append(m.group().replace("<", "&lt;"))
+            continue
+        attrs, at = page[at:end - 1], end
         tag = tag.lower()
         if m.group(1):
             if tag == "a":
@@ -97,9 +134,14 @@ def blocks(page: str) -> list[Block]:
                     pass
             continue
         if tag in RAW:
-            if not m.group(3).endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else size
+            if not attrs.endswith("/") and tag not in endless:
+                close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+                if close:
+                    at = close.end()
+                elif tag in _RAW_TEXT:
+                    at = size
+                else:
+                    endless.add(tag)
             continue
         if tag == "br":
             parts.append(" ")
@@ -118,7 +160,7 @@ def blocks(page: str) -> list[Block]:
             if stack[k][0] in _SCOPES.get(tag, _BLOCKS):
                 break
         links = 0
-        names = " ".join(x for _, v in _ATTR.findall(m.group(3)) for x in _WORD.findall(v.lower())) if m.group(3) else ""
+        names = " ".join(x for _, v in _ATTR.findall(attrs) for x in _WORD.findall(v.lower())) if attrs else ""
         stack.append((tag, names))
     flush()
     return out

@@ -54,6 +54,30 @@ def test_broken_markup_is_read_in_linear_time(chain):
     assert time.time() - start < 60
 
 
+def test_long_tags_are_no_text():
+    texts = lambda page: [b.text for b in H.blocks(page)]
+    assert texts('<div data-x="' + "j" * 5_000 + ' > REST">a</div><p>b') == ["a", "b"]
+    assert texts('<p>a<img src="data:image/png;base64,' + "A" * 900_000 + '">b</p>') == ["ab"]
+    page = "<div " + " ".join(f'data-{i}="{i} > x"' for i in range(300)) + ' class="story">a</div>'
+    assert [(b.text, b.path) for b in H.blocks(page)] == [("a", (("div", "story"),))]
+    assert texts("<p title=it's>a</p><p>don't <b c = '>'>d") == ["a", "don't d"]
+
+
+def test_only_raw_text_runs_to_the_end():
+    for tag in ("svg", "select", "noscript", "template", "canvas", "object", "math"):
+        assert [b.text for b in H.blocks(f"<p>a</p><{tag}><p>b</p>")] == ["a", "b"]
+    for tag in ("script", "style", "textarea", "title", "iframe"):
+        assert [b.text for b in H.blocks(f"<p>a</p><{tag}><p>b</p>")] == ["a"]
+
+
+def test_tags_without_end_are_read_in_linear_time():
+    import time
+    start = time.time()
+    for page in ("<a x='>' " * 50_000, "<a x='y' " * 50_000 + "<b c='>'", "<a" * 100_000 + "/ x='>'", "<svg>" * 50_000, "<a b=\"c d='e " * 30_000 + "=\"'>"):
+        H.blocks(page)
+    assert time.time() - start < 20
+
+
 def test_query_rows(spark, chain):
     page = "<nav><ul><li><a href=/>Menu</a></ul></nav><article><h1>Title</h1><p>Text  of\nit.</p></article><footer>&copy; me</footer>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "v", ""), (None, "w", "<p>"), (4, "x", "<article><p>" + "word " * 200_000 + "</p></article>")]
