@@ -648,10 +648,8 @@ def q_validate_output(spark, sf_dir):
 
 # --------------------------------------------------------------- I models
 
-# A boosting round is several Spark jobs (half a second on a busy local
-# session), so the registered queries give the boosters this many rounds; the
-# library's own defaults are the full settings.  README, "Open items".
-ROUNDS = 20
+# The registered queries train with the library's defaults, which are the full
+# settings; a boosting round is several Spark jobs.  README, "Open items".
 _SHARED: dict = {}
 
 
@@ -671,8 +669,7 @@ def _prepared(spark, sf_dir):
 def _model(spark, sf_dir, kind):
     from cohortframe.operators.models import fit_model
     prep = _prepared(spark, sf_dir)
-    override = {"maxIter": ROUNDS} if kind.startswith("gbt") else {}
-    return _shared(spark, sf_dir, kind, lambda: fit_model(prep.train, prep.features, kind, C.label, **override))
+    return _shared(spark, sf_dir, kind, lambda: fit_model(prep.train, prep.features, kind, C.label))
 
 
 def _models(spark, sf_dir, kinds=("logistic", "forest", "gbt_a", "gbt_b", "gbt_c")):
@@ -732,7 +729,7 @@ def q_train_early_stop(spark, sf_dir):
     """Patience rule on per-round validation loss, refit at the best round."""
     from cohortframe.operators.models import history_frame, train_early_stop
     prep = _prepared(spark, sf_dir)
-    model, hist, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", patience=5, maxIter=ROUNDS)
+    model, hist, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", C.label)
     h = history_frame(spark, hist, "gbt_a")
     return h.withColumn("best_iteration", F.lit(best)).withColumn(
         "refit_rounds", F.lit(model.stages[-1].getNumTrees))
@@ -757,7 +754,7 @@ def q_cv_scores(spark, sf_dir):
     from cohortframe.operators.rank import assign_folds
     prep = _prepared(spark, sf_dir)
     folded = assign_folds(prep.train, C.id, 5, 55, C.label)
-    cvm, _ = cross_validate(folded, prep.features, "gbt_c", "fold", C.label, "f1", maxIter=ROUNDS // 2)
+    cvm, _ = cross_validate(folded, prep.features, "gbt_c", "fold", C.label, "f1")
     mean, std = float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])
     return spark.createDataFrame([("gbt_c", mean, std, mean - 2 * std, mean + 2 * std)],
                                  "model string, mean_f1 double, std_f1 double, lo double, hi double")
@@ -769,8 +766,8 @@ def q_search_params(spark, sf_dir):
     from cohortframe.operators.models import search_params
     from cohortframe.operators.rank import assign_folds
     prep = _prepared(spark, sf_dir)
-    folded = assign_folds(prep.train, C.id, 3, 55, C.label)
-    return search_params(folded, prep.features, "gbt_c", n_trials=3, n_folds=3, maxIter=ROUNDS // 2, maxDepth=3)
+    folded = assign_folds(prep.train, C.id, 5, 55, C.label)
+    return search_params(folded, prep.features, "gbt_c", label=C.label)
 
 
 def _rates(spark, sf_dir):
@@ -778,7 +775,7 @@ def _rates(spark, sf_dir):
     from cohortframe.session import cut_lineage
     prep = _prepared(spark, sf_dir)
     return _shared(spark, sf_dir, "rates", lambda: cut_lineage(rate_results(
-        prep.train, prep.val, prep.features, id_col=C.id, label=C.label, patience=5, max_rounds=ROUNDS // 2)))
+        prep.train, prep.val, prep.features, id_col=C.id, label=C.label)))
 
 
 @query("search_learning_rate")
@@ -979,7 +976,7 @@ def q_attr_linear(spark, sf_dir):
     return linear_attributions(_model(spark, sf_dir, "logistic"), prep.val, prep.features, mean_background(prep.train, prep.features))
 
 
-ATTR_ROWS, ATTR_PERMS = 200, 4
+ATTR_ROWS = 2000
 
 
 @query("attr_shapley")
@@ -990,7 +987,7 @@ def q_attr_shapley(spark, sf_dir):
     from cohortframe.operators.rank import sample_exact
     prep = _prepared(spark, sf_dir)
     return shapley_sampled(_model(spark, sf_dir, "gbt_a"), sample_exact(prep.val, ATTR_ROWS), prep.features,
-                           mean_background(prep.train, prep.features), n_perm=ATTR_PERMS)
+                           mean_background(prep.train, prep.features))
 
 
 @query("attr_background")
@@ -1004,21 +1001,20 @@ def q_attr_background(spark, sf_dir):
 @query("cohort_study")
 def q_cohort_study(spark, sf_dir):
     """K8: per cohort -- own split and fitted preparation (cohort column
-    dropped), three boosters, sampled attributions, importance averaged over
-    the boosters."""
+    dropped), three boosters, sampled attributions of all validation rows,
+    importance averaged over the boosters."""
     from cohortframe.operators.attribute import importance, mean_background, shapley_sampled
     from cohortframe.operators.models import fit_model
-    from cohortframe.operators.rank import sample_exact
     from cohortframe.plans.pipeline import prepare
     df = fx.cohort(spark, sf_dir)
     out = None
     for who in (C.student, C.professional):
         prep = prepare(df.filter(F.col(C.cohort) == who), smote=False)
         feats = [f for f in prep.features if f != C.cohort]  # the cohort column is removed
-        rows, mean = sample_exact(prep.val, ATTR_ROWS // 2), mean_background(prep.train, feats)
+        mean = mean_background(prep.train, feats)
         for kind in ("gbt_a", "gbt_b", "gbt_c"):
-            m = fit_model(prep.train, feats, kind, maxIter=ROUNDS // 4)
-            phi = shapley_sampled(m, rows, feats, mean, n_perm=2)
+            m = fit_model(prep.train, feats, kind)
+            phi = shapley_sampled(m, prep.val, feats, mean)
             imp = importance(phi).withColumn("model", F.lit(kind)).withColumn(C.cohort, F.lit(who))
             out = imp if out is None else out.unionByName(imp)
     return out.groupBy(C.cohort, "feature").agg(F.avg("importance").alias("importance"))

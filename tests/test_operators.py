@@ -230,6 +230,54 @@ def test_early_stopping_budget_and_search_space():
             assert set(d) == set(space) and all(lo <= float(d[k]) <= hi for k, (_, lo, hi) in space.items())
 
 
+def test_registered_queries_use_the_full_settings(monkeypatch):
+    import inspect
+    import types
+    from cohortframe.operators import attribute, models, rank
+    from cohortframe.plans import pipeline, queries
+
+    class Asked(Exception):
+        pass
+
+    def asked(run, module, name):
+        def stop(*a, **k):
+            raise Asked(bound.bind(*a, **k).arguments)
+        with monkeypatch.context() as m:
+            bound = inspect.signature(getattr(module, name))
+            m.setattr(module, name, stop)
+            with pytest.raises(Asked) as got:
+                run(None, "x")
+        return got.value.args[0]
+
+    prep = types.SimpleNamespace(train=None, val="all rows", features=["a"])
+    monkeypatch.setattr(queries, "_prepared", lambda *a: prep)
+    monkeypatch.setattr(queries, "_shared", lambda spark, sf_dir, what, make: make())
+    monkeypatch.setattr(queries.fx, "cohort", lambda *a: types.SimpleNamespace(filter=lambda c: None))
+    monkeypatch.setattr(queries, "F", types.SimpleNamespace(col=lambda c: c))
+    monkeypatch.setattr(pipeline, "prepare", lambda *a, **k: prep)
+    cuts = {"maxIter", "maxDepth", "patience", "max_rounds", "rates", "n_trials", "override", "n_perm"}
+    q = queries.QUERIES
+    for k in ("gbt_a", "gbt_b", "gbt_c"):
+        assert not cuts & set(asked(q[f"model_{k}"], models, "fit_model"))
+    assert not cuts & set(asked(q["train_early_stop"], models, "train_early_stop"))
+    assert not cuts & set(asked(q["search_learning_rate"], models, "rate_results"))
+    for name in ("cv_scores", "search_params"):
+        assert asked(q[name], rank, "assign_folds")["k"] == 5
+    monkeypatch.setattr(rank, "assign_folds", lambda *a: None)
+    monkeypatch.setattr(attribute, "mean_background", lambda *a: {})
+    assert not cuts & set(asked(q["cv_scores"], models, "cross_validate"))
+    searched = asked(q["search_params"], models, "search_params")
+    assert not cuts & set(searched) and searched.get("n_folds", 5) == 5
+    monkeypatch.setattr(queries, "_model", lambda *a: None)
+    assert asked(q["attr_shapley"], rank, "sample_exact")["n"] == 2000
+    monkeypatch.setattr(rank, "sample_exact", lambda *a: None)
+    assert not cuts & set(asked(q["attr_shapley"], attribute, "shapley_sampled"))
+    assert not cuts & set(asked(q["cohort_study"], models, "fit_model"))
+    monkeypatch.setattr(models, "fit_model", lambda *a: None)
+    explained = asked(q["cohort_study"], attribute, "shapley_sampled")
+    assert not cuts & set(explained) and explained["df"] == "all rows"
+
+
 def test_a_failing_trial_keeps_the_others(spark, monkeypatch):
     from cohortframe.operators import models
     calls = []
