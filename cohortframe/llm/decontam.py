@@ -5,8 +5,8 @@ are stored as a table in the shared folder (a token that no item uses can take p
 Search: each test window orders its terms by how often the training data have them.
 The postings of the rarest one, moved by its offset in the window, give the possible starts; the
 list of the second rarest, moved likewise, is intersected with them.  What is left is held
-against the documents' own words: equal words are an exact match, and with a ``slop`` all words of
-the window within that many words more are a proximity match.  Test windows and terms
+against the documents' own words: equal words are an exact match, and with a ``slop`` (which ``decontaminate``
+does not use) all words of the window within that many words more are a proximity match.  Test windows and terms
 are small integer tables; the planner broadcasts them by their size, or joins them by shuffle.
 """
 
@@ -45,6 +45,7 @@ class Index:
     """Postings of the test terms in the training documents, and the windows to look for."""
 
     def __init__(self, docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int):
+        self.window = window
         each = stage_table(_test_windows(items, item_col, item_text_col, window).distinct(), "decon-items")
         self.windows = stage_table(each.select("words").distinct().select(F.monotonically_increasing_id().alias("win"), "words"), "decon-windows")
         self.items = stage_table(each.join(self.windows, "words").select("win", "item_id"), "decon-window-items")
@@ -70,35 +71,43 @@ class Index:
         return slots.withColumn("rank", rank).filter("rank <= 2").select("win", "len", "term_id", "offset", "rank")
 
     def starts(self, slop: int) -> DataFrame:
-        """``(doc_id, text_key, start, win)``: where the moved lists of a window's two rarest terms meet (within ``slop``)."""
+        """``(doc_id, text_key, start, win)``: where the moved lists of a window's two rarest terms meet.
+
+        With ``slop``, each start whose span has the rarest term, if the second rarest is near enough to share a span.
+        """
         anchors = stage_table(self.anchors(), "decon-anchors")
         key = ["win", "doc_id", "text_key"]
 
         def moved(rank: int) -> DataFrame:
             at = self.postings.join(anchors.filter(F.col("rank") == rank), "term_id")
-            return at.select("doc_id", "text_key", (F.col("pos") - F.col("offset")).alias("start"), "win", "len")
+            return at.select("doc_id", "text_key", (F.col("pos") - (F.lit(0) if slop else F.col("offset"))).alias("start"), "win", "len")
 
         first = moved(1) if slop else moved(1).filter("start >= 0")
-        alone = first.filter("len = 1").select("doc_id", "text_key", "start", "win")
-        first = first.filter("len > 1").drop("len")
+        alone = first.filter("len = 1").select("doc_id", "text_key", "start", "win", "len")
+        first = first.filter("len > 1")
         second = moved(2).select(*key, F.col("start").alias("other"))
         if slop:
-            bin_ = F.floor(F.col("start") / (slop + 1))
+            wide = self.window + 2 * slop
+            bin_ = F.floor(F.col("start") / wide)
             first = first.withColumn("bin", F.explode(F.array(bin_ - 1, bin_, bin_ + 1)))
-            second = second.withColumn("bin", F.floor(F.col("other") / (slop + 1)))
-            near = (F.col("a.bin") == F.col("b.bin")) & (F.abs(F.col("a.start") - F.col("b.other")) <= slop)
+            second = second.withColumn("bin", F.floor(F.col("other") / wide))
+            near = (F.col("a.bin") == F.col("b.bin")) & (F.abs(F.col("a.start") - F.col("b.other")) < F.col("a.len") + 2 * slop)
         else:
             near = F.col("a.start") == F.col("b.other")
         on = (F.col("a.win") == F.col("b.win")) & (F.col("a.text_key") == F.col("b.text_key")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & near
-        met = first.alias("a").join(second.alias("b"), on, "left_semi").select("doc_id", "text_key", "start", "win")
-        return met.union(alone).distinct()
+        met = first.alias("a").join(second.alias("b"), on, "left_semi").select("doc_id", "text_key", "start", "win", "len").union(alone)
+        if slop:
+            spans = F.explode(F.sequence(F.col("start") - F.col("len") - slop + 1, F.col("start") + slop))
+            met = met.select("doc_id", "text_key", spans.alias("start"), "win")
+        return met.select("doc_id", "text_key", "start", "win").distinct()
 
 
 def matches(index: Index, slop: int = 0) -> DataFrame:
     """``(doc_id, text_key, win, start, len, kind)``: exact phrases, and with ``slop`` also proximity matches.
 
-    An exact match has the window's words in place.  A proximity match has each of them among the words
-    from ``start - slop`` to ``slop`` words past the window's length, in any order, and is not exact.
+    An exact match has the window's words in place.  A proximity match has each of them, as often as the
+    window has it, among the words from ``start - slop`` to ``slop`` words past the window's length, in any
+    order, and is not exact; every such start has a row.
     """
     found = stage_table(index.starts(slop), "decon-starts")
     suspects = stage_table(found.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).distinct(), "decon-suspects")
@@ -110,7 +119,9 @@ def matches(index: Index, slop: int = 0) -> DataFrame:
     if slop:
         low = F.greatest(F.col("start") - slop, F.lit(0))
         around = F.slice("w", low + 1, F.greatest(F.col("start") + n + slop - low, F.lit(0)))
-        kind = F.when(exact, "exact").when(F.size(F.array_except("words", around)) == 0, "proximity")
+        both = both.withColumn("around", around)
+        times = lambda words, x: F.size(F.filter(words, lambda y: y == x))
+        kind = F.when(exact, "exact").when(F.forall("words", lambda x: times("around", x) >= times("words", x)), "proximity")
     else:
         kind = F.when(exact, "exact")
     return both.select("doc_id", "text_key", "win", "start", n.alias("len"), kind.alias("kind")).filter("kind is not null")

@@ -73,3 +73,28 @@ def test_proximity(make, spark):
     assert [(r["doc_id"], r["kind"]) for r in D.matches(index).collect()] == [(1, "exact")]
     got = {(r["doc_id"], r["kind"]) for r in D.matches(index, slop=3).collect()}
     assert (1, "exact") in got and (2, "proximity") in got and not any(d in (3, 4) for d, _ in got)
+
+
+def test_proximity_of_ten_words_matches_brute_force(make, spark):
+    rng = random.Random(9)
+    items = ["a b c d e f g h i j", "a a b c d e f g h j", "k a"]
+    docs = ["a j b c d e f g h i", "x x j a b c d e f g h i x", "a b c d e f g h j", "j i h g f e d c b a", "x a b c d e f g h i j x", "x " * 12 + "a j", "k x x x a", "k x x x x x x x x a"]
+    for _ in range(30):
+        w = list(rng.choice(items[:2]).replace(" ", ""))
+        rng.shuffle(w)
+        docs.append(" ".join(w[:5] + ["x"] * rng.randint(0, 8) + w[5:]))
+    want, slop = set(), 3
+    for d, t in enumerate(docs):
+        w = t.split()
+        for i, item in enumerate(x.split() for x in items):
+            for s in range(-len(item) - slop, len(w) + slop + 1):
+                span = w[max(s - slop, 0):max(s + len(item) + slop, 0)]
+                if s >= 0 and w[s:s + len(item)] == item:
+                    want.add((d, i, s, "exact"))
+                elif all(span.count(x) >= item.count(x) for x in item):
+                    want.add((d, i, s, "proximity"))
+    for extra in ("", " a" * 50 + " x" * 50, " j" * 50 + " x" * 50):  # each makes other terms the rarest
+        index = D.Index(make(list(enumerate(docs)) + [(900, extra)]), spark.createDataFrame(list(enumerate(items)), ITEMS), "doc_id", "text", "item_id", "text", 10)
+        got = D.matches(index, slop).join(index.items, "win").filter("doc_id < 900").collect()
+        assert {(r["doc_id"], int(r["item_id"]), r["start"], r["kind"]) for r in got} == want
+        assert len(got) == len(want)
