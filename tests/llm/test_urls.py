@@ -42,6 +42,14 @@ def test_model_learns_sites_it_has_not_seen():
     assert sum((held.scores([U.parts(u)])[0] > 0.5) == bool(y) for u, y in rows[1::2]) > 0.95 * len(rows[1::2])
 
 
+def test_sites_of_the_given_tables_are_held_out(spark):
+    urls = [r["url"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()]
+    hosts = {U.parts(u)[0] for u in urls}
+    assert not [s for s in U._BLOCKED + U._ALLOWED if any(s in h.split(".") for h in hosts)]
+    model = U.train(U.labelled_urls())
+    assert all(model.scores([U.parts(f"https://www.{s}.example.com/en/1")])[0] > 0.5 for s in "casino-win free-bets cheap-pills ads-track spam-farm adult-x".split())
+
+
 def test_query_rows(spark):
     rows = [(1, "https://www.cheap-pills.example.net/en/1"), (2, "http://a.org/x"), (3, None), (4, ""), (5, "no url"), (6, "http://m.casino-win.example.com/fr/1"),
             (7, "http://thand.example.com/de/1"), (7, "http://thand.example.com/de/1"), (None, "http://free-bets.example.net/x"), (8, "http://a.net/" + "p" * 100_000)]
