@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortframe.llm import bpe, chat, decontam, html, langid, lines, simhash, topk, urls, warc
+from cohortframe.llm import bpe, chat, decontam, html, importance, jaccard, langid, lines, phrases, simhash, topk, urls, warc
 from cohortframe.session import scratch_path
 from cohortframe.sources.tables import read_table
 
@@ -97,6 +97,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "turn", "kind", "call_id", "status", "at", "depth", F.coalesce(F.size("errors"), F.lit(0)).cast("long").alias("n_errors"), "json")
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 4-word shingles, and its component of sets with a similarity of 0.85."""
+    return jaccard.join(read_table(spark, sf_dir, "documents"), grams=4, percent=85)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of each language."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark's texts, and the ranks of the tenth that is drawn."""
+    out = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op2_topk_bm25": op2_topk_bm25,
@@ -108,6 +124,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_importance_resample": op13_importance_resample,
 }
 
 ORACLE: dict[str, str] = {
@@ -116,4 +135,7 @@ ORACLE: dict[str, str] = {
     "op4_warc_index": warc.ORACLE_SQL,
     "op9_decontaminate": decontam.ORACLE_SQL,
     "op10_chat_format": chat.ORACLE_SQL,
+    "op11_ngram_jaccard": jaccard.ORACLE_SQL,
+    "op12_phrase_collocations": phrases.ORACLE_SQL,
+    "op13_importance_resample": importance.ORACLE_SQL,
 }
