@@ -7,14 +7,14 @@ The postings of the rarest one, moved by its offset in the window, give the poss
 list of the second rarest, moved likewise, is intersected with them.  What is left is held
 against the documents' own words: equal words are an exact match, and with a ``slop`` (which ``decontaminate``
 does not use) all words of the window within that many words more are a proximity match.  Test windows and terms
-are small integer tables; the planner broadcasts them by their size, or joins them by shuffle.
+are small tables, broadcast where they are counted to be few and joined by shuffle beyond.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from cohortframe.llm.util import join_keys, stage_table
+from cohortframe.llm.util import BROADCAST_KEYS, join_keys, stage_table
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,11 +53,16 @@ class Index:
         terms = self.slots.select("term").distinct().select(F.monotonically_increasing_id().alias("term_id"), "term")
         end = docs.sparkSession.createDataFrame([(-1, END)], "term_id long, term string")
         self.terms = stage_table(terms.union(end).withColumn("lower", F.lower("term")), "decon-terms")
+        self.few = self.terms.count() <= BROADCAST_KEYS
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
         tokens = self.docs.select("doc_id", "text_key", F.posexplode(F.concat(_words(F.col("text")), F.array(F.lit(END)))).alias("pos", "token"))
         ascii_only = F.octet_length("token") == F.char_length("token")
         same = (F.lower("token") == F.col("lower")) & (ascii_only | (_folded(F.col("token")) == F.col("term")))
-        self.postings = stage_table(tokens.join(self.terms, same).select("term_id", "doc_id", "text_key", "pos"), "decon-postings")
+        self.postings = stage_table(tokens.join(self._small(self.terms), same).select("term_id", "doc_id", "text_key", "pos"), "decon-postings")
+
+    def _small(self, terms: DataFrame) -> DataFrame:
+        """A table with a row a test term, broadcast where these were counted to be few, so that a common term's rows stay where they are."""
+        return F.broadcast(terms) if self.few else terms
 
     def lengths(self) -> DataFrame:
         """``(doc_id, text_key, n_words)`` for each row of the documents."""
@@ -66,7 +71,8 @@ class Index:
     def anchors(self) -> DataFrame:
         """``(win, len, term_id, offset, rank)``: the two rarest terms of each window, the rarest at rank 1."""
         freq = self.postings.groupBy("term_id").agg(F.count("*").alias("n"))
-        slots = self.slots.join(self.terms, "term").join(freq, "term_id", "left").na.fill(0, ["n"])
+        known = stage_table(self.terms.join(freq, "term_id", "left").na.fill(0, ["n"]).select("term", "term_id", "n"), "decon-freq")
+        slots = self.slots.join(self._small(known), "term")
         rank = F.row_number().over(Window.partitionBy("win").orderBy("n", "offset"))
         return slots.withColumn("rank", rank).filter("rank <= 2").select("win", "len", "term_id", "offset", "rank")
 

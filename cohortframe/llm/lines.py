@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe.llm.util import fresh, stage_table
 
-RATIO = 0.1
-MIN_PAGES = 3
+#: Ordinary repeats stand on a few pages in a thousand, boilerplate on some in a hundred; the ratio lies between them.
+RATIO = 0.05
+#: A line on one page alone repeats nothing, however few pages its host has.
+MIN_PAGES = 2
 
 
 def _trimmed(line: Column) -> Column:

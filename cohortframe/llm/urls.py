@@ -6,6 +6,7 @@ looked up by the suffixes of a host and the prefixes of a path, so their number
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,27 +23,54 @@ MAX_RULES = 100_000
 BYTES = 1 << 20
 UPPER = {c: c + 32 for c in range(65, 91)}
 
-#: Words of site names, by what the sites offer; no site of the given tables is among them.
-_BLOCKED = """buy-viagra online-pharmacy pillstore casino-royal-bonus lucky-casino bet-now sports-betting betting-tips
-poker-room slots-jackpot adult-video xxx-tube porn-clips sex-cams hot-escorts payday-loans fast-cash-loan credit-repair replica-watches
-fake-rolex weight-loss-miracle diet-pills crypto-doubler win-prize free-iphone cracked-software warez-downloads keygen-serial essay-mill seo-links spam-links link-farm
-ad-tracker popup-ads ads-server click-track""".split()
-_ALLOWED = """daily-news city-library river-museum farm-shop open-science physics-notes school-district gardening-tips cooking-journal history-forum weather-report
-travel-diary book-reviews music-archive film-critics local-council health-ministry maths-lessons chess-club hiking-trails language-course
-bird-watching astronomy-blog free-software linux-help photo-gallery train-timetable university-press art-history community-radio football-results
-thandor erening onstat lysher inthere kindern lichen tionelle mentare ciones ueados""".split()
-_HOSTS = ("www.{}.example.com", "{}.example.net", "blog.{}.example.org", "m.{}.example.com")
-_PATHS = ("/en/12", "/de/340.html", "/fr/8", "/es/77")
-
-
-def labelled_urls() -> list[tuple[str, int]]:
-    """The training table: ``(url, 1 to block or 0 to allow)``, each site with two hosts and paths in turn."""
-    rows = []
-    for label, sites in ((1, _BLOCKED), (0, _ALLOWED)):
-        for k, site in enumerate(sites):
-            for j in (k, k + 1):
-                rows.append((f"https://{_HOSTS[j % 4].format(site)}{_PATHS[(j + k // 4) % 4]}", label))
-    return rows
+# Words that site names are made of, by what the sites offer (general vocabulary, no lists of sites).
+_BLOCKED = {
+    "gambling": "casino poker roulette blackjack jackpot slots bingo lottery bets betting bookmaker wager gambling",
+    "adult": "adult porn xxx sex nude erotic escorts cams fetish hentai milf webcam hookup",
+    "medicine": "pills viagra cialis tablets pharmacy steroids slimming diet detox weightloss meds",
+    "money": "payday loans credit forex crypto doubler profit binary earn cash rich money",
+    "lures": "free win winner prize bonus giveaway cheap discount deals coupon lucky hot vip",
+    "piracy": "warez crack keygen torrent serial nulled cracked leaked stream",
+    "spam": "spam seo links backlinks farm traffic clicks popup ads adserver track tracker doorway replica fake",
+}
+_ALLOWED = {
+    "press": "news daily times herald journal gazette review report press post weekly magazine",
+    "learning": "school university college library science physics history maths lessons academy institute course language",
+    "places": "city town village river lake mountain harbour bridge county region island forest",
+    "public": "council ministry health museum archive community radio station office public society",
+    "life": "garden kitchen cooking travel family home music film theatre book photo art craft",
+    "sport": "football chess hiking cycling running sailing club team league tennis",
+    "work": "software code linux data engineering design studio works tools open project group",
+}
+#: Made-up names, which say nothing: combined from syllables, so that an unknown name alone is no reason to block.
+_SYLLABLES = "an ba co der el fa gen hi in jo kal lor men no or pa qui ren sta tor un ver wen yl zo".split()
+_HOSTS = ("www.{}.com", "{}.net", "blog.{}.org", "m.{}.com", "{}.info", "shop.{}.co.uk")
+_PATHS = ("/", "/index.html", "/2024/05/an-article", "/page/12", "/products?id=7", "/about")
+#: Names made of each group of words, and made-up ones.
+NAMES, MADE_UP = 40, 200
+
+
+def _names(groups: dict[str, str], seed: int) -> list[str]:
+    """Site names of two words: mostly of one group, else of any two, joined or hyphenated."""
+    rng = random.Random(seed)
+    every = [w.split() for w in groups.values()]
+    out = []
+    for words in every:
+        for k in range(NAMES):
+            a = words[k % len(words)]  # each word comes up
+            b = rng.choice([w for w in (words if rng.random() < 0.6 else rng.choice(every)) if w != a])
+            pair = [a, b] if rng.random() < 0.5 else [b, a]
+            out.append(rng.choice(["-", "-", ""]).join(pair))
+    return out
+
+
+def labelled_urls(seed: int = 1) -> list[tuple[str, int]]:
+    """The training table: some 760 rows ``(url, 1 to block or 0 to allow)``, made by rule from the words above."""
+    rng = random.Random(seed)
+    names = [(n, 1) for n in _names(_BLOCKED, seed)] + [(n, 0) for n in _names(_ALLOWED, seed + 1)]
+    names += [("".join(rng.choice(_SYLLABLES) for _ in range(rng.randint(2, 4))), 0) for _ in range(MADE_UP)]
+    rows = [(f"https://{_HOSTS[rng.randrange(len(_HOSTS))].format(n)}{rng.choice(_PATHS)}", y) for n, y in names]
+    return [*rows, ("", 0), ("/relative/path", 0)]
 
 
 def parts(url: str | None) -> tuple[str, str]:
@@ -139,8 +167,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], model: Regression
           threshold: float = THRESHOLD) -> DataFrame:
     """``(page_id, host, path, rule, verdict, score)`` for each row; ``score`` is the regression's, whatever the rules say.
 
-    A null URL or one without ``://`` has an empty host and path; no rule fits it and there is nothing to
-    judge, so it is allowed.  Repeated rows give a row each; an empty table gives none; other
+    A null URL or one without ``://`` has an empty host and path; no rule fits it, and the regression judges it like
+    any other (the training table has such rows, allowed).  Repeated rows give a row each; an empty table gives none; other
     columns are not looked at.
     """
     table, regression = Rules(rules), model or train(labelled_urls())
@@ -150,7 +178,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], model: Regression
             urls = [parts(u) for u in b.column(1).to_pylist()]
             score = regression.scores(urls)
             found = [table.match(*u) for u in urls]
-            verdict = [v or ("block" if s > threshold and any(u) else "allow") for (_, v), s, u in zip(found, score, urls)]
+            verdict = [v or ("block" if s > threshold else "allow") for (_, v), s in zip(found, score)]
             cols = [pa.array(x, pa.string()) for x in ([h for h, _ in urls], [p for _, p in urls], [r for r, _ in found], verdict)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols, pa.array(score, pa.float64())], ["page_id", "host", "path", "rule", "verdict", "score"])
 

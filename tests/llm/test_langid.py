@@ -78,3 +78,29 @@ def test_uses_no_label_of_the_held_out_fold(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
     wrong = docs.withColumn("lang", F.when(queries.held_out(), F.lit("zz")).otherwise(F.col("lang")))
     assert "zz" not in queries.language_model(wrong).languages
+
+
+def slow_prediction(model, text):
+    """Every n-gram looked up by itself, in plain numbers."""
+    data = b" " + "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower()).encode() + b"    "
+    total, count = [0.0] * len(model.languages), 0
+    for n in (1, 2, 3, 4):
+        for at in range(len(data) - 3):
+            h = n * 0x85EBCA6B & 0xFFFFFFFF
+            for c in data[at:at + n]:
+                h = (h ^ c) * 0x9E3779B1 & 0xFFFFFFFF
+                h ^= h >> 15
+            count += 1
+            for k, v in enumerate(model.table[h >> 16]):
+                total[k] += float(v)
+    z = [(t / count + b) / model.temperature for t, b in zip(total, model.bias.tolist())]
+    e = [np.exp(x - max(z)) for x in z]
+    return model.languages[int(np.argmax(z))], max(e) / sum(e)
+
+
+def test_predictions_match_brute_force(model):
+    texts = ["the and of that", "Der Hund, und die Katze!", "x", "él niño está aquí 12", "la de les où ça", "ÀÉ\n\tÖ", "a" * 300]
+    lang, score, low = model.predict(texts)
+    for i, t in enumerate(texts):
+        want, p = slow_prediction(model, t)
+        assert lang[i] == want and score[i] == pytest.approx(p, abs=1e-4) and low[i] == (score[i] < model.reject)

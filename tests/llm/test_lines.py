@@ -41,3 +41,17 @@ def test_empty_table_and_long_text(spark, make):
     assert L.line_dedup(spark.createDataFrame([], DOCS)).collect() == []
     long = "\n".join(f"line {i}" for i in range(50_000))
     assert L.line_dedup(make([(1, long)])).first()["text"] == long
+
+
+def test_boilerplate_goes_from_every_host_that_has_it(make):
+    import random
+    rng = random.Random(5)
+    rows = [(1000 * h + i, f"own text {h} {i}" + ("\nAll rights reserved." if rng.random() < 0.1 else "") + ("\nsee also" if rng.random() < 0.01 else ""), f"h{h}") for h in range(12) for i in range(400)]
+    got = {r["doc_id"]: r["text"] for r in L.line_dedup(make(rows)).collect()}
+    assert all("rights" not in t and "own text" in t for t in got.values())
+    assert sum("see also" in t for t in got.values()) == sum("see also" in t for _, t, _ in rows)
+
+
+def test_small_hosts_keep_what_does_not_repeat(make):
+    rows = [(1, "a\nfooter", "two"), (2, "b\nfooter", "two"), (3, "c\nd", "one")]
+    assert {r["doc_id"]: r["text"] for r in L.line_dedup(make(rows)).collect()} == {1: "a", 2: "b", 3: "c\nd"}

@@ -1,3 +1,6 @@
+import math
+
+import numpy as np
 from helpers import clashing
 
 from cohortframe.llm import queries, urls as U
@@ -29,30 +32,57 @@ def test_rules_match_brute_force():
                 assert table.match(h, p) == slow_rule(h, p, rules), (h, p)
 
 
-def test_model_learns_sites_it_has_not_seen():
-    model = U.train(U.labelled_urls())
-    score = lambda u: model.scores([U.parts(u)])[0]
-    for bad in ("http://shop.cheap-casino.example.net/fr/3", "https://free-pills.example.org/en/9", "http://m.adult-cams.example.com/de/1"):
-        assert score(bad) > 0.5
-    for good in ("http://blog.thereon.example.net/en/3", "https://village-museum.example.org/es/9", "http://m.anthor.example.com/fr/120?page=2"):
-        assert score(good) < 0.5
+def right(model, rows):
+    return sum((model.scores([U.parts(u)])[0] > 0.5) == bool(y) for u, y in rows) / len(rows)
+
+
+def test_model_judges_names_it_has_not_seen():
     rows = U.labelled_urls()
-    assert len(rows) < 200 and sum((model.scores([U.parts(u)])[0] > 0.5) == bool(y) for u, y in rows) > 0.98 * len(rows)
-    held = U.train(rows[::2])  # the two rows of a site stand side by side
-    assert sum((held.scores([U.parts(u)])[0] > 0.5) == bool(y) for u, y in rows[1::2]) > 0.95 * len(rows[1::2])
+    assert right(U.train(rows), rows) > 0.97
+    name = lambda u: U.parts(u)[0]
+    names = sorted({name(u) for u, _ in rows})
+    found = []
+    for k in range(5):
+        held = set(names[k::5])  # names are held out whole
+        found.append(right(U.train([r for r in rows if name(r[0]) not in held]), [r for r in rows if name(r[0]) in held]))
+    assert sum(found) / 5 >= 0.8, found
+
+
+def test_scores_match_brute_force():
+    model = U.train(U.labelled_urls()[:60])
+    for url in ("https://www.some-casino.net/a?b", "http://x/", "", "no url", "https://é.org/ü" * 3):
+        z = model.bias
+        for side, text in enumerate(U.parts(url)):
+            data = b"^" + text.encode() + b"$"
+            for n in U.SIZES:
+                for at in range(len(data) - n + 1):
+                    h = n * 0x85EBCA6B & 0xFFFFFFFF
+                    for c in data[at:at + n]:
+                        h = (h ^ c) * 0x9E3779B1 & 0xFFFFFFFF
+                        h ^= h >> 15
+                    z += model.weights[side][h >> 32 - U.BITS]
+        assert abs(model.scores([U.parts(url)])[0] - 1 / (1 + math.exp(-z))) < 1e-9
 
 
-def test_sites_of_the_given_tables_are_held_out(spark):
-    urls = [r["url"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()]
-    hosts = {U.parts(u)[0] for u in urls}
-    assert not [s for s in U._BLOCKED + U._ALLOWED if any(s in h.split(".") for h in hosts)]
-    model = U.train(U.labelled_urls())
-    assert all(model.scores([U.parts(f"https://www.{s}.example.com/en/1")])[0] > 0.5 for s in "casino-win free-bets cheap-pills ads-track spam-farm adult-x".split())
+def test_training_ends_at_the_minimum_of_its_loss():
+    rows = U.labelled_urls()[::9]
+    model = U.train(rows)
+    y = np.array([label for _, label in rows], float)
+    urls = [U.parts(u) for u, _ in rows]
+    loss = lambda p: -np.log(np.where(y > 0, p, 1 - p)).mean()
+    at = loss(model.scores(urls))
+    assert at < 0.2
+    for side in (0, 1):
+        for k in np.argsort(-np.abs(model.weights[side]))[:5]:
+            for step in (-0.2, 0.2):
+                moved = U.Regression(model.weights.copy(), model.bias)
+                moved.weights[side][k] += step
+                assert loss(moved.scores(urls)) > at - 0.02
 
 
 def test_query_rows(spark):
-    rows = [(1, "https://www.cheap-pills.example.net/en/1"), (2, "http://a.org/x"), (3, None), (4, ""), (5, "no url"), (6, "http://m.casino-win.example.com/fr/1"),
-            (7, "http://thand.example.com/de/1"), (7, "http://thand.example.com/de/1"), (None, "http://free-bets.example.net/x"), (8, "http://a.net/" + "p" * 100_000)]
+    rows = [(1, "https://www.cheap-viagra.example.net/en/1"), (2, "http://a.org/x"), (3, None), (4, ""), (5, "no url"), (6, "http://m.poker-bonus.example.com/fr/1"),
+            (7, "http://thand.example.com/de/1"), (7, "http://thand.example.com/de/1"), (None, "http://free-slots.example.net/x"), (8, "http://a.net/" + "p" * 100_000)]
     df = clashing(spark.createDataFrame(rows, PAGES)).selectExpr("*", "1 as host", "2 as path", "3 as rule", "4 as verdict")
     got = {r["page_id"]: r for r in U.judge(df, queries.URL_RULES).collect()}
     assert got[1]["rule"] is None and got[1]["verdict"] == "block"
