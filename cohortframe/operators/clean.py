@@ -127,6 +127,14 @@ def blacklist(df: DataFrame, invalid: dict[str, list[str]] | None = None,
                       for c in df.columns])
 
 
+def blacklist_table(df: DataFrame, column: str, invalid: DataFrame, value_col: str = "value") -> DataFrame:
+    """C5 for long lists: ``invalid`` is a table of values; those of ``column`` that stand in it become NULL.
+    The list is made distinct and joined; the planner broadcasts it by its size or joins by shuffle."""
+    listed = invalid.select(F.col(value_col).alias("_invalid")).filter(F.col("_invalid").isNotNull()).distinct()
+    j = df.join(listed, F.col(column) == F.col("_invalid"), "left")
+    return j.select([F.when(F.col("_invalid").isNull(), F.col(column)).alias(c) if c == column else F.col(c) for c in df.columns])
+
+
 def substring_blacklist(df: DataFrame, patterns: dict[str, list[str]] | None = None,
                         cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """C6 (older): case-insensitive regular-expression contains -> NULL."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import (flag, plain_max, plain_mean, plain_var_pop, present,
                                            row_max, row_mean, row_var_pop, safe_div, safe_name)
+from cohortframe.operators.quantiles import exact_quantiles
 from cohortframe.params import ALL, Params, long_params
 from cohortframe.schema import DEFAULT_COLUMNS, Columns
 
@@ -99,17 +100,21 @@ def fit_features(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """Training statistic of the satisfaction features: the CGPA median."""
     if cols.cgpa not in df.columns:
         return long_params(df.limit(0).agg(F.lit(None).alias("x")), FEAT_STAGE, [])
-    one = df.agg(F.median(F.col(cols.cgpa)).alias("m"))
+    one = df.sparkSession.range(1).select(F.lit(_frame_median(df, cols)).cast("double").alias("m"))
     return long_params(one, FEAT_STAGE, [("m", cols.cgpa, ALL, "median", False)])
 
 
+def _frame_median(df, cols):
+    return exact_quantiles(df, {"m": (F.col(cols.cgpa), [0.5])})[()]["m"][0]
+
+
 def _cgpa_median(df, params, cols):
     if params is not None:
         p = params if isinstance(params, Params) else Params.collect(params, FEAT_STAGE)
         if p.has(FEAT_STAGE, cols.cgpa, ALL, "median"):
             return p.value(FEAT_STAGE, cols.cgpa, ALL, "median")
     # no stored statistic: the median of the frame itself (a fitted scalar)
-    return df.agg(F.median(F.col(cols.cgpa))).first()[0]
+    return _frame_median(df, cols)
 
 
 def satisfaction(df: DataFrame, params=None, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import (clean_doubles, nan_to_null, numeric_columns,
                                            present, string_columns)
+from cohortframe.operators.quantiles import exact_quantiles, quantile_frame
 from cohortframe.params import ALL, Params, empty_params, long_params
 from cohortframe.schema import DEFAULT_COLUMNS, Columns
 
@@ -23,10 +24,12 @@ STAGE = "impute"
 UNKNOWN = "Unknown"
 
 
-def _median(c, approx: bool):
+def _medians(df: DataFrame, exprs: dict, approx: bool) -> DataFrame:
+    """One row with the median of each expression under its name."""
     if approx:
-        return F.percentile_approx(c, 0.5, 10000).cast("double")
-    return F.median(c)
+        return df.agg(*[F.percentile_approx(x, 0.5, 10000).cast("double").alias(a) for a, x in exprs.items()])
+    got = exact_quantiles(df, {a: (x, [0.5]) for a, x in exprs.items()})[()]
+    return df.sparkSession.range(1).select(*[F.lit(got[a][0]).cast("double").alias(a) for a in exprs])
 
 
 def _modes(df: DataFrame, keyed: list[tuple[str, object]], spark) -> DataFrame:
@@ -53,23 +56,23 @@ def fit_impute(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, approx: bool = Fa
     df = clean_doubles(df)
     is_s = F.col(cols.cohort) == cols.student
     is_p = F.col(cols.cohort) == cols.professional
-    aggs, specs = [], []
+    aggs, specs = {}, []
     # Anomalous-missing statistics of the cohort-specific columns
     for c in present(df, cols.student_only):
         a = f"{c}__s"
-        aggs.append(_median(F.when(is_s, F.col(c)), approx).alias(a))
+        aggs[a] = F.when(is_s, F.col(c))
         specs.append((a, c, cols.student, "median", False))
     for c in present(df, cols.professional_only):
         a = f"{c}__p"
-        aggs.append(_median(F.when(is_p, F.col(c)), approx).alias(a))
+        aggs[a] = F.when(is_p, F.col(c))
         specs.append((a, c, cols.professional, "median", False))
     # Every numeric column except id and target
     for c in numeric_columns(df, exclude=(cols.id, cols.label)):
         a = f"{c}__all"
-        aggs.append(_median(F.col(c), approx).alias(a))
+        aggs[a] = F.col(c)
         specs.append((a, c, ALL, "median", False))
     spark = df.sparkSession
-    med = long_params(df.agg(*aggs), STAGE, specs) if aggs else empty_params(spark)
+    med = long_params(_medians(df, aggs, approx), STAGE, specs) if aggs else empty_params(spark)
     # modes
     keyed = [(c, F.col(c)) for c in string_columns(df, exclude=(cols.id, cols.name, cols.profession))]
     if cols.profession in df.columns:
@@ -191,18 +194,16 @@ CLIP_IQR_FACTOR = 3.0
 def fit_clip(df: DataFrame, limits: dict | None = None, factor: float = CLIP_IQR_FACTOR,
              approx: bool = False) -> DataFrame:
     """Bounds Q1 - f*IQR, Q3 + f*IQR per column, tightened to the column's
-    valid range.  Quartiles interpolate linearly (exact ``percentile``)."""
+    valid range.  Quartiles are exact and interpolate linearly."""
     limits = CLIP_LIMITS if limits is None else limits
     cs = present(df, list(limits))
     if not cs:
         return empty_params(df.sparkSession)
-    aggs = []
-    for c in cs:
-        x = nan_to_null(F.col(c))
-        q = (F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.75)), 10000) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))))
-        aggs.append(q.alias(c))
-    qs = df.agg(*aggs)
+    quartiles = [0.25, 0.75]
+    if approx:
+        qs = df.agg(*[F.percentile_approx(nan_to_null(F.col(c)), quartiles, 10000).alias(c) for c in cs])
+    else:
+        qs = quantile_frame(df, {c: (nan_to_null(F.col(c)), quartiles) for c in cs})
     bounds = []
     for c in cs:
         q1, q3 = F.col(c)[0].cast("double"), F.col(c)[1].cast("double")
@@ -276,7 +277,7 @@ def fit_fill(df: DataFrame, exclude=(), approx: bool = False) -> DataFrame:
     need = [c for c in feats if nulls[c] > 0]
     if not need:
         return empty_params(df.sparkSession)
-    one = clean.agg(*[_median(F.col(c), approx).alias(c) for c in need])
+    one = _medians(clean, {c: F.col(c) for c in need}, approx)
     return long_params(one, FILL_STAGE, [(c, c, ALL, "median", False) for c in need])
 
 

@@ -1,49 +1,46 @@
-"""Model training, search and scoring (I1-I18), on MLlib.
-
-The reference's five classifiers are re-aimed as MLlib estimators:
-logistic regression (I1), random forest (I2) and three gradient-boosted
-tree configurations (I3-I5) standing in for the three boosting libraries.
-Features stay named scalar columns until the model boundary, where a
-``VectorAssembler`` builds the vector.  Probabilities of class 1 are read
-with ``vector_to_array`` -- no Python UDF.
-
-Sizes in :data:`FULL` are the defaults everywhere.  Boosters that stop early
-(I6) are fitted with a doubling number of rounds until the patience rule is
-met inside it, which gives the round that the full budget would give.
+"""Model training, search and scoring.
+
+Logistic regression (I1) and random forest (I2) are MLlib pipelines; the three
+boosted models (I3-I5) are the second-order trees of
+:mod:`cohortframe.operators.boosting`, trained side by side.  Features stay named scalar
+columns until the model boundary.  Probabilities of class 1 are read with
+``vector_to_array`` or scored over Arrow batches -- no row-wise Python UDF.
+
+Sizes in :data:`FULL` and :data:`BOOSTED` are the defaults everywhere.  Boosters that stop early
+(I6) decide it inside training: no round is trained twice and nothing is refitted.
 """
 
 from __future__ import annotations
 
 import json
 import math
-import random
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortframe.operators import boosting
+from cohortframe.operators.boosting import Boosted, Settings, Slot
 from cohortframe.operators.evaluate import DEFAULT_THRESHOLD
+from cohortframe.operators.search import SEARCH_SPACE, TRIALS, search
+from cohortframe.session import cut_lineage
 
 MODELS = ("logistic", "forest", "gbt_a", "gbt_b", "gbt_c")
 # Model settings (full size).
 FULL = {
     "logistic": {"C": 1.0, "maxIter": 1000},
     "forest": {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 2},
-    "gbt_a": {"maxIter": 500, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8,
-              "featureSubsetStrategy": "0.8"},
-    "gbt_b": {"maxIter": 500, "maxDepth": 6, "stepSize": 0.1, "minInstancesPerNode": 20, "subsamplingRate": 0.8,
-              "featureSubsetStrategy": "0.8"},
-    "gbt_c": {"maxIter": 500, "maxDepth": 5, "stepSize": 0.1},
 }
-SEEDS = {"logistic": 42, "forest": 42, "gbt_a": 42, "gbt_b": 43, "gbt_c": 44}
+BOOSTED = {
+    "gbt_a": Settings(rounds=500, depth=5, rate=0.1, growth="level", l1=0.0, l2=0.1, least_gain=0.0, least_weight=1.0, row_share=0.8, column_share=0.8, seed=42),
+    "gbt_b": Settings(rounds=500, depth=6, rate=0.1, growth="leaf", leaves=31, l1=0.0, l2=1.0, least_gain=0.0, least_weight=1e-3, least_rows=20, row_share=0.8, column_share=0.8, seed=43),
+    "gbt_c": Settings(rounds=500, depth=5, rate=0.1, growth="symmetric", l2=1.25, mean_base=False, seed=44),
+}
+SEEDS = {"logistic": 42, "forest": 42}
 PATIENCE = 50
 # Learning rates of the sweep.
 LEARNING_RATES = [0.07, 0.1, 0.13, 0.15, 0.17, 0.2, 0.3]
@@ -55,7 +52,7 @@ def settings(kind: str, **override) -> dict:
 
 def classifier(kind: str, n_rows: int | None = None, label: str = "label",
                features: str = "features", **override):
-    """I1-I5 estimators."""
+    """I1, I2 estimators."""
     s = settings(kind, **override)
     seed = SEEDS[kind]
     if kind == "logistic":
@@ -65,13 +62,9 @@ def classifier(kind: str, n_rows: int | None = None, label: str = "label",
         return LogisticRegression(labelCol=label, featuresCol=features, maxIter=s["maxIter"],
                                   regParam=1.0 / (s["C"] * n), elasticNetParam=0.0,
                                   standardization=False)
-    if kind == "forest":
-        return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=s["numTrees"],
-                                      maxDepth=s["maxDepth"], minInstancesPerNode=s["minInstancesPerNode"],
-                                      featureSubsetStrategy="sqrt", seed=seed)
-    kw = {k: v for k, v in s.items() if k in ("maxIter", "maxDepth", "stepSize", "subsamplingRate",
-                                              "minInstancesPerNode", "featureSubsetStrategy")}
-    return GBTClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
+    return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=s["numTrees"],
+                                  maxDepth=s["maxDepth"], minInstancesPerNode=s["minInstancesPerNode"],
+                                  featureSubsetStrategy="sqrt", seed=seed)
 
 
 def assembler(features: list[str], out: str = "features") -> VectorAssembler:
@@ -82,21 +75,41 @@ def with_label(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn(label, F.col(label).cast("double")) if label in df.columns else df
 
 
+def fit_boosted(train: DataFrame, features: list[str], wanted: dict[str, Settings], label: str = "label", val: DataFrame | None = None,
+                id_col: str = "id") -> dict[str, Boosted]:
+    """All ``wanted`` boosters over one table of bins.  With ``val`` their history has validation losses (I8), and
+    those with patience stop by it; bins are fitted on the training rows."""
+    cuts = boosting.fit_bins(train, features)
+    rows = train.select(id_col, label, *features).withColumn("_fold", F.lit(0))
+    if val is not None:
+        rows = rows.unionByName(val.select(id_col, label, *features).withColumn("_fold", F.lit(1)))
+    table = boosting.binned(with_label(rows, label), features, cuts, label, id_col, "_fold")
+    held = None if val is None else 1
+    return dict(zip(wanted, boosting.train(table, features, cuts, [Slot(n, s, held) for n, s in wanted.items()])))
+
+
 def fit_model(train: DataFrame, features: list[str], kind: str, label: str = "label",
-              n_rows: int | None = None, **override) -> PipelineModel:
-    """Fit assembler + classifier; the feature list travels with the model
+              n_rows: int | None = None, id_col: str = "id", **override) -> PipelineModel | Boosted:
+    """Fit one model; the feature list travels with it
     (I17: scoring checks it against the frame)."""
+    if kind in BOOSTED:
+        return fit_boosted(train, features, {kind: replace(BOOSTED[kind], **override)}, label, id_col=id_col)[kind]
     if kind == "logistic" and n_rows is None:
         n_rows = train.count()
     est = classifier(kind, n_rows, label, **override)
     return Pipeline(stages=[assembler(features), est]).fit(with_label(train, label))
 
 
-def model_features(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].getInputCols())
+def model_features(model: PipelineModel | Boosted) -> list[str]:
+    return list(model.features) if isinstance(model, Boosted) else list(model.stages[0].getInputCols())
+
 
+def probability(m: Column) -> Column:
+    """Of class 1, from log-odds."""
+    return 1 / (1 + F.exp(-m))
 
-def score(model: PipelineModel, df: DataFrame, threshold: float = DEFAULT_THRESHOLD,
+
+def score(model: PipelineModel | Boosted, df: DataFrame, threshold: float = DEFAULT_THRESHOLD,
           keep: list[str] | None = None, out: str = "score") -> DataFrame:
     """Probability of class 1 and the label at ``threshold`` (>=).
     I17: the frame must carry every feature the model was trained on."""
@@ -105,24 +118,25 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = DEFAULT_THRESH
     if missing:
         raise ValueError(f"frame lacks features the model was trained on: {missing}")
     keep = [c for c in (keep or []) if c in df.columns]
-    t = model.transform(df.select(*keep, *[c for c in feats if c not in keep]))
-    p1 = vector_to_array(F.col("probability"))[1]
+    if isinstance(model, Boosted):
+        t, p1 = boosting.with_margins(df, {"_margin": model}, keep), probability(F.col("_margin"))
+    else:
+        t = model.transform(df.select(*keep, *[c for c in feats if c not in keep]))
+        p1 = vector_to_array(F.col("probability"))[1]
     return t.select(*keep, p1.alias(out), (p1 >= F.lit(threshold)).cast("int").alias("prediction"))
 
 
-def margin(model: PipelineModel, df: DataFrame, keep: list[str] | None = None, out: str = "margin") -> DataFrame:
-    """Log-odds of class 1 for every model type (LR: raw margin; GBT:
-    2 x raw; forest: logit of the clipped probability)."""
+def margin(model: PipelineModel | Boosted, df: DataFrame, keep: list[str] | None = None, out: str = "margin") -> DataFrame:
+    """Log-odds of class 1 for every model type (LR and boosters: raw margin;
+    forest: logit of the clipped probability)."""
     keep = keep or []
+    if isinstance(model, Boosted):
+        return boosting.with_margins(df, {"_margin": model}, keep).withColumnRenamed("_margin", out)
     t = model.transform(df)
-    est = model.stages[-1]
     raw = vector_to_array(F.col("rawPrediction"))
     prob = vector_to_array(F.col("probability"))[1]
-    name = type(est).__name__
-    if name.startswith("LogisticRegression"):
-        m = raw[1] - raw[0]
-    elif name.startswith("GBT"):
-        m = 2 * raw[1]
+    if type(model.stages[-1]).__name__.startswith("LogisticRegression"):
+        m = raw[1]  # the first entry is its negative
     else:
         p = F.least(F.greatest(prob, F.lit(1e-6)), F.lit(1 - 1e-6))
         m = F.log(p / (1 - p))
@@ -141,63 +155,16 @@ def logloss(model: PipelineModel, df: DataFrame, label: str = "label") -> float:
     return s.agg(F.avg(_logloss_expr(F.col(label), F.col("score")))).first()[0]
 
 
-def gbt_history(model: PipelineModel, train: DataFrame, val: DataFrame, label: str = "label") -> list:
-    """I8: per-round (iteration, train_loss, val_loss) of a boosted model.
-    ``evaluateEachIteration`` computes every round's log-loss in one job
-    per frame."""
-    gbt = model.stages[-1]
-    asm = model.stages[0]
-    tr = gbt.evaluateEachIteration(asm.transform(with_label(train, label)))
-    va = gbt.evaluateEachIteration(asm.transform(with_label(val, label)))
-    return [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, va))]
-
-
-def best_round(val_losses: list[float], patience: int = PATIENCE) -> int:
-    """Early stopping: 1-based round with the lowest validation loss, where
-    training stops after ``patience`` rounds without improvement."""
-    best, best_i, since = math.inf, 0, 0
-    for i, v in enumerate(val_losses):
-        if v < best:
-            best, best_i, since = v, i, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    return best_i + 1
-
-
-def stop_round(val_losses: list[float], patience: int = PATIENCE) -> int | None:
-    """The last round that training with ``patience`` runs, or None if the
-    rule is not met within these rounds."""
-    last = best_round(val_losses, patience) + patience
-    return last if last <= len(val_losses) else None
-
-
 def train_early_stop(train: DataFrame, val: DataFrame, features: list[str], kind: str,
                      label: str = "label", patience: int = PATIENCE, **override):
     """Stop after ``patience`` rounds without a better validation loss and
-    keep the best round.  The first rounds of a booster do not depend on its
-    budget, so the budget doubles until the rule is met or the full one is
-    reached.  Returns (model, history rows up to the stop, best round)."""
-    budget = settings(kind, **override)["maxIter"]
-    rounds = min(budget, patience + 14)
-    while True:
-        model = fit_model(train, features, kind, label, **{**override, "maxIter": rounds})
-        hist = gbt_history(model, train, val, label)
-        losses = [h[2] for h in hist]
-        stop = stop_round(losses, patience)
-        if stop is not None or rounds >= budget:
-            break
-        rounds = min(budget, 2 * rounds)
-    best = best_round(losses, patience)
-    hist = hist[:stop or len(hist)]
-    if best < rounds:
-        model = fit_model(train, features, kind, label, **{**override, "maxIter": best})
-    return model, hist, best
+    keep the best round.  Returns (model, history rows up to the stop, best round)."""
+    model = fit_boosted(train, features, {kind: replace(BOOSTED[kind], patience=patience, **override)}, label, val)[kind]
+    return model, model.history, len(model.trees)
 
 
 def history_frame(spark, rows: list[tuple], model_name: str) -> DataFrame:
-    return spark.createDataFrame([(model_name, i, a, b) for i, a, b in rows],
+    return spark.createDataFrame([(model_name, i, a, b) for i, a, b, *_ in rows],
                                  "model string, iteration int, train_loss double, val_loss double")
 
 
@@ -210,96 +177,101 @@ def history_summary(hist: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ CV and search
 
-def f1_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
-    """Positive-class F1 (MLlib's default 'f1' is the weighted F1)."""
-    return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                             metricName="fMeasureByLabel", metricLabel=1.0)
+def fold_rows(df: DataFrame, features: list[str], fold_col: str = "fold", label: str = "label", id_col: str = "id", n_folds: int = 5,
+              oversample=None) -> DataFrame:
+    """``(id, label, fold, group, features...)``: the rows with their fold and, with ``oversample`` (frame -> frame with ``synthetic``), those
+    made from the training rows of each fold, which only the model that holds this fold out may see."""
+    keep = [id_col, label, *features]
+    out = df.select(*keep, F.col(fold_col).cast("int").alias("_fold"), F.lit(None).cast("int").alias("_group"))
+    for k in range(n_folds) if oversample else ():
+        made = oversample(df.filter(F.col(fold_col) != k).select(*keep)).filter("synthetic = 1")
+        out = out.unionByName(made.select(*keep, F.lit(None).cast("int").alias("_fold"), F.lit(k).alias("_group")))
+    return out
 
 
-def cross_validate(df: DataFrame, features: list[str], kind: str, fold_col: str = "fold",
-                   label: str = "label", metric: str = "f1", param_maps=None,
-                   parallelism: int = 4, n_folds: int = 5, **override):
-    """CrossValidator over precomputed (stratified) folds.
-    Returns the fitted CrossValidatorModel (``avgMetrics``, ``stdMetrics``)."""
-    # each fit sees all folds but one
-    n = df.count() * (n_folds - 1) // n_folds if kind == "logistic" else None
-    est = classifier(kind, n, label, **override)
-    pipe = Pipeline(stages=[assembler(features), est])
-    ev = f1_evaluator(label) if metric == "f1" else BinaryClassificationEvaluator(labelCol=label)
-    maps = param_maps if param_maps is not None else ParamGridBuilder().build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        numFolds=n_folds, parallelism=parallelism, seed=55)
-    return cv.fit(with_label(df, label)), est
-
-
-# Search ranges (uniform unless marked log).
-SEARCH_SPACE = {
-    "gbt_a": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3),
-              "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("share", 0.6, 1.0),
-              "minInstancesPerNode": ("int", 1, 10)},
-    "gbt_b": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 8), "stepSize": ("log", 0.01, 0.3),
-              "subsamplingRate": ("float", 0.7, 1.0), "featureSubsetStrategy": ("share", 0.7, 1.0),
-              "minInstancesPerNode": ("int", 20, 100)},
-    "gbt_c": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3)},
-}
-TRIALS = 30
+def f1(counts: tuple) -> float:
+    tp, fp, fn = counts
+    return 2 * tp / (2 * tp + fp + fn) if tp else 0.0
 
 
-def draw_params(kind: str, n_trials: int = TRIALS, seed: int = 55) -> list[dict]:
-    """Seeded random draws from the search ranges (uniform / log-uniform)."""
-    rng = random.Random(seed)
+def cross_validate(df: DataFrame, features: list[str], kind: str, fold_col: str = "fold",
+                   label: str = "label", n_folds: int = 5, oversample=None, id_col: str = "id", **override) -> list[float]:
+    """Positive-class F1 on each (stratified) fold.  The boosters of all folds train side by side, and are judged
+    as they train; rows are oversampled inside each fold's training part only."""
+    if kind in BOOSTED:
+        table = boosted_folds(df, features, fold_col, label, id_col, n_folds, oversample)
+        return _fold_scores(table, features, [replace(BOOSTED[kind], **override)], n_folds, bool(oversample))[0]
     out = []
-    for _ in range(n_trials):
-        d = {}
-        for k, (t, lo, hi) in SEARCH_SPACE[kind].items():
-            if t == "int":
-                d[k] = rng.randint(lo, hi)
-            elif t == "log":
-                d[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            else:
-                d[k] = rng.uniform(lo, hi)
-            if t == "share":
-                d[k] = str(d[k])
-        out.append(d)
+    for k in range(n_folds):
+        part = df.filter(F.col(fold_col) != k)
+        if oversample:
+            part = oversample(part.select(id_col, label, *features))
+        m = fit_model(part, features, kind, label, **override)
+        held = score(m, df.filter(F.col(fold_col) == k), keep=[label])
+        hit, y = F.col("prediction") == 1, F.col(label) == 1
+        out.append(f1(held.agg(F.count_if(hit & y), F.count_if(hit & ~y), F.count_if(~hit & y)).first()))
     return out
 
 
-def search_params(df: DataFrame, features: list[str], kind: str, n_trials: int = TRIALS,
-                  fold_col: str = "fold", label: str = "label", seed: int = 55, n_folds: int = 5,
-                  parallelism: int = 4, **override) -> DataFrame:
-    """Seeded random search scored by mean positive-class F1 over the
-    folds.  Trials run apart: one that fails scores 0.0 and keeps its error,
-    the others are not touched.  ``override`` replaces drawn values."""
-    draws = [{**d, **override} for d in draw_params(kind, n_trials, seed)]
-    work = with_label(df, label)
+def boosted_folds(df: DataFrame, features: list[str], fold_col: str, label: str, id_col: str, n_folds: int, oversample) -> tuple[DataFrame, list]:
+    """The table of bins that the models of all folds read, and its cuts."""
+    rows = fold_rows(with_label(df, label), features, fold_col, label, id_col, n_folds, oversample)
+    cuts = boosting.fit_bins(df, features)
+    return cut_lineage(boosting.binned(rows, features, cuts, label, id_col, "_fold", "_group")), cuts
+
+
+def _fold_scores(table: tuple[DataFrame, list], features: list[str], tried: list[Settings], n_folds: int, grouped: bool) -> list[list[float]]:
+    """F1 of each of the settings on each fold, all trained in one scan."""
+    slots = [Slot(f"{i}-{k}", s, k, k if grouped else None) for i, s in enumerate(tried) for k in range(n_folds)]
+    got = boosting.train(table[0], features, table[1], slots, segment=max(s.rounds for s in tried), keep_trees=False)
+    scores = [f1(m.history[-1][3:]) for m in got]
+    return [scores[i * n_folds:(i + 1) * n_folds] for i in range(len(tried))]
+
+
+def mean_and_range(scores: list[float]) -> tuple[float, float, float, float]:
+    """Mean, standard deviation, and mean -+ two of them."""
+    mean = sum(scores) / len(scores)
+    std = math.sqrt(sum((x - mean) ** 2 for x in scores) / len(scores))
+    return mean, std, mean - 2 * std, mean + 2 * std
+
 
-    def trial(item):
-        i, d = item
+def search_params(df: DataFrame, features: list[str], kind: str, n_trials: int = TRIALS, fold_col: str = "fold", label: str = "label", seed: int = 55,
+                  n_folds: int = 5, oversample=None, id_col: str = "id", space: dict | None = None) -> DataFrame:
+    """Tree-structured Parzen search by mean positive-class F1 over the folds.  A batch's trials train together;
+    if that fails they run apart, one that fails alone scores 0.0 and keeps its error."""
+    table = boosted_folds(df, features, fold_col, label, id_col, n_folds, oversample)
+    grouped = bool(oversample)
+
+    def evaluate(batch: list[dict]) -> list[tuple[float, str | None]]:
+        tried = [replace(BOOSTED[kind], **d) for d in batch]
         try:
-            cv, _ = cross_validate(work, features, kind, fold_col, label, "f1", n_folds=n_folds, parallelism=1, **d)
-            m, err = float(cv.avgMetrics[0]), None
+            return [(sum(f) / len(f), None) for f in _fold_scores(table, features, tried, n_folds, grouped)]
         except Exception as e:  # noqa: BLE001 -- recorded in the trial's row
-            m, err = 0.0, f"{type(e).__name__}: {str(e)[:300]}"
-        return i, json.dumps(d, sort_keys=True), m if m == m else 0.0, err
+            if len(batch) == 1:
+                return [(0.0, f"{type(e).__name__}: {str(e)[:300]}")]
+            return [r for d in batch for r in evaluate([d])]
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(inheritable_thread_target(df.sparkSession)(trial), enumerate(draws)))
+    done = search(space or SEARCH_SPACE[kind], evaluate, n_trials, seed)
+    rows = [(i, json.dumps(d, sort_keys=True), f, e) for i, (d, f, e) in enumerate(done)]
     return df.sparkSession.createDataFrame(rows, "trial int, params string, mean_f1 double, error string")
 
 
 def rate_results(train: DataFrame, val: DataFrame, features: list[str], kind: str = "gbt_a", rates=None,
                  id_col: str = "id", label: str = "label", patience: int = PATIENCE, max_rounds: int = 1000) -> DataFrame:
     """Accuracy, F1, AUC and rounds of each learning rate, each trained
-    with early stopping."""
+    with early stopping; all rates train and are scored side by side."""
     from cohortframe.operators.evaluate import auc, basic_metrics
-    out = None
-    for r in LEARNING_RATES if rates is None else rates:
-        m, _, best = train_early_stop(train, val, features, kind, label, patience, maxIter=max_rounds, stepSize=r)
-        s = score(m, val, keep=[id_col, label]).withColumn("rate", F.lit(float(r)))
-        met = basic_metrics(s, ["rate"], label).join(auc(s, ["rate"], label), "rate") \
-            .select("rate", "accuracy", "f1", "auc", F.lit(best).alias("rounds"))
-        out = met if out is None else out.unionByName(met)
-    return out
+    rates = [float(r) for r in (LEARNING_RATES if rates is None else rates)]
+    fitted = fit_boosted(train, features, {f"_r{i}": replace(BOOSTED[kind], rounds=max_rounds, rate=r, patience=patience) for i, r in enumerate(rates)}, label, val, id_col)
+    wide = boosting.with_margins(val, fitted, [id_col, label])
+    s = wide.select(id_col, label, F.inline(F.array(*[F.struct(F.lit(r).alias("rate"), probability(F.col(f"_r{i}")).alias("score")) for i, r in enumerate(rates)])))
+    s = cut_lineage(s.withColumn("prediction", (F.col("score") >= DEFAULT_THRESHOLD).cast("int")))
+    n = F.broadcast(df_of(train, [(r, len(fitted[f"_r{i}"].trees)) for i, r in enumerate(rates)], "rate double, rounds int"))
+    return basic_metrics(s, ["rate"], label).join(auc(s, ["rate"], label), "rate").join(n, "rate").select("rate", "accuracy", "f1", "auc", "rounds")
+
+
+def df_of(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    return like.sparkSession.createDataFrame(rows, schema)
 
 
 RATE_METRICS = ("accuracy", "f1", "auc")
@@ -359,18 +331,25 @@ def prediction_distribution(pred: DataFrame, col: str = "prediction") -> DataFra
 def save_models(models: dict, path: str) -> None:
     """A4: one folder per model name."""
     for name, m in models.items():
-        m.write().overwrite().save(f"{path}/{name}")
+        if isinstance(m, Boosted):
+            boosting.save(SparkSession.active(), m, f"{path}/{name}")
+        else:
+            m.write().overwrite().save(f"{path}/{name}")
 
 
 def load_models(spark, path: str, names=MODELS) -> dict:
     """A4: a model without a folder is skipped; any other failure is raised."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(at: str) -> bool:
+        folder = jvm.org.apache.hadoop.fs.Path(at)
+        return folder.getFileSystem(conf).exists(folder)
+
     out = {}
     for n in names:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
-        if folder.getFileSystem(conf).exists(folder):
-            out[n] = PipelineModel.load(f"{path}/{n}")
+        if there(f"{path}/{n}"):
+            out[n] = boosting.load(spark, f"{path}/{n}") if there(f"{path}/{n}/boosted") else PipelineModel.load(f"{path}/{n}")
     return out
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import nan_to_null, numeric_columns, present, string_columns
+from cohortframe.operators.quantiles import exact_quantiles, literals, quantile_frame
 from cohortframe.schema import DEFAULT_COLUMNS, Columns
 
 
@@ -46,14 +47,17 @@ def head(df: DataFrame, n: int = 10, cols: Columns = DEFAULT_COLUMNS) -> DataFra
 def describe(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, approx: bool = False) -> DataFrame:
     """B2: count, mean, sample std, min, quartiles, max per numeric column."""
     feats = numeric_columns(df, exclude=(cols.id, cols.label))
-    aggs = []
+    quartiles = [0.25, 0.5, 0.75]
+    aggs, wanted = [], {}
     for i, c in enumerate(feats):
         x = nan_to_null(F.col(c).cast("double"))
-        q = (F.percentile_approx(x, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]), 10000) if approx
-             else F.percentile(x, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])))
+        wanted[f"q{i}"] = (x, quartiles)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
-    one = df.agg(*aggs)
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    if approx:
+        one = df.agg(*aggs, *[F.percentile_approx(x, p, 10000).alias(a) for a, (x, p) in wanted.items()])
+    else:
+        one = df.agg(*aggs).withColumns(literals(exact_quantiles(df, wanted)[()]))
     one = one.select("*", *[F.col(f"q{i}")[j].alias(f"q{i}_{j}") for i in range(len(feats)) for j in range(3)])
     rows = [((c,), {"count": f"n{i}", "mean": f"m{i}", "std": f"s{i}", "min": f"lo{i}",
                     "p25": f"q{i}_0", "p50": f"q{i}_1", "p75": f"q{i}_2", "max": f"hi{i}"})
@@ -197,14 +201,16 @@ def target_correlation(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFr
 
 def stats_by_target(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, approx: bool = False) -> DataFrame:
     """Mean, median and sample std of each profile column per class;
-    one grouped aggregation, then the few result rows are unpivoted."""
+    grouped aggregations, then the few result rows are unpivoted."""
     feats = present(df, cols.numeric_profile)
-    aggs = []
-    for i, c in enumerate(feats):
-        x = nan_to_null(F.col(c).cast("double"))
-        med = F.percentile_approx(x, 0.5, 10000) if approx else F.median(x)
-        aggs += [F.avg(x).alias(f"m{i}"), med.alias(f"d{i}"), F.stddev(x).alias(f"s{i}")]
-    g = df.groupBy(cols.label).agg(*aggs)
+    x = {i: nan_to_null(F.col(c).cast("double")) for i, c in enumerate(feats)}
+    aggs = [a for i in x for a in (F.avg(x[i]).alias(f"m{i}"), F.stddev(x[i]).alias(f"s{i}"))]
+    if approx:
+        g = df.groupBy(cols.label).agg(*aggs, *[F.percentile_approx(x[i], 0.5, 10000).alias(f"d{i}") for i in x])
+    else:
+        med = quantile_frame(df, {f"d{i}": (x[i], [0.5]) for i in x}, [cols.label])
+        med = med.select(F.col(cols.label).alias("_class"), *[F.col(f"d{i}")[0].alias(f"d{i}") for i in x])
+        g = df.groupBy(cols.label).agg(*aggs).join(F.broadcast(med), F.col(cols.label).eqNullSafe(F.col("_class")))  # one row per class
     return g.select(cols.label, F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("mean"), F.col(f"d{i}").alias("median"),
                  F.col(f"s{i}").alias("std")) for i, c in enumerate(feats)])))
@@ -247,10 +253,7 @@ def box_stats(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, whisker: float = 1
     point within ``whisker`` x IQR, outlier count.  Pass 1: quartiles per
     class (small result, broadcast back); pass 2: conditional min/max/count."""
     feats = present(df, cols.numeric_profile)
-    q = df.groupBy(cols.label).agg(*[
-        F.percentile(nan_to_null(F.col(c).cast("double")),
-                     F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")
-        for i, c in enumerate(feats)])
+    q = quantile_frame(df, {f"q{i}": (nan_to_null(F.col(c).cast("double")), [0.25, 0.5, 0.75]) for i, c in enumerate(feats)}, [cols.label])
     j = df.join(F.broadcast(q), cols.label)  # one row per class
     aggs = []
     for i, c in enumerate(feats):

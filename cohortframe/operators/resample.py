@@ -6,7 +6,7 @@ its radius.  A row's own cell gives an upper bound for the distance of its
 k-th neighbour; by the triangle inequality only cells with
 ``dist(row, pivot) - radius`` below that bound can hold a nearer one, and the
 row is sent to those alone.  Large cells are dealt to sub-blocks of bounded
-size, so no group outgrows a task.  Inside a block distances come from matrix
+size on both sides, so no group outgrows a task.  Inside a block distances come from matrix
 products in chunks (never rows x rows x features) and the few best are
 computed anew term by term.  Ties are ordered by (distance, neighbour id),
 distances counting as equal to nine decimals.
@@ -72,16 +72,134 @@ def _matrix(rows: pd.Series, width: int) -> np.ndarray:
     return np.stack(rows.to_numpy()).astype(np.float64) if len(rows) else np.empty((0, width))
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("id").orderBy("dist", "nb_id")
+    return found.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
+
+
+class _Blocks:
+    """Rows ``(id, x, cell)`` to be searched, dealt to blocks of bounded size; rows that ask are dealt likewise, and each of
+    their blocks meets each block of the cell."""
+
+    def __init__(self, right: DataFrame, n_cells: int, counts: dict, d: int, k: int, exclude_self: bool, block_rows: int):
+        self.n_cells, self.d, self.k, self.exclude_self, self.block_rows = n_cells, d, k, exclude_self, block_rows
+        self.parts = self._parts(counts)
+        self.right = right.select("id", "x", "cell", F.pmod(F.xxhash64("id"), self.parts).alias("sub"))
+
+    def _parts(self, counts: dict) -> Column:
+        """Blocks of a row's cell, from the rows of each cell (as many as there are pivots at most)."""
+        parts = [max(1, -(-counts.get(c, 0) // self.block_rows)) for c in range(self.n_cells)]
+        return F.element_at(F.array(*[F.lit(p).cast("long") for p in parts]), F.col("cell").cast("int") + 1) if max(parts) > 1 else F.lit(1).cast("long")
+
+    def search(self, asked: DataFrame) -> DataFrame:
+        """``(id, nb_id, dist)``: the nearest in each block of the cell of ``asked(id, x, cell)``."""
+        asked = cut_lineage(asked.select("id", "x", "cell"))
+        left_parts = self._parts({r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()})
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+        a = asked.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "id"), left_parts)).select("*", every(self.parts).alias("sub"))
+        b = self.right.select("*", every(left_parts).alias("part"))
+        d, k, exclude_self = self.d, self.k, self.exclude_self
+
+        def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+            if p.empty or q.empty:
+                return pd.DataFrame({"id": pd.Series(dtype="int64"), "nb_id": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
+            return _nearest(p["id"].to_numpy(), _matrix(p["x"], d), q["id"].to_numpy(), _matrix(q["x"], d), k, exclude_self)
+
+        keys = ["cell", "sub", "part"]
+        return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(block, _NEAR)
+
+
+def _vectors(df: DataFrame, features: list[str], id_col: str) -> DataFrame:
+    known = lambda f: F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")),
+                             F.raise_error(F.lit(f"{f}: NULL or NaN has no distance"))).otherwise(F.col(f).cast("double"))
+    return df.select(F.col(id_col).cast("long").alias("id"), F.array(*[known(f) for f in features]).alias("x"))
+
+
+#: Trees of the projection forest, rows of a leaf, and rows of the sample that its splits are fitted on (more rows than this in a leaf are dealt to blocks).
+TREES, LEAF_ROWS, SAMPLE_ROWS = 12, 1500, 50_000
+
+
+def _fit_tree(x: np.ndarray, leaf_rows: float, rng: np.random.Generator) -> list[tuple]:
+    """Splits at the median of a random direction until a leaf stands for few rows: ``(direction, cut, left, right)``, leaves negative."""
+    nodes: list = []
+
+    def grow(rows: np.ndarray) -> int:
+        if len(rows) <= max(2.0, leaf_rows):
+            nodes.append(None)
+            return len(nodes) - 1
+        a, b = x[rng.choice(rows, 2)]
+        way = a - b if (a != b).any() else rng.normal(size=x.shape[1])
+        at = x[rows] @ way
+        cut = float(np.median(at))
+        left = at <= cut
+        if left.all() or not left.any():
+            nodes.append(None)
+            return len(nodes) - 1
+        nodes.append(None)
+        me = len(nodes) - 1
+        nodes[me] = (way, cut, grow(rows[left]), grow(rows[~left]))
+        return me
+
+    grow(np.arange(len(x)))
+    return nodes
+
+
+def _leaf_of(nodes: list, x: np.ndarray) -> np.ndarray:
+    at = np.zeros(len(x), np.int64)
+    todo = [(0, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        if nodes[node] is None:
+            at[rows] = node
+            continue
+        way, cut, left, right = nodes[node]
+        goes = x[rows] @ way <= cut
+        todo += [(left, rows[goes]), (right, rows[~goes])]
+    return at
+
+
+def knn_forest(left: DataFrame, right: DataFrame, features: list[str], k: int = 5, id_col: str = "id", exclude_self: bool = True,
+               trees: int = TREES, leaf_rows: int = LEAF_ROWS, block_rows: int = BLOCK_ROWS, seed: int = 7) -> DataFrame:
+    """Approximate :func:`knn` for many dimensions, where the triangle bound leaves most cells: a row is compared with the
+    leaf it falls into in each of several random projection trees, so the work grows with the rows.
+
+    The splits are fitted on a bounded sample, every row is indexed.  :func:`recall` measures what is found.
+    """
+    d = len(features)
+    lt, rt = _vectors(left, features, id_col), _vectors(right, features, id_col)
+    n = right.count()
+    sample = _matrix(rt.orderBy(hash_hex("id", seed), "id").limit(SAMPLE_ROWS).toPandas()["x"], d)  # at most SAMPLE_ROWS rows
+    rng = np.random.default_rng(seed)
+    forest = [_fit_tree(sample, leaf_rows * len(sample) / max(1, n), rng) for _ in range(trees)] if len(sample) else [[None]]
+    start = np.cumsum([0, *map(len, forest)])
+
+    def place(batches):
+        for pdf in batches:
+            x = _matrix(pdf["x"], d)
+            cells = np.stack([start[t] + _leaf_of(nodes, x) for t, nodes in enumerate(forest)], axis=1)
+            yield pdf.assign(cells=list(cells))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.mapInPandas(place, "id long, x array<double>, cells array<long>").select("id", "x", F.explode("cells").alias("cell"))
+
+    rt = cut_lineage(placed(rt))
+    counts = {r["cell"]: r["count"] for r in rt.groupBy("cell").count().collect()}  # one row a leaf
+    found = _Blocks(rt, int(start[-1]), counts, d, k, exclude_self, block_rows).search(placed(lt))
+    return _best(found.distinct(), k).withColumnRenamed("id", id_col)
+
+
+def recall(found: DataFrame, exact: DataFrame, id_col: str = "id") -> float:
+    """Share of the exact neighbours that were found, over the rows of ``exact``."""
+    hit = exact.select(id_col, "nb_id").join(found.select(id_col, "nb_id"), [id_col, "nb_id"], "left_semi").count()
+    return hit / max(1, exact.count())
+
+
 def knn(left: DataFrame, right: DataFrame, features: list[str], k: int = 5, id_col: str = "id",
         exclude_self: bool = True, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, nb_id, dist, nb_rank): the k nearest ``right`` rows of every
     ``left`` row by Euclidean distance, exact.  NULL or NaN features raise."""
     d = len(features)
-    known = lambda f: F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")),
-                             F.raise_error(F.lit(f"{f}: NULL or NaN has no distance"))).otherwise(F.col(f).cast("double"))
-    vec = F.array(*[known(f) for f in features])
-    lt = left.select(F.col(id_col).cast("long").alias("id"), vec.alias("x"))
-    rt = right.select(F.col(id_col).cast("long").alias("id"), vec.alias("x"))
+    lt, rt = _vectors(left, features, id_col), _vectors(right, features, id_col)
     n = right.count()
     n_pivots = min(MAX_PIVOTS, max(1, math.ceil(n / cell_rows)))
     pivots = _matrix(rt.orderBy(hash_hex("id", 7), "id").limit(n_pivots).toPandas()["x"], d)  # at most MAX_PIVOTS rows
@@ -103,25 +221,8 @@ def knn(left: DataFrame, right: DataFrame, features: list[str], k: int = 5, id_c
     lt = lt.mapInPandas(place, placed)
     cells = {r["cell"]: r for r in rt.groupBy("cell").agg(F.max("to_pivot").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}  # one row a pivot
     radius = np.array([cells[c]["radius"] if c in cells else -np.inf for c in range(len(pivots))])
-    parts = np.array([-(-cells[c]["n"] // block_rows) if c in cells else 0 for c in range(len(pivots))])
-    of_cell = F.lit(1) if not (parts > 1).any() else F.element_at(F.array(*[F.lit(int(max(1, p))) for p in parts]), F.col("cell").cast("int") + 1)
-    blocks = rt.select("id", "x", "cell", F.pmod(F.xxhash64("id"), of_cell).alias("sub"))
-
-    def search(asked: DataFrame) -> DataFrame:
-        """``asked(id, x, cell)`` against all sub-blocks of the cell."""
-        subs = F.explode(F.sequence(F.lit(0).cast("long"), of_cell.cast("long") - 1))
-        a = asked.select("id", "x", "cell", subs.alias("sub"))
-
-        def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-            if p.empty or q.empty:
-                return pd.DataFrame({"id": pd.Series(dtype="int64"), "nb_id": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
-            return _nearest(p["id"].to_numpy(), _matrix(p["x"], d), q["id"].to_numpy(), _matrix(q["x"], d), k, exclude_self)
-
-        return a.groupBy("cell", "sub").cogroup(blocks.groupBy("cell", "sub")).applyInPandas(block, _NEAR)
-
-    def best(found: DataFrame) -> DataFrame:
-        w = Window.partitionBy("id").orderBy("dist", "nb_id")
-        return found.withColumn("nb_rank", F.row_number().over(w)).filter(F.col("nb_rank") <= k)
+    search = _Blocks(rt, len(pivots), {c: r["n"] for c, r in cells.items()}, d, k, exclude_self, block_rows).search
+    best = lambda found: _best(found, k)
 
     own = cut_lineage(best(search(lt.select("id", "x", "cell"))))
     if len(cells) > 1:

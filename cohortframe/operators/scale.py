@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import nan_to_null, numeric_columns, present
+from cohortframe.operators.quantiles import quantile_frame
 from cohortframe.params import ALL, Params, empty_params, long_params
 
 STAGE = "scale"
@@ -31,19 +32,21 @@ def fit_scale(df: DataFrame, features: list[str] | None = None, method: str = "s
     feats = numeric_columns(df, exclude=exclude) if features is None else present(df, features)
     if method == "none" or not feats:
         return empty_params(df.sparkSession)
+    quartiles = [0.25, 0.5, 0.75]
+    x = {c: nan_to_null(F.col(c).cast("double")) for c in feats}
+    if method == "standard":
+        one = df.agg(*[F.struct(F.avg(x[c]).alias("c"), F.stddev_pop(x[c]).alias("s")).alias(f"p{i}") for i, c in enumerate(feats)])
+    else:
+        q = (df.agg(*[F.percentile_approx(x[c], quartiles, 10000).alias(f"q{i}") for i, c in enumerate(feats)]) if approx
+             else quantile_frame(df, {f"q{i}": (x[c], quartiles) for i, c in enumerate(feats)}))
+        one = q.select(*[F.struct(F.col(f"q{i}")[1].alias("c"), (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]).alias("s")).alias(f"p{i}") for i in range(len(feats))])
     aggs, specs = [], []
     for i, c in enumerate(feats):
-        x = nan_to_null(F.col(c).cast("double"))
-        if method == "standard":
-            center, spread = F.avg(x), F.stddev_pop(x)
-        else:
-            qs = (F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000) if approx
-                  else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-            center, spread = qs[1], qs[2] - qs[0]
+        center, spread = F.col(f"p{i}.c"), F.col(f"p{i}.s")
         aggs += [center.cast("double").alias(f"c{i}"),
                  F.when(spread == 0, F.lit(1.0)).otherwise(spread).cast("double").alias(f"s{i}")]
         specs += [(f"c{i}", c, ALL, "center", False), (f"s{i}", c, ALL, "scale", False)]
-    return long_params(df.agg(*aggs), STAGE, specs)
+    return long_params(one.select(*aggs), STAGE, specs)
 
 
 def apply_scale(df: DataFrame, params: DataFrame | Params | None, method: str = "standard") -> DataFrame:

@@ -12,7 +12,8 @@ reads the checkpoint, not the raw scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortframe.functions.columns import numeric_columns
 from cohortframe.operators import clean, encode, evaluate, features, impute, models, resample, scale
+from cohortframe.operators.boosting import Boosted, with_margins
 from cohortframe.operators.rank import split_stratified
 from cohortframe.params import Params
 from cohortframe.schema import DEFAULT_COLUMNS, Columns
@@ -35,6 +37,12 @@ class Prepared:
     features: list
     params: dict = field(default_factory=dict)
     options: dict = field(default_factory=dict)
+    cal: DataFrame | None = None
+
+    @property
+    def judges(self) -> DataFrame:
+        """Rows that stop training and tune thresholds: the calibration rows if there are any, else the validation rows."""
+        return self.val if self.cal is None else self.cal
 
 
 def _cleaned(df: DataFrame, cols: Columns) -> DataFrame:
@@ -52,10 +60,11 @@ def _built(df: DataFrame, p: dict, cols: Columns, feature_set: str) -> DataFrame
 def prepare(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, encoding: str = "label",
             scaling: str = "standard", val_size: float = 0.2, seed: int = 55,
             feature_set: str = "current", checkpoint: bool = True, sparse: float | None = 0.5,
-            smote: bool = True) -> Prepared:
+            smote: bool = True, calibration: float | None = None) -> Prepared:
     """Rows missing at least ``sparse`` of their values go; the rest is split
     first, then every statistic is fitted on the training rows only, and
-    last the training rows are oversampled (``smote``)."""
+    last the training rows are oversampled (``smote``).  With ``calibration`` this share of the validation
+    rows (stratified) is set apart to stop training and tune thresholds, so that the rest is judged only."""
     if sparse is not None:
         df = clean.drop_sparse_rows(df, sparse)
     sp = split_stratified(_cleaned(df, cols), cols.id, cols.label, val_size, seed)
@@ -88,11 +97,25 @@ def prepare(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, encoding: str = "lab
     train, val = train.fillna(0.0, subset=feats).select(keep), val.fillna(0.0, subset=feats).select(keep)
     if checkpoint:
         train, val = cut_lineage(train), cut_lineage(val)
-    if smote:
-        train = resample.smote(train, feats, cols.label, cols.id).select(keep)
-        if checkpoint:
-            train = cut_lineage(train)
-    return Prepared(train, val, feats, p, {"encoding": encoding, "scaling": scaling, "feature_set": feature_set})
+    cal = None
+    if calibration:
+        val = split_stratified(val, cols.id, cols.label, calibration, seed + 1)
+        val = cut_lineage(val) if checkpoint else val
+        val, cal = (val.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
+    prep = Prepared(train, val, feats, p, {"encoding": encoding, "scaling": scaling, "feature_set": feature_set}, cal)
+    return oversampled(prep, cols, checkpoint) if smote else prep
+
+
+def oversampled(prep: Prepared, cols: Columns = DEFAULT_COLUMNS, checkpoint: bool = True) -> Prepared:
+    """The same preparation with its training rows oversampled."""
+    train = resample.smote(prep.train, prep.features, cols.label, cols.id).select(cols.id, cols.label, *prep.features)
+    return replace(prep, train=cut_lineage(train) if checkpoint else train)
+
+
+def fold_oversampler(prep: Prepared, cols: Columns = DEFAULT_COLUMNS):
+    """Oversampling to hand to cross-validation and search, which call it on the training part of each fold: no made row
+    has a parent in the fold that judges it."""
+    return lambda part: resample.smote(part, prep.features, cols.label, cols.id)
 
 
 def apply_prepared(df: DataFrame, prep: Prepared, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -112,19 +135,27 @@ def apply_prepared(df: DataFrame, prep: Prepared, cols: Columns = DEFAULT_COLUMN
 
 
 def train_all(prep: Prepared, kinds=models.MODELS, label: str = "label", **override) -> dict:
-    """``override`` replaces settings of the boosted members."""
+    """The boosted members train side by side and keep their losses on the validation rows; ``override`` replaces their settings."""
+    wanted = {k: replace(models.BOOSTED[k], **override) for k in kinds if k in models.BOOSTED}
     n = prep.train.count()
-    return {k: models.fit_model(prep.train, prep.features, k, label, n_rows=n, **(override if k in ENSEMBLE else {})) for k in kinds}
+    out = {k: models.fit_model(prep.train, prep.features, k, label, n_rows=n) for k in kinds if k not in wanted}
+    if wanted:
+        out |= models.fit_boosted(prep.train, prep.features, wanted, label, prep.judges)
+    return {k: out[k] for k in kinds}
 
 
 def score_wide(fitted: dict, frame: DataFrame, keep: list[str], ensemble=ENSEMBLE) -> DataFrame:
     """A probability column ``p_<model>`` for each model, all on one frame,
     and ``p_ensemble``, the mean of the boosted members: one scan, no shuffle."""
-    first = next(iter(fitted.values()))
-    out = first.stages[0].transform(frame)
-    for name, m in fitted.items():
+    boosted = {n: m for n, m in fitted.items() if isinstance(m, Boosted)}
+    plain = {n: m for n, m in fitted.items() if n not in boosted}
+    out = next(iter(plain.values())).stages[0].transform(frame) if plain else frame
+    for name, m in plain.items():
         est = m.stages[-1].copy().setProbabilityCol(f"_v_{name}").setPredictionCol("").setRawPredictionCol(f"_r_{name}")
         out = est.transform(out).withColumn(f"p_{name}", vector_to_array(F.col(f"_v_{name}"))[1])
+    if boosted:
+        out = with_margins(out, {f"_m_{n}": m for n, m in boosted.items()}, [*keep, *(f"p_{n}" for n in plain)])
+        out = out.withColumns({f"p_{n}": models.probability(F.col(f"_m_{n}")) for n in boosted})
     members = [F.col(f"p_{e}") for e in ensemble if e in fitted]
     cols = [f"p_{n}" for n in fitted]
     if members:
@@ -137,17 +168,17 @@ def score_long(fitted: dict, prep: Prepared, id_col: str = "id", label: str = "l
     """(id, label, model, dataset, score) for every model, the ensemble and
     split: each frame is scored once and unpivoted."""
     parts = []
-    for ds, frame in (("Train", prep.train), ("Validation", prep.val)):
+    for ds, frame in (("Train", prep.train), ("Validation", prep.val), *([("Calibration", prep.cal)] if prep.cal is not None else [])):
         wide = score_wide(fitted, frame, [id_col, label], ensemble)
         names = [c.removeprefix("p_") for c in wide.columns if c.startswith("p_")]
         parts.append(wide.select(id_col, label, F.lit(ds).alias("dataset"), F.inline(F.array(*[
             F.struct(F.lit(n).alias("model"), F.col(f"p_{n}").alias("score")) for n in names]))))
-    return parts[0].unionByName(parts[1]).select(id_col, label, "model", "dataset", "score")
+    return reduce(DataFrame.unionByName, parts).select(id_col, label, "model", "dataset", "score")
 
 
-def tune(long: DataFrame, label: str = "label") -> DataFrame:
-    """J15 on trained models: the best F1 threshold of each on the validation rows."""
-    val = long.filter("dataset = 'Validation'")
+def tune(long: DataFrame, label: str = "label", on: str = "Validation") -> DataFrame:
+    """J15 on trained models: the best F1 threshold of each on the validation (or calibration) rows."""
+    val = long.filter(F.col("dataset") == on)
     return evaluate.best_threshold(evaluate.threshold_sweep(val, ["model"], label, "score"), ["model"])
 
 
@@ -170,4 +201,4 @@ def pipeline_metrics(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, kinds=model
     # read the same table instead of re-scoring every model
     long = cut_lineage(score_long(fitted, prep, cols.id, cols.label))
     out = evaluate.evaluate_all(long, ["model", "dataset"], cols.label, "score").drop("tn", "fp", "fn", "tp")
-    return out.join(tune(long, cols.label).select("model", "best_threshold"), "model")
+    return out.join(tune(long, cols.label, "Validation" if prep.cal is None else "Calibration").select("model", "best_threshold"), "model")

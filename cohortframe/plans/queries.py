@@ -649,8 +649,9 @@ def q_validate_output(spark, sf_dir):
 # --------------------------------------------------------------- I models
 
 # The registered queries train with the library's defaults, which are the full
-# settings; a boosting round is several Spark jobs.  README, "Open items".
+# settings.
 _SHARED: dict = {}
+BOOSTERS = ("gbt_a", "gbt_b", "gbt_c")
 
 
 def _shared(spark, sf_dir, what, make):
@@ -661,18 +662,33 @@ def _shared(spark, sf_dir, what, make):
     return _SHARED[key]
 
 
-def _prepared(spark, sf_dir):
+def _plain(spark, sf_dir):
+    """Prepared without oversampling, for what folds the training rows."""
     from cohortframe.plans.pipeline import prepare
-    return _shared(spark, sf_dir, "prepared", lambda: prepare(fx.cohort(spark, sf_dir)))
+    return _shared(spark, sf_dir, "plain", lambda: prepare(fx.cohort(spark, sf_dir), smote=False))
+
+
+def _prepared(spark, sf_dir):
+    from cohortframe.plans.pipeline import oversampled
+    return _shared(spark, sf_dir, "prepared", lambda: oversampled(_plain(spark, sf_dir)))
+
+
+def _boosted(spark, sf_dir):
+    """The three boosters, trained side by side; their histories have validation losses."""
+    from cohortframe.operators.models import BOOSTED, fit_boosted
+    prep = _prepared(spark, sf_dir)
+    return _shared(spark, sf_dir, "boosted", lambda: fit_boosted(prep.train, prep.features, {k: BOOSTED[k] for k in BOOSTERS}, C.label, prep.val))
 
 
 def _model(spark, sf_dir, kind):
     from cohortframe.operators.models import fit_model
+    if kind in BOOSTERS:
+        return _boosted(spark, sf_dir)[kind]
     prep = _prepared(spark, sf_dir)
     return _shared(spark, sf_dir, kind, lambda: fit_model(prep.train, prep.features, kind, C.label))
 
 
-def _models(spark, sf_dir, kinds=("logistic", "forest", "gbt_a", "gbt_b", "gbt_c")):
+def _models(spark, sf_dir, kinds=("logistic", "forest", *BOOSTERS)):
     return {k: _model(spark, sf_dir, k) for k in kinds}
 
 
@@ -684,7 +700,7 @@ def _model_query(kind):
     return run
 
 
-for _k in ("logistic", "forest", "gbt_a", "gbt_b", "gbt_c"):
+for _k in ("logistic", "forest", *BOOSTERS):
     query(f"model_{_k}")(_model_query(_k))
 
 
@@ -717,6 +733,36 @@ def q_predict_new_rows_count(spark, sf_dir):
                  F.count_if(F.col("prediction").isin(0, 1)).alias("labelled"))
 
 
+@query("stream_predict")
+def q_stream_predict(spark, sf_dir):
+    """New raw rows arriving as files, scored by a stream with the whole fitted pipeline: rows, and how many differ from the batch."""
+    import uuid
+    from cohortframe.plans.pipeline import predict, score_long, tune
+    from cohortframe.session import scratch_path
+    from cohortframe.streaming.scoring import score_stream
+    prep, fitted = _prepared(spark, sf_dir), _models(spark, sf_dir, BOOSTERS)
+    thresholds = tune(score_long(fitted, prep, C.id, C.label), C.label)
+    raw = fx.cohort(spark, sf_dir).drop(C.label)
+    name = f"predict-{uuid.uuid4().hex}"
+    source, sink = scratch_path(spark, f"{name}-in"), scratch_path(spark, f"{name}-out")
+    raw.repartition(4).write.parquet(source)
+    stream = score_stream(spark, source, raw.schema, lambda rows: predict(rows, prep, fitted, thresholds), sink, name=name)
+    stream.awaitTermination()
+    found = spark.read.parquet(sink).select(C.id, F.col("score").alias("stream_score"), F.col("prediction").alias("stream_prediction"))
+    batch = predict(raw, prep, fitted, thresholds)
+    j = batch.join(found, C.id, "full_outer")
+    same = F.col("prediction").eqNullSafe(F.col("stream_prediction")) & F.col("score").eqNullSafe(F.col("stream_score"))
+    return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(~same).alias("unequal"))
+
+
+@query("metrics_calibrated")
+def q_metrics_calibrated(spark, sf_dir):
+    """I18 with a calibration split: training stops and thresholds are tuned on rows that no figure of the validation rows is taken from."""
+    from cohortframe.plans.pipeline import pipeline_metrics, prepare
+    prep = prepare(fx.cohort(spark, sf_dir), smote=False, calibration=0.5)
+    return pipeline_metrics(fx.cohort(spark, sf_dir), kinds=BOOSTERS, prep=prep, patience=50)
+
+
 @query("thr_models")
 def q_thr_models(spark, sf_dir):
     """J15/I15 on the trained models: tuned threshold of each model and of the ensemble."""
@@ -726,48 +772,57 @@ def q_thr_models(spark, sf_dir):
 
 @query("train_early_stop")
 def q_train_early_stop(spark, sf_dir):
-    """Patience rule on per-round validation loss, refit at the best round."""
+    """Patience rule on per-round validation loss; the model is cut at the best round."""
     from cohortframe.operators.models import history_frame, train_early_stop
     prep = _prepared(spark, sf_dir)
     model, hist, best = train_early_stop(prep.train, prep.val, prep.features, "gbt_a", C.label)
     h = history_frame(spark, hist, "gbt_a")
-    return h.withColumn("best_iteration", F.lit(best)).withColumn(
-        "refit_rounds", F.lit(model.stages[-1].getNumTrees))
+    return h.withColumn("best_iteration", F.lit(best)).withColumn("kept_rounds", F.lit(len(model.trees)))
 
 
 @query("train_history")
 def q_train_history(spark, sf_dir):
-    """Per-round losses of a booster plus single-point train/val
+    """Per-round losses of the boosters plus single-point train/val
     log-loss rows of the logistic and forest models, and the summary."""
-    from cohortframe.operators.models import gbt_history, history_frame, history_summary, logloss
+    from cohortframe.operators.models import history_frame, history_summary, logloss
     prep = _prepared(spark, sf_dir)
-    hist = history_frame(spark, gbt_history(_model(spark, sf_dir, "gbt_b"), prep.train, prep.val), "gbt_b")
+    hist = None
+    for k, m in _boosted(spark, sf_dir).items():
+        h = history_frame(spark, m.history, k)
+        hist = h if hist is None else hist.unionByName(h)
     rows = [(k, 1, logloss(m, prep.train), logloss(m, prep.val)) for k, m in _models(spark, sf_dir, ("logistic", "forest")).items()]
     allh = hist.unionByName(spark.createDataFrame(rows, hist.schema))
     return allh.join(history_summary(allh), "model")
 
 
+def _folded(spark, sf_dir):
+    """Training rows in five stratified folds, and the oversampling of each fold's training part."""
+    from cohortframe.operators.rank import assign_folds
+    from cohortframe.plans.pipeline import fold_oversampler
+    prep = _plain(spark, sf_dir)
+    return assign_folds(prep.train, C.id, 5, 55, C.label), prep.features, fold_oversampler(prep)
+
+
 @query("cv_scores")
 def q_cv_scores(spark, sf_dir):
-    """Stratified 5-fold CV, mean +- 2 std of positive-class F1."""
-    from cohortframe.operators.models import cross_validate
-    from cohortframe.operators.rank import assign_folds
-    prep = _prepared(spark, sf_dir)
-    folded = assign_folds(prep.train, C.id, 5, 55, C.label)
-    cvm, _ = cross_validate(folded, prep.features, "gbt_c", "fold", C.label, "f1")
-    mean, std = float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0])
-    return spark.createDataFrame([("gbt_c", mean, std, mean - 2 * std, mean + 2 * std)],
-                                 "model string, mean_f1 double, std_f1 double, lo double, hi double")
+    """Stratified 5-fold CV, mean +- 2 std of positive-class F1; oversampled inside the folds."""
+    from cohortframe.operators.models import cross_validate, mean_and_range
+    folded, features, oversample = _folded(spark, sf_dir)
+    out = mean_and_range(cross_validate(folded, features, "gbt_c", "fold", C.label, oversample=oversample))
+    return spark.createDataFrame([("gbt_c", *out)], "model string, mean_f1 double, std_f1 double, lo double, hi double")
 
 
-@query("search_params")
-def q_search_params(spark, sf_dir):
-    """Seeded random search over the booster's ranges, scored by CV F1."""
-    from cohortframe.operators.models import search_params
-    from cohortframe.operators.rank import assign_folds
-    prep = _prepared(spark, sf_dir)
-    folded = assign_folds(prep.train, C.id, 5, 55, C.label)
-    return search_params(folded, prep.features, "gbt_c", label=C.label)
+def _search_query(kind):
+    def run(spark, sf_dir):
+        from cohortframe.operators.models import search_params
+        folded, features, oversample = _folded(spark, sf_dir)
+        return search_params(folded, features, kind, label=C.label, oversample=oversample)
+    run.__doc__ = f"I10: Parzen search over all of {kind}'s ranges, scored by CV F1, oversampled inside the folds."
+    return run
+
+
+for _name, _k in (("search_params", "gbt_c"), ("search_params_a", "gbt_a"), ("search_params_b", "gbt_b")):
+    query(_name)(_search_query(_k))
 
 
 def _rates(spark, sf_dir):
@@ -981,13 +1036,44 @@ ATTR_ROWS = 2000
 
 @query("attr_shapley")
 def q_attr_shapley(spark, sf_dir):
-    """K1: sampled Shapley values of a booster on sampled validation rows
-    (D5), training means as background."""
-    from cohortframe.operators.attribute import mean_background, shapley_sampled
+    """K1: exact tree attributions of a booster on sampled validation rows."""
     from cohortframe.operators.rank import sample_exact
+    from cohortframe.operators.shapley import tree_attributions
     prep = _prepared(spark, sf_dir)
-    return shapley_sampled(_model(spark, sf_dir, "gbt_a"), sample_exact(prep.val, ATTR_ROWS), prep.features,
-                           mean_background(prep.train, prep.features))
+    return tree_attributions({"gbt_a": _model(spark, sf_dir, "gbt_a")}, sample_exact(prep.val, ATTR_ROWS), C.id).drop("model")
+
+
+@query("attr_shapley_sum")
+def q_attr_shapley_sum(spark, sf_dir):
+    """K1: of every validation row and booster, whether the attributions add up to the margin less the expected one."""
+    from cohortframe.operators.boosting import with_margins
+    from cohortframe.operators.shapley import expected_margin, tree_attributions
+    fitted = _boosted(spark, sf_dir)
+    val = _prepared(spark, sf_dir).val
+    sums = tree_attributions(fitted, val, C.id).groupBy(C.id, "model").agg(F.sum("phi").alias("total"))
+    margins = with_margins(val, fitted, [C.id])
+    long = margins.select(C.id, F.inline(F.array(*[F.struct(F.lit(k).alias("model"), (F.col(k) - F.lit(expected_margin(m))).alias("margin")) for k, m in fitted.items()])))
+    return long.join(sums, [C.id, "model"]).groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("margin") - F.col("total")) > 1e-6).alias("unequal"))
+
+
+#: Rows that the kernel attributions explain: each is scored some 100,000 times.
+KERNEL_ROWS = 10
+
+
+@query("attr_kernel")
+def q_attr_kernel(spark, sf_dir):
+    """K1: kernel attributions of the logistic model against 50 weighted centres, beside the exact linear ones from the centres' mean (K2)."""
+    from cohortframe.operators.attribute import background_summary, linear_attributions
+    from cohortframe.operators.models import margin
+    from cohortframe.operators.rank import sample_exact
+    from cohortframe.operators.shapley import kernel_attributions
+    prep, model = _prepared(spark, sf_dir), _model(spark, sf_dir, "logistic")
+    centres = background_summary(prep.train, prep.features, 50)
+    some = sample_exact(prep.val, KERNEL_ROWS)
+    mean = centres.agg(*[F.sum(F.col(f) * F.col("weight")).alias(f) for f in prep.features]).first().asDict()
+    phi = kernel_attributions(lambda df, keep: margin(model, df, keep), some, prep.features, centres, C.id)
+    exact = linear_attributions(model, some, prep.features, mean).withColumnRenamed("phi", "linear")
+    return phi.join(exact, [C.id, "feature"])
 
 
 @query("attr_background")
@@ -1001,22 +1087,21 @@ def q_attr_background(spark, sf_dir):
 @query("cohort_study")
 def q_cohort_study(spark, sf_dir):
     """K8: per cohort -- own split and fitted preparation (cohort column
-    dropped), three boosters, sampled attributions of all validation rows,
+    dropped), three boosters, exact attributions of all validation rows,
     importance averaged over the boosters."""
-    from cohortframe.operators.attribute import importance, mean_background, shapley_sampled
-    from cohortframe.operators.models import fit_model
+    from cohortframe.operators.attribute import importance
+    from cohortframe.operators.clean import cohort_filter
+    from cohortframe.operators.models import BOOSTED, fit_boosted
+    from cohortframe.operators.shapley import tree_attributions
     from cohortframe.plans.pipeline import prepare
     df = fx.cohort(spark, sf_dir)
     out = None
     for who in (C.student, C.professional):
-        prep = prepare(df.filter(F.col(C.cohort) == who), smote=False)
+        prep = prepare(cohort_filter(df, who, C), smote=False)
         feats = [f for f in prep.features if f != C.cohort]  # the cohort column is removed
-        mean = mean_background(prep.train, feats)
-        for kind in ("gbt_a", "gbt_b", "gbt_c"):
-            m = fit_model(prep.train, feats, kind)
-            phi = shapley_sampled(m, prep.val, feats, mean)
-            imp = importance(phi).withColumn("model", F.lit(kind)).withColumn(C.cohort, F.lit(who))
-            out = imp if out is None else out.unionByName(imp)
+        fitted = fit_boosted(prep.train, feats, {k: BOOSTED[k] for k in BOOSTERS}, C.label)
+        imp = importance(tree_attributions(fitted, prep.val, C.id), ["model"]).withColumn(C.cohort, F.lit(who))
+        out = imp if out is None else out.unionByName(imp)
     return out.groupBy(C.cohort, "feature").agg(F.avg("importance").alias("importance"))
 
 

@@ -220,22 +220,15 @@ def test_validator_counts_each_side(spark):
     assert not got["columns"] and not got["binary_labels"]
 
 
-def test_early_stopping_budget_and_search_space():
-    from cohortframe.operators.models import FULL, SEARCH_SPACE, best_round, draw_params, stop_round
-    assert {k: FULL[k]["maxIter"] for k in ("gbt_a", "gbt_b", "gbt_c")} == dict.fromkeys(("gbt_a", "gbt_b", "gbt_c"), 500)
-    losses = [1.0, 0.5, 0.6, 0.7, 0.8, 0.1]
-    assert best_round(losses, 3) == 2 and stop_round(losses, 3) == 5 and stop_round(losses, 5) is None
-    for kind, space in SEARCH_SPACE.items():
-        for d in draw_params(kind, 20):
-            assert set(d) == set(space) and all(lo <= float(d[k]) <= hi for k, (_, lo, hi) in space.items())
-
-
 def test_registered_queries_use_the_full_settings(monkeypatch):
     import inspect
     import types
-    from cohortframe.operators import attribute, models, rank
+    from cohortframe.operators import attribute, models, rank, search, shapley
     from cohortframe.plans import pipeline, queries
 
+    assert {k: s.rounds for k, s in models.BOOSTED.items()} == dict.fromkeys(("gbt_a", "gbt_b", "gbt_c"), 500)
+    assert search.TRIALS == 50 and models.PATIENCE == 50 and len(models.LEARNING_RATES) == 7
+
     class Asked(Exception):
         pass
 
@@ -251,45 +244,43 @@ def test_registered_queries_use_the_full_settings(monkeypatch):
 
     prep = types.SimpleNamespace(train=None, val="all rows", features=["a"])
     monkeypatch.setattr(queries, "_prepared", lambda *a: prep)
+    monkeypatch.setattr(queries, "_plain", lambda *a: prep)
     monkeypatch.setattr(queries, "_shared", lambda spark, sf_dir, what, make: make())
     monkeypatch.setattr(queries.fx, "cohort", lambda *a: types.SimpleNamespace(filter=lambda c: None))
     monkeypatch.setattr(queries, "F", types.SimpleNamespace(col=lambda c: c))
     monkeypatch.setattr(pipeline, "prepare", lambda *a, **k: prep)
-    cuts = {"maxIter", "maxDepth", "patience", "max_rounds", "rates", "n_trials", "override", "n_perm"}
+    cuts = {"rounds", "depth", "patience", "max_rounds", "rates", "n_trials", "override", "space"}
     q = queries.QUERIES
     for k in ("gbt_a", "gbt_b", "gbt_c"):
-        assert not cuts & set(asked(q[f"model_{k}"], models, "fit_model"))
+        assert asked(q[f"model_{k}"], models, "fit_boosted")["wanted"] == models.BOOSTED
     assert not cuts & set(asked(q["train_early_stop"], models, "train_early_stop"))
     assert not cuts & set(asked(q["search_learning_rate"], models, "rate_results"))
-    for name in ("cv_scores", "search_params"):
+    for name in ("cv_scores", "search_params", "search_params_a", "search_params_b"):
         assert asked(q[name], rank, "assign_folds")["k"] == 5
     monkeypatch.setattr(rank, "assign_folds", lambda *a: None)
-    monkeypatch.setattr(attribute, "mean_background", lambda *a: {})
     assert not cuts & set(asked(q["cv_scores"], models, "cross_validate"))
-    searched = asked(q["search_params"], models, "search_params")
-    assert not cuts & set(searched) and searched.get("n_folds", 5) == 5
+    for name, kind in (("search_params", "gbt_c"), ("search_params_a", "gbt_a"), ("search_params_b", "gbt_b")):
+        searched = asked(q[name], models, "search_params")
+        assert not cuts & set(searched) and searched["kind"] == kind and searched.get("n_folds", 5) == 5 and searched["oversample"]
     monkeypatch.setattr(queries, "_model", lambda *a: None)
     assert asked(q["attr_shapley"], rank, "sample_exact")["n"] == 2000
-    monkeypatch.setattr(rank, "sample_exact", lambda *a: None)
-    assert not cuts & set(asked(q["attr_shapley"], attribute, "shapley_sampled"))
-    assert not cuts & set(asked(q["cohort_study"], models, "fit_model"))
-    monkeypatch.setattr(models, "fit_model", lambda *a: None)
-    explained = asked(q["cohort_study"], attribute, "shapley_sampled")
-    assert not cuts & set(explained) and explained["df"] == "all rows"
+    monkeypatch.setattr("cohortframe.operators.clean.cohort_filter", lambda *a: None)
+    assert asked(q["cohort_study"], models, "fit_boosted")["wanted"] == models.BOOSTED
+    monkeypatch.setattr(models, "fit_boosted", lambda *a: None)
+    assert asked(q["cohort_study"], shapley, "tree_attributions")["df"] == "all rows"
 
 
 def test_a_failing_trial_keeps_the_others(spark, monkeypatch):
     from cohortframe.operators import models
-    calls = []
 
-    def cv(df, features, kind, *a, **d):
-        calls.append(d)
-        if len(calls) == 2:
+    def scores(table, features, tried, n_folds, grouped):
+        if any(s.depth == 7 for s in tried):
             raise RuntimeError("lost")
-        return type("M", (), {"avgMetrics": [0.7]})(), None
-    monkeypatch.setattr(models, "cross_validate", cv)
-    rows = models.search_params(spark.createDataFrame([(1.0, 0)], "label double, fold int"), [], "gbt_c", n_trials=3, parallelism=1).orderBy("trial").collect()
-    assert [r["mean_f1"] for r in rows] == [0.7, 0.0, 0.7] and "lost" in rows[1]["error"]
+        return [[0.7, 0.8] for _ in tried]
+    monkeypatch.setattr(models, "boosted_folds", lambda *a: None)
+    monkeypatch.setattr(models, "_fold_scores", scores)
+    rows = models.search_params(spark.range(1), [], "gbt_c", n_trials=12, space={"depth": ("int", 6, 8)}).collect()
+    assert {r["mean_f1"] for r in rows} == {0.75, 0.0} and all(("lost" in (r["error"] or "")) == (r["mean_f1"] == 0.0) == ('"depth": 7' in r["params"]) for r in rows)
 
 
 def test_metadata_guards_the_feature_set(spark, tmp_path):
@@ -318,3 +309,51 @@ def test_long_dictionaries_are_ranked_in_many_buckets(spark):
     assert distinct.select(encode._text_bucket(distinct).alias("b")).distinct().count() > 30
     out = encode.apply_label(df.limit(100), dic, ["city"])
     assert sorted(r["city"] for r in out.collect()) == sorted(int(r["id"]) for r in out.collect())
+
+
+def test_projection_forest_finds_most_neighbours(spark):
+    import numpy as np
+    from cohortframe.operators.resample import knn, knn_forest, recall
+    rng = np.random.default_rng(5)
+    n, d = 3000, 35
+    x = rng.normal(size=(n, 6)) @ rng.normal(size=(6, d)) + 0.1 * rng.normal(size=(n, d))  # few true dimensions among many columns
+    feats = [f"f{i}" for i in range(d)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["id", *feats]).cache()
+    exact = knn(df, df, feats, 5).cache()
+    found = knn_forest(df, df, feats, 5, leaf_rows=200)
+    assert recall(found, exact) >= 0.9
+    assert found.filter("id = nb_id").isEmpty() and found.groupBy("id").count().filter("count > 5").isEmpty()
+    # equal vectors, in blocks on both sides
+    same = spark.range(300).select("id", *[F.lit(1.0).alias(f) for f in feats[:3]])
+    got = {(r["id"], r["nb_id"]) for r in knn(same, same, feats[:3], 2, block_rows=40).collect()}
+    assert got == {(i, j) for i in range(300) for j in [j for j in (0, 1, 2) if j != i][:2]}
+
+
+def test_long_lists_of_invalid_values_are_joined(spark):
+    from cohortframe.operators.clean import blacklist_table
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c"), (5, "a")], "id long, p string")
+    bad = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "value string")
+    assert sorted((r["id"], r["p"]) for r in blacklist_table(df, "p", bad).collect()) == [(1, None), (2, "b"), (3, None), (4, None), (5, None)]
+    assert blacklist_table(df, "p", bad.limit(0)).filter("p is not null").count() == 4
+
+
+def test_encoder_selection(spark):
+    from cohortframe.operators import encode
+    rows = [(1, "x", "Less than 5 hours", 1), (2, "y", "7-8 hours", 0), (3, "x", None, 1), (4, None, "5-6 hours", 0)]
+    df = spark.createDataFrame(rows, "id long, profession string, sleep_duration string, label int")
+    out, params = encode.encode(df, None, "target")
+    assert {r["stage"] for r in params.select("stage").distinct().collect()} >= {"encode_target"} or params.filter("feature = 'profession'").count() > 0
+    by = {r["id"]: r for r in out.collect()}
+    assert by[1]["profession"] == by[3]["profession"] > by[2]["profession"]
+    again, _ = encode.encode(df.drop("label"), params, "target", fit=False)
+    assert {r["id"]: r["profession"] for r in again.collect()} == {i: r["profession"] for i, r in by.items()}
+    plain, _ = encode.encode(df.drop("label"), None, "target")  # no label to learn from: label encoding
+    assert {r["id"]: r["profession"] for r in plain.collect()}[1] != by[1]["profession"] or by[1]["profession"] in (0, 1)
+    with pytest.raises(ValueError):
+        encode.encode(df, None, "other")
+
+
+def test_cohort_filter(spark):
+    from cohortframe.operators.clean import cohort_filter
+    df = spark.createDataFrame([(1, "Student"), (2, "Working Professional"), (3, None)], "id long, cohort string")
+    assert [r["id"] for r in cohort_filter(df, "Student").collect()] == [1]
