@@ -42,12 +42,12 @@ _ALLOWED = {
     "sport": "football chess hiking cycling running sailing club team league tennis",
     "work": "software code linux data engineering design studio works tools open project group",
 }
-#: Made-up names, which say nothing: combined from syllables, so that an unknown name alone is no reason to block.
-_SYLLABLES = "an ba co der el fa gen hi in jo kal lor men no or pa qui ren sta tor un ver wen yl zo".split()
+#: Letters of made-up names, which say nothing: an unknown name alone is no reason to block.
+_FIRST, _VOWELS, _LAST = "bcdfghjklmnprstvwz", "aeiou", ["", "n", "r", "l", "s", "t"]
 _HOSTS = ("www.{}.com", "{}.net", "blog.{}.org", "m.{}.com", "{}.info", "shop.{}.co.uk")
 _PATHS = ("/", "/index.html", "/2024/05/an-article", "/page/12", "/products?id=7", "/about")
 #: Names made of each group of words, and made-up ones.
-NAMES, MADE_UP = 40, 200
+NAMES, MADE_UP = 40, 400
 
 
 def _names(groups: dict[str, str], seed: int) -> list[str]:
@@ -65,10 +65,11 @@ def _names(groups: dict[str, str], seed: int) -> list[str]:
 
 
 def labelled_urls(seed: int = 1) -> list[tuple[str, int]]:
-    """The training table: some 760 rows ``(url, 1 to block or 0 to allow)``, made by rule from the words above."""
+    """The training table: some 960 rows ``(url, 1 to block or 0 to allow)``, made by rule from the words above."""
     rng = random.Random(seed)
     names = [(n, 1) for n in _names(_BLOCKED, seed)] + [(n, 0) for n in _names(_ALLOWED, seed + 1)]
-    names += [("".join(rng.choice(_SYLLABLES) for _ in range(rng.randint(2, 4))), 0) for _ in range(MADE_UP)]
+    syllable = lambda: rng.choice(_FIRST) * (rng.random() < 0.8) + rng.choice(_VOWELS) + rng.choice(_LAST)
+    names += [("".join(syllable() for _ in range(rng.randint(2, 4))), 0) for _ in range(MADE_UP)]
     rows = [(f"https://{_HOSTS[rng.randrange(len(_HOSTS))].format(n)}{rng.choice(_PATHS)}", y) for n, y in names]
     return [*rows, ("", 0), ("/relative/path", 0)]
 
