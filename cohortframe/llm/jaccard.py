@@ -57,6 +57,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _ordered(h: np.ndarray) -> np.ndarray:
+    """Distinct values in order."""
+    h = np.sort(h)
+    return h[np.r_[True, h[1:] != h[:-1]]] if len(h) else h
+
+
 def gram_set(text: bytes | None, grams: int, of: dict) -> np.ndarray:
     """Sorted distinct hashes of the text's word n-grams; of fewer words, the whole sequence is the only one."""
     found, carry = [], np.empty(0, np.uint64)
@@ -67,12 +73,12 @@ def gram_set(text: bytes | None, grams: int, of: dict) -> np.ndarray:
             out = np.full(n, grams, np.uint64)
             for k in range(grams):
                 out = _mix(out * _B + h[k:k + n])
-            found.append(np.unique(out))
+            found.append(_ordered(out))
             carry = h[n:]
         else:
             carry = h
     if found:
-        return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+        return found[0] if len(found) == 1 else _ordered(np.concatenate(found))
     if not len(carry):
         return carry
     out = np.full(1, len(carry), np.uint64)
@@ -376,6 +382,21 @@ def forest(sets: list[np.ndarray], percent: int, asked: list[int] | None = None)
                 yield i, j
 
 
+def stars(n: int, links: Iterator[tuple[int, int]]) -> list[int]:
+    """For each of ``n`` members the least one of its component."""
+    head = list(range(n))
+
+    def find(i: int) -> int:
+        while head[i] != i:
+            head[i] = i = head[head[i]]
+        return i
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        head[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
 def _walk(percent: int, with_asked: bool):
     """Forests of the groups in rows ``(group, key, members[, asked])`` sorted by group and key."""
 
@@ -385,8 +406,9 @@ def _walk(percent: int, with_asked: bool):
         def links() -> pa.RecordBatch:
             keys = list(sets)
             asked = [i for i, k in enumerate(keys) if sets[k][1]] if with_asked else None
-            out = list(forest([sets[k][0] for k in keys], percent, asked)) if len(keys) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([keys[i] for i, _ in out], pa.binary()), pa.array([keys[j] for _, j in out], pa.binary())], ["u", "v"])
+            head = stars(len(keys), forest([sets[k][0] for k in keys], percent, asked))  # keys come sorted: the least one of each component
+            out = [i for i, h in enumerate(head) if h != i]
+            return pa.RecordBatch.from_arrays([pa.array([keys[i] for i in out], pa.binary()), pa.array([keys[head[i]] for i in out], pa.binary())], ["u", "v"])
 
         for b in batches:
             ends = b.column(2).offsets.to_numpy()
@@ -410,12 +432,22 @@ def _trees(rows: DataFrame, percent: int, with_asked: bool = False) -> DataFrame
     return dealt.mapInArrow(_walk(percent, with_asked), "u binary, v binary")
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether each vertex has one edge up, to a vertex that has none: then these are the components."""
+    if not edges.groupBy("u").count().filter("count > 1").isEmpty():
+        return False
+    return edges.select("u").join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
+
+
 def _roots(edges: DataFrame, name: str) -> DataFrame:
-    return stage_table(connected_components(edges, name).select(F.col("u").alias("key"), "root"), name + "-roots")
+    """``(key, root)`` for all vertices but the roots; edges that are stars already need no round."""
+    edges = stage_table(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), name)
+    found = edges if _settled(edges) else stage_table(connected_components(edges, name).select("u", F.col("root").alias("v")), name + "-roots")
+    return found.select(F.col("u").alias("key"), F.col("v").alias("root"))
 
 
 def links(docs: DataFrame, table: DataFrame, percent: int, grams: int, tree_sets: int = TREE_SETS, tree_members: int = TREE_MEMBERS) -> DataFrame:
-    """Edges ``(u, v)`` between set names that connect all linked sets of ``docs``; ``table`` holds their prefixes."""
+    """``(key, root)``: the component of each set of ``docs`` that has a link, but of the roots themselves; ``table`` holds the sets' prefixes."""
     of_key = table.filter("key is not null")
     name = F.xxhash64("key")
     member = of_key.select(F.explode("prefix").alias("member"), name.alias("name"))
@@ -431,25 +463,32 @@ def links(docs: DataFrame, table: DataFrame, percent: int, grams: int, tree_sets
     segments = sets.select(F.explode("segments").alias("segment"), "key")
     edges = segments.repartitionByRange("segment", "key").sortWithinPartitions("segment", "key").mapInArrow(_stars, "u binary, v binary")
     clusters = _roots(edges, "jaccard-clusters")
-    placed = sets.select("key", "n").distinct().join(clusters, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # a cluster's members are its edges' ends and its root; vertices that stand for segments have other names
+    inner = clusters.union(clusters.select(F.col("root").alias("key"), "root").distinct()).filter(F.octet_length("key") == 16)
+    placed = inner.join(sets.select(F.col("key").alias("of_key"), "n").distinct(), F.col("key") == F.col("of_key")).select("of_key", "root", "n")
     blocks = F.ceil(F.greatest(F.count("*") / tree_sets, F.sum("n") / tree_members)).cast("int")
-    sizes = placed.groupBy(F.col("root").alias("of_root")).agg(F.count("*").alias("sets"), blocks.alias("blocks")).filter("sets > 1")
-    placed = stage_table(placed.join(sizes, F.col("root") == F.col("of_root")).select(F.col("key").alias("of_key"), "root", "blocks"), "jaccard-placed")
+    large = stage_table(placed.groupBy(F.col("root").alias("of_root")).agg(blocks.alias("blocks")).filter("blocks > 1"), "jaccard-large")
+    few = large.count() <= BROADCAST_KEYS  # one in tree_sets of the sets at most
+    placed = placed.join(F.broadcast(large) if few else large, F.col("root") == F.col("of_root"), "left")
+    placed = stage_table(placed.select("of_key", "root", F.coalesce("blocks", F.lit(1)).alias("blocks")), "jaccard-placed")
     few = placed.count() <= BROADCAST_KEYS
     members = sets.join(F.broadcast(placed) if few else placed, F.col("key") == F.col("of_key")).select("key", "n", "members", "root", "blocks")
     block = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("blocks"))
     deals = F.when(F.col("blocks") > 1, F.array(block(1), block(2) + F.col("blocks"))).otherwise(F.array(F.lit(0).cast("long")))
     tree = F.concat("root", F.concat(F.lit(":"), F.col("deal").cast("string")).cast("binary"))
     found = stage_table(_trees(members.withColumn("deal", F.explode(deals)).withColumn("tree", tree), percent), "jaccard-links")
-    large = members.filter("blocks > 1")
-    if placed.filter("blocks > 1").isEmpty():
-        return found
-    return found.union(stage_table(_trees(_rest(large, found), percent, with_asked=True), "jaccard-rest"))
+    if large.isEmpty():
+        return _roots(found, "jaccard-components")
+    parts = _roots(found, "jaccard-parts")
+    rest = stage_table(_trees(_rest(members.filter("blocks > 1"), parts), percent, with_asked=True), "jaccard-rest")
+    if rest.isEmpty():
+        return parts
+    return _roots(parts.select(F.col("key").alias("u"), F.col("root").alias("v")).union(rest), "jaccard-components")
 
 
-def _rest(large: DataFrame, found: DataFrame) -> DataFrame:
+def _rest(large: DataFrame, parts: DataFrame) -> DataFrame:
     """For clusters in several trees: the sets outside the cluster's largest component so far, asked against each tree of the cluster."""
-    so_far = large.join(_roots(found, "jaccard-parts").withColumnRenamed("root", "part"), "key", "left").withColumn("part", F.coalesce("part", "key"))
+    so_far = large.join(parts.withColumnRenamed("root", "part"), "key", "left").withColumn("part", F.coalesce("part", "key"))
     part = so_far.groupBy("root", "part").agg(F.count("*").alias("sets"))
     most = part.groupBy(F.col("root").alias("m_root")).agg(F.max(F.struct("sets", "part")).alias("m"), F.sum("sets").alias("all"))
     open_ = stage_table(most.filter(F.col("m.sets") < F.col("all")).select("m_root", F.col("m.part").alias("m_part")), "jaccard-open")
@@ -477,7 +516,7 @@ def join(docs: DataFrame, grams: int = 4, percent: int = 85, id_col: str = "doc_
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     table = stage_table(prefixes(rows, grams, percent), "jaccard-prefixes")
-    roots = _roots(links(rows, table, percent, grams, tree_sets, tree_members), "jaccard-components")
+    roots = links(rows, table, percent, grams, tree_sets, tree_members)
     classes = table.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     classes = stage_table(classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "jaccard-named")
     groups = classes.groupBy("root").agg(F.min("least").alias("component_id"))
