@@ -349,3 +349,49 @@ def test_kernel_error_against_enumeration():
         assert phi.sum() == pytest.approx(v[-1] - v[0])
         errors.append(np.abs(phi - exact).max() / np.abs(exact).max())
     assert errors[-1] < 1e-9 and errors[1] < 0.1
+
+
+# ------------------------------------------------------------------ sums over tasks
+
+@pytest.mark.parametrize("whole", [1 << 20, 0])
+def test_sums_by_files_are_exact_and_leave_none_behind(tmp_path, whole):
+    from concurrent.futures import ThreadPoolExecutor
+    tasks, steps = 4, 6
+    parts = np.random.default_rng(3).integers(-1 << 40, 1 << 40, (steps, tasks, 1001)).astype(float)
+
+    def one(me):
+        add = B.ByFiles(str(tmp_path), me, tasks, whole, give_up=60)
+        return add, [add(parts[i, me]) for i in range(steps)]
+
+    with ThreadPoolExecutor(tasks) as pool:
+        done = list(pool.map(one, range(tasks)))
+    for _, sums in done:
+        assert all(np.array_equal(s, parts[i].sum(axis=0)) for i, s in enumerate(sums))
+    assert len(list(tmp_path.iterdir())) <= 2 * tasks
+    for add, _ in done:
+        add._forget(0)
+    assert not list(tmp_path.iterdir())
+    with pytest.raises(TimeoutError):
+        B.ByFiles(str(tmp_path), 0, 2, give_up=0.05)(parts[0, 0])
+
+
+def test_an_exchange_takes_no_second(frame):
+    import os
+    import time
+    from cohortframe.session import mounted, scratch_path
+    table = B.binned(frame, FEATURES, cuts := B.fit_bins(frame, FEATURES), fold_col="fold")
+    at = time.monotonic()
+    m = B.train(table, FEATURES, cuts, [B.Slot("a", B.Settings(rounds=30, depth=3), 0)], tasks=3)[0]
+    assert time.monotonic() - at < 60  # 121 exchanges
+    assert len(m.trees) == 30 and not os.listdir(mounted(scratch_path(frame.sparkSession, "sums")))
+
+
+def test_small_tables_train_apart_unless_dealing_them_saves_more():
+    assert B.apart(10_000, 33, 3, 12) and B.apart(500_000, 33, 24, 12)
+    assert not B.apart(500_000, 33, 3, 12) and not B.apart(5_000_000, 33, 24, 12)
+
+
+def test_only_paths_that_tasks_can_open_are_shared_as_files():
+    from cohortframe.session import mounted
+    assert mounted("/a/b c") == mounted("file:/a/b%20c") == mounted("file:///a/b%20c") == "/a/b c"
+    assert mounted("hdfs://n/a") is None and mounted("s3a://b/a") is None
