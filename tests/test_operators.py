@@ -3,6 +3,7 @@ and the invariants of section 5."""
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -357,3 +358,41 @@ def test_cohort_filter(spark):
     from cohortframe.operators.clean import cohort_filter
     df = spark.createDataFrame([(1, "Student"), (2, "Working Professional"), (3, None)], "id long, cohort string")
     assert [r["id"] for r in cohort_filter(df, "Student").collect()] == [1]
+
+
+def _nearest_by_trying(x, k):
+    out = set()
+    for i in range(len(x)):
+        d = np.round(np.sqrt(((x - x[i]) ** 2).sum(axis=1)), 9)
+        d[i] = np.inf
+        out |= {(i, int(j), r + 1) for r, j in enumerate(np.lexsort((np.arange(len(x)), d))[:k])}
+    return out
+
+
+@pytest.mark.parametrize("width, distinct", [(12, 10**6), (2, 6), (4, 50)])
+def test_neighbours_of_any_width_are_those_of_trying_all(spark, width, distinct):
+    from cohortframe.operators import resample as R
+    x = np.random.default_rng(width).integers(0, distinct, (600, width)).astype(float)
+    x[-1] = -9 * distinct  # stretches its cell
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"f{i} double" for i in range(width)))
+    found = R.knn(df, df, [f"f{i}" for i in range(width)], 3, cell_rows=40, block_rows=150).collect()
+    assert {(r["id"], r["nb_id"], r["nb_rank"]) for r in found} == _nearest_by_trying(x, 3) and len(found) == 1800
+
+
+def test_a_row_is_sent_to_packs_where_bounds_leave_all_cells():
+    from cohortframe.operators import resample as R
+    pack = R._packs(np.array([5, 0, 4, 3, 20, 1, 9]), 10)
+    assert pack.tolist() == [0, 0, 0, 1, 2, 3, 3]
+    assert R._packs(np.full(100, 2000), R.BLOCK_ROWS)[-1] == 24
+
+
+def test_copies_of_equal_rows_cost_no_loop_over_rows():
+    import time
+    from cohortframe.operators import resample as R
+    x = np.random.default_rng(0).normal(size=(8000, 8))
+    ids = np.arange(8000)
+    at = time.monotonic()
+    found = R._nearest(ids, x, ids, x, 5, True)
+    assert len(found) == 40_000 and time.monotonic() - at < 30
+    twice = R._nearest(np.array([1, 2]), np.zeros((2, 3)), np.array([2, 1, 7, 1]), np.zeros((4, 3)), 2, True)
+    assert list(zip(twice["id"], twice["nb_id"])) == [(1, 2), (1, 7), (2, 1), (2, 1)]
