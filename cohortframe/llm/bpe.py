@@ -3,7 +3,8 @@
 An Aho-Corasick automaton over the vocabulary gives the longest token that begins at each symbol of a
 word.  Two neighbouring tokens are compatible when merging the symbols of both by rank ends in just
 these two; a sequence of which all neighbours are compatible is the exact result of the merges.
-The encoder takes the longest match, steps to shorter tokens while it is incompatible with the
+Many words are the longest tokens one after the other, which one pass of the automaton gives.  For the rest
+the encoder takes the longest match, steps to shorter tokens while it is incompatible with the
 token before it, and steps back where no token fits; places that led nowhere are marked, so each is
 left for good once and the time is linear in the word.  Compatibility is kept in a table filled as pairs occur.
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -31,6 +33,9 @@ from cohortframe.llm.util import sliced
 #: Fixed values of the vocabulary's format: the mark of a word's last token, and the split pattern.
 END = "</w>"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+#: The same for texts in Latin-1, which normalizing leaves as they are: its letters, numbers and white space listed.
+_LATIN = {k: "".join(re.escape(c) for c in map(chr, range(256)) if regex.match(rf"\p{{{k}}}", c)) for k in ("L", "N", "White_Space")}
+LATIN_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN['L']}]+|[{_LATIN['N']}]|[^{''.join(_LATIN.values())}]+"
 #: The same where a text has letters or numbers of Unicode 17, which the format (Unicode 16) takes for signs.
 NEWER = ("\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c\uab6d\U000107bb-\U000107bf"
          "\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011df1\U00016ea0-\U00016eb8"
@@ -42,12 +47,10 @@ NEWER_PIECES = rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{NEWER}]]+|[\p{{N}}--[
 #: Lower case of letters that came with Unicode 16 and 17, later than str.lower() knows; and no final sigma.
 LOWER = {0x3A3: 0x3C3, 0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
 LOWER |= {c: c + 1 for c in (0xA7CE, 0xA7D2, 0xA7D4)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}  # Unicode 17
-#: str.split() also parts at these four, which the pattern takes for signs.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: Set on the last symbol of a word, so that one character holds symbol and mark.
 LAST = 0xE000
-#: Entries of the newer half of a table of words or pairs; bounds a worker's memory.
-TABLE = 100_000
+#: Entries of the newer half of a table of words or pairs; bounds a worker's memory.  Longer pieces are not kept.
+TABLE, KEPT = 150_000, 64
 #: Tokens decoded at once.
 TOKENS = 1 << 18
 
@@ -69,13 +72,15 @@ def _key(token: str) -> str:
 
 class _Table(dict):
     """Values made on demand.  At ``TABLE`` entries they become the older half, and the half before them goes;
-    what is asked for again comes back from the older half, so frequent words stay."""
+    what is asked for again comes back from the older half, so frequent words stay.  Keys of ``KEPT`` and more letters are not stored."""
 
     def __init__(self, make):
         super().__init__()
         self.make, self.old = make, {}
 
     def __missing__(self, key):
+        if isinstance(key, str) and len(key) >= KEPT:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
@@ -108,13 +113,19 @@ class Tokenizer:
         self.automaton = ahocorasick.Automaton()
         for key in self.ids:
             if self.merged(key) == [key]:  # a token that its own merges do not reach never appears
-                self.automaton.add_word(key, key)
+                self.automaton.add_word(key, len(self.automaton))
         self.automaton.make_automaton()
+        self.number = dict(self.automaton.items())
+        self.tokens = sorted(self.number, key=self.number.get)
+        self.id_of = [self.ids[t] for t in self.tokens]
+        self.sizes = [len(t) for t in self.tokens]
         #: The longest token that begins a token and is shorter; None after a single symbol.
-        self.shorter = {t: next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in self.automaton), None) for t in self.automaton}
-        self.fits = _Table(lambda pair: self.compatible(*pair))
-        self.chunks, self.words = _Table(self._chunk), _Table(self._word)
+        self.shorter = [next((self.number[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.number), None) for t in self.tokens]
+        count = len(self.tokens)
+        self.fits = _Table(lambda pair: self.compatible(self.tokens[pair // count], self.tokens[pair % count]))
+        self.words = _Table(self._word)
         self.special_split = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
+        self.latin_pieces, self.lower = re.compile(LATIN_PIECES), frozenset(map(chr, LOWER))
         self.pieces, self.newer, self.newer_pieces = regex.compile(PIECES), regex.compile(f"[{NEWER}]"), regex.compile(NEWER_PIECES)
         texts = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         ids = range(max(texts) + 1)
@@ -154,51 +165,61 @@ class Tokenizer:
             else:
                 used_b, b = made_b, self.split[b][0]
 
-    def encode_symbols(self, symbols: str) -> list[str]:
-        """Tokens of one word given as symbols."""
-        size = len(symbols)
-        longest: list[str | None] = [None] * size
+    def encode_symbols(self, symbols: str) -> list[int]:
+        """Numbers (places in ``tokens``) of the tokens of one word given as symbols."""
+        fits, shorter, sizes, count, size = self.fits, self.shorter, self.sizes, len(self.tokens), len(symbols)
+        # most words are the longest tokens one after the other
+        out = [token for _, token in self.automaton.iter_long(symbols)]
+        last = -1
+        for token in out:
+            if last >= 0 and not fits[last * count + token]:
+                break
+            last = token
+        else:
+            if sum([sizes[token] for token in out]) == size:
+                return out
+        longest: list[int | None] = [None] * size
         for end, token in self.automaton.iter(symbols):  # by ascending end: the last one from a place is the longest
-            longest[end + 1 - len(token)] = token
-        fits, shorter = self.fits, self.shorter
-        out: list[str] = []
+            longest[end + 1 - sizes[token]] = token
+        out = []
         dead: set[int] = set()  # places from which no token led on
         at, token = 0, longest[0]
         while at < size:
             if out:
-                last = out[-1]
-                while token is not None and not (fits[last, token] and at + len(token) not in dead):
+                last = out[-1] * count
+                while token is not None and not (fits[last + token] and at + sizes[token] not in dead):
                     token = shorter[token]
             else:
-                while token is not None and at + len(token) in dead:
+                while token is not None and at + sizes[token] in dead:
                     token = shorter[token]
             if token is not None:
                 out.append(token)
-                at += len(token)
+                at += sizes[token]
                 if at < size:
                     token = longest[at]
             elif out:
                 dead.add(at)
                 token = out.pop()
-                at -= len(token)
+                at -= sizes[token]
             else:
                 raise ValueError(f"no token fits {symbols!r}")
         return out
 
-    def _word(self, piece: str) -> list[int]:
+    def _word(self, piece: str) -> bytes:
         """Ids of one piece of the split."""
-        symbols = piece.encode().decode("latin-1").translate(self.byte_table)
-        return [self.ids[t] for t in self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + LAST))]
-
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a text without white space."""
-        pieces, text = self.pieces, chunk.lower()
-        if not chunk.isascii():
-            text = unicodedata.normalize("NFC", chunk).translate(LOWER).lower()
-            if self.newer.search(text):
-                pieces = self.newer_pieces
-        found = pieces.findall(text)
-        return struct.pack(f"<{len(ids)}i", *ids) if (ids := [i for p in found for i in (self.words[p] if len(p) < 64 else self._word(p))]) else b""
+        symbols = piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_table)
+        ids = [self.id_of[t] for t in self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + LAST))]
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def _pieces(self, text: str) -> list[str]:
+        """Normalized pieces of a text without special tokens."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            text = unicodedata.normalize("NFC", text)
+            text = (text if self.lower.isdisjoint(set(text)) else text.translate(LOWER)).lower()
+            return (self.newer_pieces if self.newer.search("".join(set(text))) else self.pieces).findall(text)
+        return self.latin_pieces.findall(text.lower())
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text; null is an empty one."""
@@ -206,10 +227,8 @@ class Tokenizer:
         for k, part in enumerate(self.special_split.split(text or "") if self.special_split else [text or ""]):
             if k % 2:
                 ids.append(np.array([self.special[part]], "<i4").tobytes())
-            elif any(c in part for c in SEPARATORS):
-                ids.extend(map(self._chunk, regex.split(r"\p{White_Space}+", part)))
             else:
-                ids.extend(map(self.chunks.__getitem__, part.split()))
+                ids.extend(map(self.words.__getitem__, self._pieces(part)))
         return np.frombuffer(b"".join(ids), "<i4")
 
     # -- decoding

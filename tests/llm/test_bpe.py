@@ -60,6 +60,21 @@ def test_small_tables_change_nothing(both, monkeypatch):
         same(both, t)
 
 
+def test_latin_texts(both):
+    for c in map(chr, range(256)):
+        same(both, f"Ab{c}cd {c}{c} É{c} 1{c}2")
+        same(both, f"Ab{c}cd {c}\u0301 {c}\u4e2d")
+
+
+def test_words_are_kept_without_the_signs_beside_them(monkeypatch):
+    own = B.Tokenizer(PATH)
+    signs = ".,;:!?"
+    own.encode(" ".join(f"{a}{b}word{c}" for a in signs for b in signs for c in signs) + " " + "x" * 5000)
+    tables = [t for t in vars(own).values() if isinstance(t, B._Table)]
+    words = [k for t in tables for k in t if isinstance(k, str)]
+    assert sum("word" in k for k in words) == 1 and max(map(len, words)) < 64
+
+
 def test_query_rows(make, both, spark):
     rows = [(1, "Hello, World"), (2, None), (3, ""), (4, "Hello, World"), (4, "Hello, World"), (None, "x"), (5, "word " * 30_000)]
     got = B.round_trip(clashing(make(rows)), PATH, keep_ids=True).collect()
