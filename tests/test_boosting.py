@@ -395,3 +395,24 @@ def test_only_paths_that_tasks_can_open_are_shared_as_files():
     from cohortframe.session import mounted
     assert mounted("/a/b c") == mounted("file:/a/b%20c") == mounted("file:///a/b%20c") == "/a/b c"
     assert mounted("hdfs://n/a") is None and mounted("s3a://b/a") is None
+
+
+@pytest.mark.parametrize("growth", ["level", "leaf", "symmetric"])
+@pytest.mark.parametrize("least_rows", [1, 5])
+def test_narrow_columns_are_counted_together(monkeypatch, growth, least_rows):
+    x, y = sample(n=20_000, d=4, seed=7)
+    x = np.hstack([x, np.random.default_rng(8).integers(0, 4, (20_000, 12)).astype(float)])
+    x[::7, 5] = np.nan
+    s = B.Settings(rounds=4, depth=5, growth=growth, least_rows=least_rows, column_share=0.7, row_share=0.8)
+    calls, counted = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a: calls.append(1) or counted(*a))
+    fast, g = grow(x, y, s, rounds=4)
+    together = len(calls)
+    assert len(g.bundles) < 9 and sorted(c for b in g.bundles for c in b.columns) == list(range(16))
+    calls.clear()
+    monkeypatch.setattr(B, "CELLS", 1)
+    plain, _ = grow(x, y, s, rounds=4)
+    assert together < len(calls) * 0.8
+    assert fast.history == plain.history
+    for a, b in zip(fast.trees, plain.trees):
+        assert all(np.array_equal(a[k], b[k]) for k in a)
