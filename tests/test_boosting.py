@@ -375,6 +375,36 @@ def test_sums_by_files_are_exact_and_leave_none_behind(tmp_path, whole):
         B.ByFiles(str(tmp_path), 0, 2, give_up=0.05)(parts[0, 0])
 
 
+def test_a_stage_goes_on_from_the_margins_of_the_one_before(monkeypatch, tmp_path, frame):
+    import os
+    from cohortframe.session import mounted, scratch_path
+    x, y = sample()
+    s = B.Settings(rounds=6, depth=3, row_share=0.8, column_share=0.8)
+    whole, _ = grow(x, y, s, 6)
+    cuts = cuts_of(x)
+    data = {"row": np.arange(len(y)), "y": y, "fold": np.zeros(len(y), int), "grp": np.full(len(y), -1), "bins": B._bins(list(x.T), cuts), "views": {}}
+    make = lambda state: B.Grower(B.Slot("m", s), data, np.array([len(c) + 1 for c in cuts]), B.scale_bits(len(y)), state)
+    first = make({})
+    B.rounds([first], 1, 4, lambda a: a)
+    kept = B.Margins(str(tmp_path / "new"), "r", 0, data)
+    kept.save(0, 4, first.margin)
+    monkeypatch.setattr(B.Grower, "_walk", lambda *a: pytest.fail("replayed"))
+    second = make({"trees": first.trees})
+    B.rounds([second], 5, 6, lambda a: a, [kept.load(0, 4)])
+    assert [t["value"].tolist() for t in first.trees + second.trees] == [t["value"].tolist() for t in whole.trees]
+    other = B.Margins(kept.folder, "r", 0, {**data, "row": data["row"][::-1]})
+    assert other.load(0, 4) is None and kept.load(1, 4) is None and kept.load(0, 3) is None
+    kept.forget(0, 4)
+    kept.forget(0, 4)
+    assert not os.listdir(kept.folder)
+    cuts = B.fit_bins(frame, FEATURES)
+    table = B.binned(frame, FEATURES, cuts, fold_col="fold")
+    slots = [B.Slot("a", B.Settings(rounds=9, depth=2), 0), B.Slot("p", B.Settings(rounds=60, depth=2, rate=0.5, patience=2), 1)]
+    parts, once = (B.train(table, FEATURES, cuts, slots, tasks=3, segment=n) for n in (2, 60))
+    assert [(trees(m), m.history, m.base) for m in parts] == [(trees(m), m.history, m.base) for m in once]
+    assert not os.listdir(mounted(scratch_path(frame.sparkSession, "sums")))
+
+
 def test_an_exchange_takes_no_second(frame):
     import os
     import time
