@@ -396,3 +396,32 @@ def test_copies_of_equal_rows_cost_no_loop_over_rows():
     assert len(found) == 40_000 and time.monotonic() - at < 30
     twice = R._nearest(np.array([1, 2]), np.zeros((2, 3)), np.array([2, 1, 7, 1]), np.zeros((4, 3)), 2, True)
     assert list(zip(twice["id"], twice["nb_id"])) == [(1, 2), (1, 7), (2, 1), (2, 1)]
+
+
+def _students(spark, n=80):
+    return spark.range(n).selectExpr(
+        "id", "cast(id % 3 = 0 as int) as label", "if(id % 2 = 0, 'Student', 'Working Professional') as cohort", "cast(18 + id % 40 as double) as age",
+        "cast(id % 13 as double) as hours", "if(id % 2 = 0, 5 + id % 5, null) * 1.0D as cgpa", "if(id % 4 = 0, 'Yes', 'No') as suicidal")
+
+
+def test_preparation_runs_in_methods_that_the_jvm_compiles(spark, monkeypatch):
+    from cohortframe.params import Params
+    from cohortframe.plans import pipeline
+    from cohortframe.session import COMPILED_BYTES, METHOD_LIMIT
+    seen, cut, before = [], pipeline.cut_lineage, spark.conf.get(METHOD_LIMIT)
+    monkeypatch.setattr(pipeline, "cut_lineage", lambda df: (seen.append(int(spark.conf.get(METHOD_LIMIT))), cut(df))[1])
+    prep = pipeline.prepare(_students(spark), smote=False)
+    assert seen and max(seen) <= COMPILED_BYTES
+    assert spark.conf.get(METHOD_LIMIT) == before
+    # the scaler is collected once: applying it again does not scan the training rows
+    assert isinstance(prep.params["scale"], Params) and prep.params["scale"]
+
+
+def test_method_limit_returns_after_an_error(spark):
+    from cohortframe.session import COMPILED_BYTES, METHOD_LIMIT, compiled_methods
+    before = spark.conf.get(METHOD_LIMIT)
+    with pytest.raises(ValueError):
+        with compiled_methods(spark):
+            assert int(spark.conf.get(METHOD_LIMIT)) <= COMPILED_BYTES
+            raise ValueError
+    assert spark.conf.get(METHOD_LIMIT) == before
