@@ -425,3 +425,20 @@ def test_method_limit_returns_after_an_error(spark):
             assert int(spark.conf.get(METHOD_LIMIT)) <= COMPILED_BYTES
             raise ValueError
     assert spark.conf.get(METHOD_LIMIT) == before
+
+
+def test_new_rows_are_scored_by_more_tasks_than_read_them(spark, monkeypatch):
+    from cohortframe.plans import pipeline, queries
+    rows = _students(spark).coalesce(1)
+    prep = pipeline.prepare(rows, smote=False)
+    fitted = pipeline.train_all(prep, ("gbt_a",), rounds=2)
+    planned, predict = [], pipeline.predict
+    monkeypatch.setattr(queries, "_prepared", lambda *a: prep)
+    monkeypatch.setattr(queries, "_models", lambda *a: fitted)
+    monkeypatch.setattr(queries.fx, "cohort", lambda *a: rows)
+    monkeypatch.setattr(pipeline, "predict", lambda df, *a: (planned.append(df), predict(df, *a))[1])
+    got = {tuple(r) for r in queries.q_predict_new_rows(spark, "").collect()}
+    assert "Repartition" in planned[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(got) == 80 and {r[0] for r in got} == set(range(80))
+    long = pipeline.score_long(fitted, prep)
+    assert got == {(r["id"], r["prediction"]) for r in predict(rows.drop("label"), prep, fitted, pipeline.tune(long)).collect()}
