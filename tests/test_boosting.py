@@ -446,3 +446,43 @@ def test_narrow_columns_are_counted_together(monkeypatch, growth, least_rows):
     assert fast.history == plain.history
     for a, b in zip(fast.trees, plain.trees):
         assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_rows_are_dealt_to_nodes_in_parts(monkeypatch):
+    """A level at a time in parts of 64 rows that begin and end inside nodes; NULL's side, rows put aside, and sums by node."""
+    monkeypatch.setattr(B, "CHUNK_ROWS", 64)
+    rng = np.random.default_rng(11)
+    n, sizes = 1000, np.array([6, 3, 9])
+    bins = np.ascontiguousarray(np.stack([rng.integers(0, s + 1, n) for s in sizes]).astype(np.uint8))
+    rows = np.flatnonzero(rng.random(n) < 0.7)
+    dealt, at = B.Dealt(rows), np.zeros(n, int)
+    split = {0: (0, 2, True, 1, 2), 1: (2, 4, False, 3, 4), 2: (1, 1, True, 5, 6), 3: (0, 0, False, 7, 8), 6: (2, 7, True, 9, 10)}  # node: column, bin, NULL goes left, children
+    for level in ([0], [1, 2], [3, 6]):
+        spot = np.full(11, -1)
+        spot[level] = np.arange(len(level))
+        column, last = (np.array([split[i][k] for i in level]) for k in (0, 1))
+        null = np.where([split[i][2] for i in level], sizes[column], last)
+        dealt.split(bins.ravel(), spot, column * n, last.astype(np.uint8), null.astype(np.uint8), np.array([split[i][3:] for i in level]))
+        for r in range(n):
+            if at[r] in level:
+                c, b, null_left, left, right = split[at[r]]
+                at[r] = left if bins[c, r] <= b or bins[c, r] == sizes[c] and null_left else right
+    got = np.full(n, -1.0)
+    dealt.put(np.arange(11.0), got)
+    assert np.array_equal(got[rows], at[rows]) and (np.delete(got, rows) == -1).all()
+    assert sum(len(r) for *_, r in dealt.aside) + len(dealt.rows) == len(rows)
+    found, count = dealt.of([8, 9, 7])
+    assert count.tolist() == [(at[rows] == k).sum() for k in (8, 9, 7)] and at[found].tolist() == np.repeat([8, 9, 7], count).tolist()
+    w = rng.integers(0, 99, n).astype(float)
+    sums = B.Grower._sums(bins[2], 10, found, [w[found], None], np.repeat(np.arange(3), count), 3)
+    for i, k in enumerate((8, 9, 7)):
+        mine = rows[at[rows] == k]
+        assert np.array_equal(sums[0, i], np.bincount(bins[2, mine], w[mine], 10)) and np.array_equal(sums[1, i], np.bincount(bins[2, mine], None, 10))
+
+
+def test_more_columns_are_counted_together_in_tasks_of_many_rows(monkeypatch):
+    bins, sizes = np.zeros((4, 50), np.uint8), np.array([40, 40, 40, 40])
+    assert len(B.bundled(bins, sizes)) == 2
+    monkeypatch.setattr(B, "WIDE_ROWS", 50)
+    monkeypatch.setattr(B, "CELLS", 1 << 10)
+    assert len(B.bundled(bins, sizes)) == 2 and len(B.bundled(bins[:, :49], sizes)) == 4
