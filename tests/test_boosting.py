@@ -486,3 +486,40 @@ def test_more_columns_are_counted_together_in_tasks_of_many_rows(monkeypatch):
     monkeypatch.setattr(B, "WIDE_ROWS", 50)
     monkeypatch.setattr(B, "CELLS", 1 << 10)
     assert len(B.bundled(bins, sizes)) == 2 and len(B.bundled(bins[:, :49], sizes)) == 4
+
+
+def test_scoring_by_selects_equals_walking(monkeypatch):
+    x, y = sample(3000, seed=12)
+    x[:40, 0] = np.inf
+    for s in (B.Settings(rounds=3, depth=1), B.Settings(rounds=5, depth=4, growth="symmetric"), B.Settings(rounds=4, depth=12, l2=0.1), B.Settings(rounds=2, least_gain=1e9)):
+        model, g = grow(x, y, s, s.rounds)
+        bytes_do = [t is not None for t in model.codes()[1]]
+        assert all(bytes_do) == (s.depth < 12)
+        want = np.full(len(x), model.base)
+        for i in range(len(model.trees)):
+            want += model._walked(i, x)
+        monkeypatch.setattr(B, "SCORED_ROWS", 700)
+        assert np.array_equal(model.margins(x), want) and np.array_equal(want, g.margin)
+        assert len(model.margins(x[:0])) == 0
+    import pickle
+    assert pickle.loads(pickle.dumps(model))._codes is None
+
+
+def test_batches_are_joined_whole():
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pydict({"a": pa.array(range(i, i + n), pa.int64())}) for i, n in ((0, 3), (3, 0), (3, 4), (7, 2), (9, 1))]
+    got = list(B.joined(iter(batches), 5))
+    assert [b.num_rows for b in got] == [7, 3] and [v for b in got for v in b.column("a").to_pylist()] == list(range(10))
+    assert list(B.joined(iter([]), 5)) == []
+
+
+def test_few_conditions_share_a_table_and_many_do_not():
+    x, y = sample(2000, seed=13)
+    for growth, shared in (("symmetric", True), ("level", False)):
+        model, _ = grow(x, y, B.Settings(rounds=4, growth=growth, depth=5), 4)
+        paths, expected = A.leaves(model)
+        ready = A.Lookup(A.with_tables(paths), 5)
+        assert (len(ready.tables) == len(model.trees)) == shared
+        phi = A.attribute(ready, x[:8])
+        assert np.allclose(phi, enumerated(model, x[:8]))
+        assert np.allclose(A.attribute(ready, x).sum(axis=1) + expected, model.margins(x))
