@@ -442,3 +442,25 @@ def test_new_rows_are_scored_by_more_tasks_than_read_them(spark, monkeypatch):
     assert len(got) == 80 and {r[0] for r in got} == set(range(80))
     long = pipeline.score_long(fitted, prep)
     assert got == {(r["id"], r["prediction"]) for r in predict(rows.drop("label"), prep, fitted, pipeline.tune(long)).collect()}
+
+
+def test_streamed_rows_are_scored_by_more_tasks_than_files_and_thresholds_are_tuned_once(spark, monkeypatch):
+    from cohortframe.plans import pipeline, queries
+    from cohortframe.session import COMPILED_BYTES, METHOD_LIMIT
+    rows = _students(spark).coalesce(1)
+    prep = pipeline.prepare(rows, smote=False)
+    fitted = pipeline.train_all(prep, ("gbt_a",), rounds=2)
+    planned, predict = [], pipeline.predict
+
+    def noted(df, p, f, thresholds):
+        planned.append([d._jdf.queryExecution().optimizedPlan().toString() for d in (df, thresholds)] + [int(df.sparkSession.conf.get(METHOD_LIMIT))])
+        return predict(df, p, f, thresholds)
+
+    monkeypatch.setattr(queries, "_prepared", lambda *a: prep)
+    monkeypatch.setattr(queries, "_models", lambda *a: fitted)
+    monkeypatch.setattr(queries.fx, "cohort", lambda *a: rows)
+    monkeypatch.setattr(pipeline, "predict", noted)
+    assert queries.q_stream_predict(spark, "").first().asDict() == {"n": 80, "unequal": 0}
+    assert len(planned) == 2
+    for rows_plan, thresholds_plan, limit in planned:
+        assert "Repartition" in rows_plan and "MapInArrow" not in thresholds_plan and limit <= COMPILED_BYTES
