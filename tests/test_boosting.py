@@ -523,3 +523,16 @@ def test_few_conditions_share_a_table_and_many_do_not():
         phi = A.attribute(ready, x[:8])
         assert np.allclose(phi, enumerated(model, x[:8]))
         assert np.allclose(A.attribute(ready, x).sum(axis=1) + expected, model.margins(x))
+
+
+def test_nodes_of_few_rows_are_counted_by_narrower_bundles():
+    assert [len(b.columns) for b in B.bundled(np.zeros((4, 50), np.uint8), np.array([9] * 4), B.NARROW)] == [2, 2]
+    x, y = sample(n=3000, d=4, seed=7)
+    x = np.hstack([x, np.random.default_rng(8).integers(0, 4, (3000, 8)).astype(float)])
+    one, g = grow(x, y, B.Settings(rounds=1, depth=1))
+    lay, w = B.Layout(np.arange(12), g.sizes), np.ones(3000)
+    got = g._histogram(lay, np.arange(3000), np.full(15, 200), w, w)
+    assert got.shape[:2] == (15, 2)  # rows are not counted where no setting asks for them
+    for c in range(12):
+        for k in (0, 7, 14):
+            assert np.array_equal(got[k, 0, lay.start[c]:lay.start[c] + g.sizes[c] + 1], np.bincount(g.bins[c, k * 200:k * 200 + 200], None, g.sizes[c] + 1))
